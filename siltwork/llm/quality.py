@@ -110,14 +110,14 @@ def certified(judged: DataFrame, labels: DataFrame, stratum: str = "stratum", ri
     good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("_id")).distinct()
     held = judged.filter(~F.col("base_failed")).join(good, F.col("doc_id") == F.col("_id"), "left_semi")
     tests = [(r, i, F.expr(e) > c, c) for r, (e, cutoffs) in RULES.items() for i, c in enumerate(cutoffs)]
-    counts = held.groupBy(stratum).agg(
+    counts = stage(held.groupBy(stratum).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(F.when(fails, 1).otherwise(0)).cast("long").alias(f"{r}_{i}") for r, i, fails, _ in tests]
-    )
+    ), "counts")
     rows = counts.select(stratum, "n", F.explode(F.array(*[
         F.struct(F.lit(r).alias("rule"), F.lit(float(c)).alias("cutoff"), F.lit(i).alias("strict"), F.col(f"{r}_{i}").alias("k")) for r, i, _, c in tests
     ])).alias("t")).select(stratum, "n", "t.*")
-    m = counts.agg((F.count(F.lit(1)) * len(tests)).alias("m"))
-    passed = rows.join(F.broadcast(m)).filter(_tail(F.col("n"), F.col("k"), risk) <= F.log(F.lit(confidence) / F.col("m")))
+    m = max(1, counts.count() * len(tests))
+    passed = rows.filter(_tail(F.col("n"), F.col("k"), risk) <= F.log(F.lit(confidence / m)))
     return passed.groupBy(stratum, "rule").agg(F.max_by("cutoff", "strict").alias("cutoff"))
 
 

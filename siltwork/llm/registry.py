@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("secrets", "quality", "mixing")
+MODULES = ("near_dedup", "sharding", "secrets", "quality", "substrings", "decontam", "toxicity", "mixing")
 
 
 def queries() -> dict:
