@@ -31,12 +31,12 @@ def histogram(values: DataFrame, value: str, edges: tuple[float, ...] = EDGES) -
 def summary_message(status: Column, n_documents: Column, recall_5: Column, mrr: Column) -> Column:
     return F.concat(
         F.lit("*Index refresh - "), F.upper(status), F.lit("*\n\n*Documents Processed:* "), n_documents.cast("string"), F.lit("\n*Retrieval Quality:*\n  - Recall@5: "),
-        F.format_number(recall_5 * 100, "0.00"), F.lit("%\n  - MRR: "), F.format_number(mrr, "0.000"))
+        F.format_string("%.2f", (recall_5 * 100).cast("double")), F.lit("%\n  - MRR: "), F.format_string("%.3f", mrr.cast("double")))
 
 
 def alert_message(text: Column, recall_5: Column, threshold: Column) -> Column:
     return F.concat(
-        F.lit("*Index refresh - QUALITY ALERT*\n\n"), text, F.lit("\n\n  - Recall@5: "), F.format_number(recall_5 * 100, "0.00"), F.lit("% (threshold: "), F.format_number(threshold * 100, "0.00"),
+        F.lit("*Index refresh - QUALITY ALERT*\n\n"), text, F.lit("\n\n  - Recall@5: "), F.format_string("%.2f", (recall_5 * 100).cast("double")), F.lit("% (threshold: "), F.format_string("%.2f", (threshold * 100).cast("double")),
         F.lit("%)\n  - Status: BELOW THRESHOLD\n\nRolled back; production is unchanged."))
 
 
