@@ -1,16 +1,17 @@
 """Benchmark decontamination by latent semantic retrieval, with subsequence and answer checks.
 
-Benchmark texts are cut into passages of about 48 words (lower-cased in A-Z, punctuation at the ends of words dropped).
+Benchmark texts are cut into passages of about 48 words (lower-cased in A-Z, punctuation dropped).
 Their TF-IDF matrix, with document frequencies counted over all documents, is factored by a randomised SVD: power
 iterations multiply by the partitioned matrix in Spark, and only vocabulary-by-rank factors meet on the driver. Windows
 of 64 words at every 16th word of every document are folded into the latent space. A window is a candidate for a
-passage at a cosine of 0.5 or more if it holds at least 0.3 of the passage's latent weight, and at a cosine of 0.1 or
-more if it holds 0.6 (a short passage among other rare words). A candidate is a hit if the longest common subsequence of the passage and the words in and around the window covers 0.6 of the passage, and the
+passage if it holds half of the passage's latent weight (the length of its projection on the passage, over the
+passage's) at a cosine of 0.1 or more; a short passage among other rare words has no larger one. A candidate is a hit
+if the longest common subsequence of the passage and the words in and around the window covers 0.6 of the passage, and the
 answer is there: the words of the benchmark's column ``answer`` or, without one, half of the rarer half of the
 passage's words.
 
 Benchmarks larger than ``block`` items are worked off in blocks against all documents, so that what is broadcast
-(vocabulary by rank of one block) has a bound. Words in more than a fifth of the documents carry no weight.
+(vocabulary by rank of one block) has a bound. Words in more than a tenth of the documents carry no weight.
 
 Defined results: null and empty texts, and documents of fewer than five words, have no hits; items that are null or
 shorter than five words are skipped; repeated rows are judged each; an empty table of either kind gives no hits; extra
@@ -33,13 +34,11 @@ from siltwork.llm._text import hashes, pieces
 PUNCTUATION = b".,;:!?\"'()[]{}"
 PASSAGE, SHORTEST, STRIDE, SPAN = 48, 5, 16, 4
 RANK, OVERSAMPLE, POWER = 128, 16, 2
-COSINE, WEIGHT, SUBSEQUENCE, COMMON = 0.5, 0.3, 0.6, 0.2
-#: A short passage among other rare words: this cosine is enough if the window holds this much of the passage's weight.
-LOW_COSINE, MOST_WEIGHT = 0.1, 0.6
+COSINE, WEIGHT, SUBSEQUENCE, COMMON = 0.1, 0.5, 0.6, 0.1
 
 
 def plain_words(text: str | None) -> list[bytes]:
-    return [] if text is None else [w for w in (x.strip(PUNCTUATION) for x in text.encode().lower().split()) if w]
+    return [] if text is None else text.encode().lower().translate(None, PUNCTUATION).split()
 
 
 def passages(words: list) -> list[list]:
@@ -205,7 +204,7 @@ def hits(texts: list[str | None], index: Index) -> list[tuple[int, object, float
         dot = window[part] @ index.latent.T
         cosine = dot / np.maximum(size[part][:, None] * own[None, :], 1e-9)
         weight = dot / np.maximum(own[None, :] ** 2, 1e-9)
-        w, p = np.nonzero(((cosine >= COSINE) & (weight >= WEIGHT)) | ((cosine >= LOW_COSINE) & (weight >= MOST_WEIGHT)))
+        w, p = np.nonzero((weight >= WEIGHT) & (cosine >= COSINE))
         for w_, p_ in zip(w.tolist(), p.tolist(), strict=True):
             d = int(np.searchsorted(base, part[w_], side="right")) - 1
             passage, margin = index.words[p_], len(index.words[p_]) // 2
