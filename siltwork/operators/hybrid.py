@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,18 @@ def lexical_score(query: Column, text: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(q, tokens(text))), F.size(q)), F.lit(0.0))
 
 
+def model_score(load: Callable[[], Callable[[list[tuple[str, str]]], list[float]]]) -> Callable[[Column, Column], Column]:
+    """A column function that scores (query, text) with a model, which is loaded once a task."""
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        predict = load()
+        for queries, texts in batches:
+            yield pd.Series(predict(list(zip(queries, texts, strict=True))), dtype="float64")
+
+    return score
+
+
 def reranked(results: DataFrame, score: Column, top_k: int = 10, digits: int = 6) -> DataFrame:
     """Results (query_id, id, rank, combined_score, query, payload_text, text) re-scored; ``original_rank`` keeps their place.
 

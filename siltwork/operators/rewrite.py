@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Acronyms and their expansions, in the order of their variations.
@@ -36,3 +39,28 @@ def variations(query: Column, word_boundary: bool = False) -> Column:
 
     more = [F.when(F.array_contains(found, a), F.array(put(a, e), put(a, f"{a} OR {e}"))).otherwise(F.array().cast("array<string>")) for a, e in ACRONYMS]
     return F.array_distinct(F.concat(F.array(query), *more))
+
+
+def rewritten(queries: DataFrame, provider: Callable[[str, int], list[str]] | None = None, most: int = 3) -> DataFrame:
+    """Queries (query_id, query) with ``variations``, each once and the query first, and ``n_added``.
+
+    A provider, such as a language model, gives at most ``most`` for a query; where it fails the query stands alone.
+    Without one the rules apply.
+    """
+    if provider is None:
+        rows = queries.select("query_id", "query", variations(F.col("query")).alias("variations"))
+    else:
+
+        def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                found = []
+                for query in frame["query"]:
+                    try:
+                        found.append([str(v) for v in provider(query, most)][:most])
+                    except Exception:  # noqa: BLE001  a provider that fails adds nothing
+                        found.append([])
+                yield frame.assign(given=found)
+
+        rows = queries.select("query_id", "query").mapInPandas(ask, "query_id long, query string, given array<string>")
+        rows = rows.select("query_id", "query", F.array_distinct(F.concat(F.array("query"), "given")).alias("variations"))
+    return rows.withColumn("n_added", F.size("variations") - 1)

@@ -330,3 +330,58 @@ def test_embedding_fails_after_its_attempts(spark):
 
     with pytest.raises(Exception, match="no model"):
         embed.embedded(spark.createDataFrame([("x",)], "chunk_text string"), load=load).collect()
+
+
+def test_rewritten_with_a_provider(spark):
+    queries = spark.createDataFrame([(1, "PTO"), (2, "boom"), (3, "x")], "query_id long, query string")
+
+    def provider(query, most):
+        if query == "boom":
+            raise RuntimeError
+        return [query, "one", "two", "three"]
+
+    got = {r.query_id: r.variations for r in rewrite.rewritten(queries, provider).collect()}
+    assert got == {1: ["PTO", "one", "two"], 2: ["boom"], 3: ["x", "one", "two"]}
+    assert {r.query_id: r.n_added for r in rewrite.rewritten(queries).collect()} == {1: 2, 2: 0, 3: 0}
+
+
+def test_saved_index_scores_alike(spark, tmp_path):
+    corpus, q = spark.createDataFrame(HR, "id long, text string"), spark.createDataFrame([(1, "vacation policy")], "query_id long, query string")
+    ix = bm25.index(corpus)
+    bm25.save(ix, str(tmp_path / "ix"))
+    rows = lambda i: sorted((r.id, round(r.score, 12)) for r in bm25.scores(i, q).collect())
+    assert rows(bm25.load(spark, str(tmp_path / "ix"))) == rows(ix)
+
+
+def test_cost_summary(spark):
+    r = cost.summary(samples(spark, [1 + 0.1 * i for i in range(30)]), F.lit(DAYS[-1]), 0.5).first()
+    assert len(r) == 14 and r.trend == "increasing" and r.budget_severity == "critical" and r.historical_points == 30
+    assert cost.summary(samples(spark, [1.0]), F.lit(DAYS[0]), 0.5).first().monthly_forecast == 0
+
+
+def test_graph():
+    from siltwork.plans import graph
+
+    assert graph.faults() == [] and graph.order(graph.STEPS)[0] == "start" and graph.order(graph.STEPS)[-1] == "end"
+    broken = {k: v for k, v in graph.STEPS.items() if k != "rollback_and_alert"} | {"alone": (), "finish": ("promote_to_production",)}
+    assert graph.faults(broken, schedule=None) == ["required step rollback_and_alert is missing", "there is no schedule", "alone stands alone", "the gate has 1 branches, not 2"]
+    with pytest.raises(ValueError):
+        graph.order({"a": ("b",), "b": ("a",)})
+
+
+def test_search(spark):
+    from siltwork.plans.search import Search, answered, retrieve
+
+    run = embed.hashed_features(64)
+    texts = [t for _, t in HR]
+    points = spark.createDataFrame([(i, t, [float(x) for x in v]) for (i, t), v in zip(HR, run(texts), strict=True)], "id long, text string, embedding array<double>")
+    asked = spark.createDataFrame([(1, "vacation policy", [float(x) for x in run(["vacation policy"])[0]])], "query_id long, query string, embedding array<double>")
+    for search in (Search(top_k=3), Search(top_k=3, use_hybrid=False), Search(top_k=2, use_rerank=True)):
+        found = retrieve(asked, points, search).orderBy("rank").collect()
+        assert found[0].id == 2 and len(found) <= search.top_k and found[0].candidate_text == texts[1]
+    scored = retrieve(asked, points, Search(top_k=2, use_rerank=True), score=hybrid.model_score(lambda: lambda pairs: [float(len(t)) for _, t in pairs])).orderBy("rank").collect()
+    assert scored[0].reranker_score >= scored[-1].reranker_score
+    search = Search()
+    entries = spark.createDataFrame([(5, "kb", search.settings, [float(x) for x in run(["vacation policy"])[0]], NOW)], "entry_id long, collection string, settings string, embedding array<double>, cached_at timestamp_ntz")
+    hits, misses = answered(asked, entries, search, F.lit(NOW).cast("timestamp_ntz"))
+    assert hits.first().entry_id == 5 and misses.count() == 0
