@@ -12,7 +12,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pandas.util import hash_array
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space that separates words, as a Java or RE2 class.
@@ -53,7 +53,16 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+#: Most bytes of an Arrow batch between Spark and Python, about.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, so that a task holds a few MB of text at a time, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of the batches of about ``most`` bytes of text each, one row at least, so that memory stays bounded."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwork.llm._text import hashes, pieces
+from siltwork.llm._text import hashes, pieces, small_batches
 
 PUNCTUATION = b".,;:!?\"'()[]{}"
 PASSAGE, SHORTEST, STRIDE, SPAN = 48, 5, 16, 4
@@ -221,6 +221,7 @@ def hits(texts: list[str | None], index: Index) -> list[tuple[int, object, float
 
 def blocks_of(docs: DataFrame, bench: DataFrame, block: int = 1000) -> Iterator[Index]:
     """The indexes of the benchmark's blocks, one after another."""
+    small_batches(docs.sparkSession)
     bench = bench.filter("text is not null and item_id is not null")
     n = max(1, -(-bench.count() // block))
     for b in range(n):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.llm._store import shared
-from siltwork.llm._text import n_words_of, pieces
+from siltwork.llm._text import n_words_of, pieces, small_batches
 
 TOKENIZERS = "/opt/tokenizers"
 #: Fixed value: the pre-tokenisation pattern of the public byte-level BPE vocabularies.
@@ -51,6 +51,7 @@ def bpe(path: str) -> Callable[[list[str]], list[int]]:
 
 def counted(docs: DataFrame, versions: dict[str, Callable | None], op: str = "insert") -> DataFrame:
     """Changes for every row of ``docs`` and tokenizer version; a version without a function counts words natively."""
+    small_batches(docs.sparkSession)
     out, rows = None, docs.select("doc_id", "source", "lang", "text")
     for name, make in versions.items():
         if make is None:

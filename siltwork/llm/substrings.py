@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwork.llm._text import grams, mix, pieces, tokenised
+from siltwork.llm._text import grams, mix, pieces, small_batches, tokenised
 
 WINDOW = 13
 FIRST_BITS, SECOND_BITS = 10, 6
@@ -150,6 +150,7 @@ def _answer(table: pa.Table) -> pa.Table:
 def substring_dedup(docs: DataFrame, n: int = WINDOW, group: int = GROUP, piece: int = 4_000_000) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, spans (removed words, as array of start and end), kept (the text left)."""
     docs, spark = docs.select("doc_id", "text"), docs.sparkSession
+    small_batches(spark)
     cells = 1 << (FIRST_BITS + SECOND_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
