@@ -12,7 +12,7 @@ are held out of training. Labels, lang, source and doc_id are no inputs of a sco
 
 Defined results: a null or empty text gets the score of no features; a null doc_id counts as held out; labels that are
 null count for nothing, and a document labelled twice is toxic if either says so; without labels of both kinds every
-score is 0.5 or below by the intercept alone and nothing is predicted; an empty table gives an empty result.
+score is the same, below 0.5, and nothing is predicted; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwork.llm._text import hashes, mix, pieces
+from siltwork.llm._text import hashes, mix, pieces, small_batches
 
 BITS = 20
 HALF = 1 << (BITS - 1)
+#: The intercept without labels of both kinds: nothing is predicted.
+UNLEARNED = -2.0
 STEMS, PAIR_VALUE, LEAST_DOCS = (4, 6), 0.4, 3
 PUNCTUATION = b".,;:!?\"'()[]{}"
 _PAIR, _SKIP = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
@@ -85,6 +87,8 @@ def ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = 4, alpha: float = 0.3
 
 def _fitted(table: pa.Table) -> pa.Table:
     table = table.sort_by("k").combine_chunks()
+    if len(set(table["y"].to_pylist())) < 2:
+        return pa.table({"at": pa.array([-1]), "w": pa.array([UNLEARNED])})
     at, ends = table["at"].combine_chunks().values.to_numpy(), table["at"].combine_chunks().offsets.to_numpy()
     docs = np.bincount(at, minlength=1 << BITS)
     rows = [at[a:b][docs[at[a:b]] >= LEAST_DOCS].astype(np.int64) for a, b in zip(ends, ends[1:], strict=False)]
@@ -99,13 +103,14 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = 12_000) -> tuple[np.ndarray, np.ndarray, float]:
     """(places, weights, intercept) from at most ``most`` labelled rows that are not held out."""
+    small_batches(docs.sparkSession)
     known = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("y"))
     chosen = known.filter(~held_out(F.col("_id"))).select("_id", "y", F.xxhash64("_id").alias("k")).orderBy("k", "_id").limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("k", F.col("y").cast("int").alias("y"), "text")
     featured = rows.mapInArrow(_featured, "k long, y int, at array<int>").groupBy(F.lit(0).alias("one"))
     found = featured.applyInArrow(_fitted, "at long, w double").collect()
     places = np.array([r.at for r in found if r.at >= 0], np.int64)
-    return places, np.array([r.w for r in found if r.at >= 0]), sum(r.w for r in found if r.at < 0)
+    return places, np.array([r.w for r in found if r.at >= 0]), sum(r.w for r in found if r.at < 0) if found else UNLEARNED
 
 
 def scores(texts: list[str | None], model: tuple[np.ndarray, np.ndarray, float], dense: np.ndarray) -> np.ndarray:

@@ -167,7 +167,8 @@ def test_toxicity(spark, table, none):
     out = toxicity.toxicity_stage(spark, docs.withColumn("score", F.lit(1)), spark_dir(labels))
     assert out.columns == [*docs.columns, "score"] and 1200 <= out.count() <= 1300
     assert toxicity.toxicity(none, labels).count() == 0
-    assert toxicity.toxicity(docs, labels.limit(0)).filter("score > 0.5").count() == 0
+    for few in (labels.limit(0), labels.filter("toxic = 1"), labels.filter("toxic = 0")):
+        assert toxicity.toxicity(docs, few).filter("predicted = 1 or score >= 0.5").count() == 0
 
 
 def spark_dir(labels):
