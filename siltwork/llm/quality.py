@@ -142,5 +142,29 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _sql(risk: float = 0.01, confidence: float = 0.05) -> str:
+    """op5 in SQL: the same counts from rows of windows, and the binomial tails by the gamma function."""
+    tests = [(r, i, e, c) for r, (e, cutoffs) in RULES.items() for i, c in enumerate(cutoffs)]
+    counted = ", ".join(f"count(*) FILTER (WHERE {e} > {c}) AS {r}_{i}" for r, i, e, c in tests)
+    unpivoted = " UNION ALL ".join(f"SELECT lang, n, '{r}' AS rule, {i} AS strict, {c}::DOUBLE AS cutoff, {r}_{i} AS k FROM ct" for r, i, _, c in tests)
+    failed = " || ".join(f"CASE WHEN EXISTS (SELECT 1 FROM cut WHERE rule = '{r}' AND cut.lang IS NOT DISTINCT FROM f.lang AND {e} > cutoff) THEN '{r},' ELSE '' END" for r, (e, _) in RULES.items())
+    return rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+p AS (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 3)),
+r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM p) WHERE n > 1),
+q AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, i + unnest(range(0, 3)) AS i FROM r) GROUP BY doc_id),
+g AS (SELECT d.doc_id, lang, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
+  (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l)::BIGINT AS n_lines, coalesce(q.n, 0)::BIGINT AS n_repeat_words FROM d LEFT JOIN q ON q.doc_id = d.doc_id),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM g),
+ct AS (SELECT lang, count(*) AS n, {counted} FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) GROUP BY lang),
+u AS ({unpivoted}),
+v AS (SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}::DOUBLE) + (n - i) * ln(1 - {risk}::DOUBLE)))) AS tail FROM u),
+cut AS (SELECT lang, rule, max_by(cutoff, strict) AS cutoff FROM v WHERE tail <= {confidence}::DOUBLE / (SELECT count(*) FROM u) GROUP BY lang, rule),
+z AS (SELECT f.*, {failed} AS bad FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad = '' AS kept, rtrim(bad, ',') AS rules_failed FROM z
+"""
+
+
 QUERIES = {"op5_quality_rules": op5_quality_rules}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op5_quality_rules": _sql()}
