@@ -1,7 +1,8 @@
 """Exact nearest neighbours for batches of queries.
 
 Queries go out in blocks of bounded size; each task multiplies its vectors with a block and keeps the best k of every
-query, so that what is shuffled is k rows a query and task, whatever the corpus holds.
+query, so that what is shuffled is k rows a query and task, whatever the corpus holds. With more than one block, each
+block's result is written before the next is fetched: the driver holds one block of queries at a time.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 1024
+from siltwork.store import stage
+
+BLOCK = 4096
 METRICS = ("cosine", "dot", "euclid")
 
 
@@ -22,7 +25,37 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine", least: float | None = None, digits: int = 6) -> DataFrame:
+def _searched(rows: DataFrame, block: list, k: int, metric: str, least: float | None, digits: int) -> DataFrame:
+    """(query_id, id, score): the best k of every task for one block of queries of one dimension."""
+    ids, q = np.array([r.query_id for r in block]), np.array([r.embedding for r in block])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [(np.empty(0, np.int64), np.empty(0))] * len(ids)
+        qn = np.linalg.norm(q, axis=1)
+        for b in batches:
+            b = b.filter(pa.compute.equal(pa.compute.list_value_length(b.column("embedding")), q.shape[1]))
+            if not b.num_rows:
+                continue
+            v, own = _matrix(b.column("embedding")), b.column("id").to_numpy()
+            s = q @ v.T
+            if metric == "cosine":
+                d = qn[:, None] * np.linalg.norm(v, axis=1)[None, :]
+                s = np.divide(s, d, out=np.zeros_like(s), where=d > 0)
+            elif metric == "euclid":
+                s = -np.sqrt(np.maximum(qn[:, None] ** 2 + (v**2).sum(axis=1)[None, :] - 2 * s, 0))
+            for j in range(len(ids)):
+                a, x = np.concatenate([kept[j][0], own]), np.concatenate([kept[j][1], s[j]])
+                if least is not None:
+                    a, x = a[x >= least], x[x >= least]
+                first = np.lexsort((a, -np.round(x, digits)))[:k]
+                kept[j] = (a[first], x[first])
+        n = [len(a) for a, _ in kept]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.concatenate([a for a, _ in kept])), pa.array(np.concatenate([x for _, x in kept]))], names=["query_id", "id", "score"])
+
+    return rows.mapInArrow(best, "query_id long, id long, score double")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine", least: float | None = None, digits: int = 6, block: int = BLOCK) -> DataFrame:
     """(query_id, id, score, rank): vectors (id, embedding), queries (query_id, embedding), ids integers.
 
     ``euclid`` scores are negative distances. ``least`` drops lower scores before ranking. Ties, after rounding, go by
@@ -30,43 +63,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine"
     """
     if metric not in METRICS:
         raise ValueError(f"metric is one of {METRICS}")
-    asked = queries.filter("embedding is not null").select("query_id", F.col("embedding").cast("array<double>").alias("embedding")).orderBy("query_id").collect()
-    rows, parts = vectors.filter("embedding is not null").select("id", "embedding"), []
-    for i in range(0, len(asked), BLOCK):
-        by_size: dict[int, list] = {}
-        for r in asked[i : i + BLOCK]:
-            by_size.setdefault(len(r.embedding), []).append(r)
-        for size, block in by_size.items():
-            ids, q = np.array([r.query_id for r in block]), np.array([r.embedding for r in block])
-
-            def best(batches: Iterator[pa.RecordBatch], ids=ids, q=q, size=size) -> Iterator[pa.RecordBatch]:
-                kept = [(np.empty(0, np.int64), np.empty(0))] * len(ids)
-                qn = np.linalg.norm(q, axis=1)
-                for b in batches:
-                    b = b.filter(pa.compute.equal(pa.compute.list_value_length(b.column("embedding")), size))
-                    if not b.num_rows:
-                        continue
-                    v, own = _matrix(b.column("embedding")), b.column("id").to_numpy()
-                    s = q @ v.T
-                    if metric == "cosine":
-                        d = qn[:, None] * np.linalg.norm(v, axis=1)[None, :]
-                        s = np.divide(s, d, out=np.zeros_like(s), where=d > 0)
-                    elif metric == "euclid":
-                        s = -np.sqrt(np.maximum(qn[:, None] ** 2 + (v**2).sum(axis=1)[None, :] - 2 * s, 0))
-                    for j in range(len(ids)):
-                        a, x = np.concatenate([kept[j][0], own]), np.concatenate([kept[j][1], s[j]])
-                        if least is not None:
-                            a, x = a[x >= least], x[x >= least]
-                        first = np.lexsort((a, -np.round(x, digits)))[:k]
-                        kept[j] = (a[first], x[first])
-                n = [len(a) for a, _ in kept]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.concatenate([a for a, _ in kept])), pa.array(np.concatenate([x for _, x in kept]))], names=["query_id", "id", "score"])
-
-            parts.append(rows.mapInArrow(best, "query_id long, id long, score double"))
+    asked = queries.filter("embedding is not null and query_id is not null").select("query_id", F.col("embedding").cast("array<double>").alias("embedding"), F.size("embedding").alias("n"))
+    sizes = {r.n: r["count"] for r in asked.groupBy("n").count().collect()}  # a row for each dimension
+    rows, parts = vectors.filter("embedding is not null and id is not null").select("id", "embedding"), []
+    blocks = [(n, i, -(-count // block)) for n, count in sorted(sizes.items()) for i in range(-(-count // block))]
+    order = Window.partitionBy("query_id").orderBy(F.round("score", digits).desc(), F.col("id").asc())
+    ranked = lambda df: df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    for n, i, of in blocks:
+        found = asked.filter((F.col("n") == n) & (F.pmod(F.xxhash64("query_id"), F.lit(of)) == i)).orderBy("query_id").collect()
+        if found:
+            part = ranked(_searched(rows, found, k, metric, least, digits))
+            parts.append(stage(part, "nearest") if len(blocks) > 1 else part)
     if not parts:
         return rows.sparkSession.createDataFrame([], "query_id long, id long, score double, rank int")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    order = Window.partitionBy("query_id").orderBy(F.round("score", digits).desc(), F.col("id").asc())
-    return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return out

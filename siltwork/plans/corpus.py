@@ -85,7 +85,7 @@ def bm25_normalised(spark, d):
 def _fused(spark, d, top_k=10):
     asked = queries_of(spark, d)
     vectors = read(spark, d, "embeddings")
-    probes = vectors.join(F.broadcast(asked.select("query_id")), F.col("vec_id") == F.col("query_id")).select("query_id", "embedding")
+    probes = vectors.join(asked.select("query_id"), F.col("vec_id") == F.col("query_id")).select("query_id", "embedding")
     k_dense, k_sparse = hybrid.shares(top_k)
     norm = bm25.normalised(bm25.scores(_index(spark, d), asked))
     sparse = bm25.top(norm, k_sparse).select("query_id", "id", "score")
@@ -99,7 +99,7 @@ def hybrid_topk(spark, d):
 def _reranked(spark, d):
     """Twice the results are fetched, and their documents' texts scored again."""
     fetched = _fused(spark, d, 20).join(read(spark, d, DOCS).select(F.col("doc_id").alias("id"), F.col("text").alias("payload_text")), "id", "left")
-    rows = fetched.join(F.broadcast(queries_of(spark, d)), "query_id").withColumn("text", F.lit(""))
+    rows = fetched.join(queries_of(spark, d), "query_id").withColumn("text", F.lit(""))
     return rows, hybrid.reranked(rows, hybrid.lexical_score(F.col("query"), F.col("candidate_text")), 10)
 
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -14,6 +12,7 @@ from siltwork.operators import answer_cache, cost, dense, dedup, lifecycle
 from siltwork.plans import refresh
 from siltwork.plans.tables import days_after, now, queries_of, read, truth
 from siltwork.sources import documents as sources
+from siltwork.store import shared
 from siltwork.streaming import ingest
 
 
@@ -170,8 +169,7 @@ def chunks_to_documents(spark, d):
 
 
 def _scratch(spark) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltwork-")
-    return os.path.join(root, f"run-{uuid.uuid4().hex}")
+    return f"{shared(spark)}/run-{uuid.uuid4().hex}"
 
 
 def refresh_run(spark, d):

@@ -150,6 +150,9 @@ def test_dense(spark):
     assert [r.id for r in dense.top_k(v, q, 2, "dot").orderBy("rank").collect()] == [8, 1]
     assert [r.id for r in dense.top_k(v, q, 2, "euclid").orderBy("rank").collect()] == [1, 3]
     assert dense.top_k(v, q.limit(0), 3).count() == 0
+    many = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(9)] + [(20, [1.0, 2.0, 3.0])], "query_id long, embedding array<float>")
+    rows = lambda df: sorted((r.query_id, r.id, round(r.score, 9), r["rank"]) for r in df.collect())
+    assert rows(dense.top_k(v, many, 2, block=4)) == rows(dense.top_k(v, many, 2)) and (20, 7, 1.0, 1) in rows(dense.top_k(v, many, 1, block=4))
     with pytest.raises(ValueError):
         dense.top_k(v, q, 3, "other")
 
