@@ -1,42 +1,5 @@
-"""Tables that cut lineage, in the folder that all executors share."""
+"""Tables that cut lineage; see siltwork.store."""
 
-from __future__ import annotations
+from siltwork.store import shared, stage
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_made: list[tuple[SparkSession, str]] = []
-
-
-def _forget() -> None:
-    for spark, path in _made:
-        try:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # noqa: BLE001  the session has ended; the folder's own expiry removes the rest
-            continue
-
-
-def shared(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, a folder of our own is set."""
-    if not (root := spark.conf.get("spark.checkpoint.dir", None)):
-        there = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if there.isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siltwork-"))
-            there = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = there.get()
-    return root.rstrip("/")
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again; removed when the process ends."""
-    spark = df.sparkSession
-    if not _made:
-        atexit.register(_forget)
-    path = f"{shared(spark)}/{name}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared", "stage"]
