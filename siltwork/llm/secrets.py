@@ -66,10 +66,15 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *[F.filter(k, _at_least(n)).alias(k) for k, _, _, n in KINDS], "tokens")
 
 
+def _pairs(token: Column) -> Column:
+    """Array of (a, b): the places in ALPHABET of neighbouring characters; linear in the token's length."""
+    codes = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    return F.zip_with(F.slice(codes, F.lit(1), F.length(token) - 1), F.slice(codes, F.lit(2), F.length(token) - 1), lambda x, y: F.struct(x.alias("a"), y.alias("b")))
+
+
 def bigrams(tokens: DataFrame) -> DataFrame:
     """(secret, a, b, n): counts of neighbouring characters of a table (token, secret); at most two alphabets squared of rows."""
-    at = tokens.filter(F.length("token") > 1).select("secret", "token", F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("i"))
-    pairs = at.select("secret", F.instr(F.lit(ALPHABET), F.expr("substring(token, i, 1)")).alias("a"), F.instr(F.lit(ALPHABET), F.expr("substring(token, i + 1, 1)")).alias("b"))
+    pairs = tokens.filter(F.length("token") > 1).select("secret", F.explode(_pairs(F.col("token"))).alias("p")).select("secret", "p.a", "p.b")
     return pairs.filter("a > 0 and b > 0").groupBy("secret", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -94,9 +99,7 @@ def trained(tokens: DataFrame, smooth: float = 0.5, back: float = 4.0) -> list[f
 def ratio(token: Column, model: list[float]) -> Column:
     """The log-likelihood ratio of a token over ALPHABET."""
     table = F.from_json(F.lit(json.dumps(model)), "array<double>")
-    here = lambda t, i: F.instr(F.lit(ALPHABET), t.substr(i, F.lit(1)))
-    steps = F.sequence(F.lit(1), F.length(token) - 1)
-    return F.aggregate(steps, F.lit(0.0), lambda s, i: s + F.get(table, (here(token, i) - 1) * len(ALPHABET) + here(token, i + 1) - 1))
+    return F.aggregate(_pairs(token), F.lit(0.0), lambda s, p: s + F.get(table, (p["a"] - 1) * len(ALPHABET) + p["b"] - 1))
 
 
 def samples(docs: DataFrame, found: DataFrame, most: int = 4000, ordinary: int = 1000) -> DataFrame:
