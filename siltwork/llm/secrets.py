@@ -30,25 +30,37 @@ LIKELY = {"assign": r"(?i:passw|secret|token|api_?key)", "access": r"AKIA[A-Z0-9
 SOUGHT = {"hex": r"[0-9a-f]{24,}"}
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
-LEAST = 16
+SPANS = "array<struct<start:int,end:int,value:string>>"
+BLOCK = 256
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 WORD = r"[A-Za-z0-9+/_=-]{4,}"
 
 
-def _places(text: Column, pattern: str, likely: str, group: int, spans: bool = True) -> Column:
-    """Array of (start, end, value) of the pattern's matches, left to right without overlap."""
+def _matches(text: Column, pattern: str, likely: str, group: int) -> Column:
+    """Array of (piece, whole, value) of the pattern's matches, left to right without overlap: the text before each, the match, and its group."""
     whole, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found"))
+    zipped = F.filter(F.arrays_zip(pieces.alias("piece"), whole.alias("whole"), value.alias("value")), lambda x: x["whole"].isNotNull())
+    return F.when(text.rlike(likely), zipped).otherwise(F.array().cast("array<struct<piece:string,whole:string,value:string>>"))
+
+
+def _places(matches: Column) -> Column:
+    """Array of (start, end, value) of matches. Growing an array copies it, so they are gathered in blocks and the blocks joined at the end."""
+    empty = F.array().cast(SPANS)
 
     def add(s: Column, x: Column) -> Column:
         start = s["at"] + F.length(x["piece"])
         end = start + F.length(x["whole"])
         return F.struct(end.alias("at"), F.concat(s["found"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("found"))
 
-    zipped = F.filter(F.arrays_zip(pieces.alias("piece"), whole.alias("whole"), value.alias("value")), lambda x: x["whole"].isNotNull())
-    found = F.aggregate(zipped, zero, add, lambda s: s["found"])
-    return F.when(text.rlike(likely), found).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
+    def add_block(s: Column, block: Column) -> Column:
+        begin = F.struct(F.element_at(s, -1)["at"].alias("at"), empty.alias("found"))
+        return F.concat(s, F.array(F.aggregate(block, begin, add)))
+
+    last = F.greatest(F.ceil(F.size(matches) / BLOCK).cast("int") - 1, F.lit(0))
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(matches, b * BLOCK + 1, BLOCK))
+    gathered = F.aggregate(blocks, F.array(F.struct(F.lit(0).alias("at"), empty.alias("found"))), add_block)
+    return F.when(F.size(matches) == 0, empty).otherwise(F.flatten(F.transform(gathered, lambda s: s["found"])))
 
 
 def _at_least(n: int):
@@ -62,7 +74,9 @@ def _span(k: int):
 def base_spans(docs: DataFrame) -> DataFrame:
     """doc_id, one array of (start, end, value) for each kind, and ``tokens``, the candidates of the models."""
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = text.select("doc_id", *[_places(F.col("text"), SOUGHT.get(k, p), LIKELY[k], g).alias(k) for k, p, g, _ in KINDS], _places(F.col("text"), TOKEN, TOKEN, 0).alias("tokens"))
+    sought = [*[(k, SOUGHT.get(k, p), LIKELY[k], g) for k, p, g, _ in KINDS], ("tokens", TOKEN, TOKEN, 0)]
+    matched = text.select("doc_id", *[_matches(F.col("text"), p, likely, g).alias(k) for k, p, likely, g in sought])
+    found = matched.select("doc_id", *[_places(F.col(k)).alias(k) for k, *_ in sought])
     return found.select("doc_id", *[F.filter(k, _at_least(n)).alias(k) for k, _, _, n in KINDS], "tokens")
 
 

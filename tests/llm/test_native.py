@@ -144,3 +144,10 @@ def test_mix_stage_numbers_repeated_rows(spark, docs):
     twice = docs.union(docs).withColumn("_n", docs.doc_id)
     out = mixing.mixing_stage(spark, twice, "")
     assert out.columns == twice.columns and {r.doc_id for r in out.collect()} <= {r.doc_id for r in docs.collect()}
+
+
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"token=abcdef{i} AKIA{i:016d} {'é' * (i % 3)}" for i in range(1500))
+    found = secrets.base_spans(spark.createDataFrame([(1, text), (2, "none")], "doc_id long, text string")).orderBy("doc_id").collect()
+    got = sorted((x.start, k, x.end, kind) for k, (kind, *_) in enumerate(secrets.KINDS) for x in found[0][kind])
+    assert got == base(text) and len(got) == 3000 and found[1]["assign"] == []
