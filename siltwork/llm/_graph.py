@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.llm._store import stage
 
 
+def apart(key: Column) -> Column:
+    """The same integer, but not known to the planner as the key that a table is grouped by.
+
+    A join with it shuffles the grouped table once more, small as it is, and only so can Spark split a skewed key of
+    the other side: a side that is still in its aggregation's partitions cannot be read in parts.
+    """
+    return key.bitwiseXOR(F.lit(0).cast("long"))
+
+
 def _mark(edges: DataFrame) -> tuple[int, int]:
     r = edges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.shiftright(F.xxhash64("u", "v"), 20)), F.lit(0)).alias("h")).first()
     return r.n, r.h
@@ -27,10 +36,10 @@ def components(links: DataFrame, steps: int = 60) -> DataFrame:
             break
         # Large star: every node hands its larger neighbours the least node of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("m", "u").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(apart(F.col("u")).alias("n"), F.least("m", "u").alias("m"))
         large = both.join(least, F.col("u") == F.col("n")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: every node hands itself and its smaller neighbours the least of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
+        least = large.groupBy("u").agg(F.min("v").alias("m")).select(apart(F.col("u")).alias("n"), "m")
         small = large.join(least, F.col("u") == F.col("n")).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = stage(small.filter("u <> v").distinct(), "links")
         now = _mark(edges)
