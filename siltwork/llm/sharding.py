@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltwork.llm._graph import apart
 from siltwork.llm._store import stage
 
 CELLS = 256
@@ -105,10 +106,10 @@ def sharded(rows: DataFrame, shards: int = 40, steps: int = 4) -> DataFrame:
     ), "slim")
     total = slim.count()
     half = max(1, total // (2 * shards))
-    groups = slim.filter("h0 is not null").groupBy("h0", "h1").agg(F.count(F.lit(1)).alias("c"), F.min("at").alias("root")).filter("c > 1").select(F.col("h0").alias("_h0"), F.col("h1").alias("_h1"), "c", "root")
+    groups = slim.filter("h0 is not null").groupBy("h0", "h1").agg(F.count(F.lit(1)).alias("c"), F.min("at").alias("root")).filter("c > 1").select(apart(F.col("h0")).alias("_h0"), apart(F.col("h1")).alias("_h1"), "c", "root")
     members = stage(slim.select("at", "h0", "h1", "start").join(groups, (F.col("h0") == F.col("_h0")) & (F.col("h1") == F.col("_h1"))).select(
         "at", "root", "start", F.when(F.col("c") > half, F.pmod(F.xxhash64("at", F.lit(1)), F.ceil(F.col("c") / half))).otherwise(F.lit(0)).alias("block")), "members")
-    hubs = members.groupBy("root", "block").agg(F.min("at").alias("hub")).select(F.col("root").alias("_root"), F.col("block").alias("_block"), "hub")
+    hubs = members.groupBy("root", "block").agg(F.min("at").alias("hub")).select(apart(F.col("root")).alias("_root"), F.col("block").alias("_block"), "hub")
     linked = stage(members.join(hubs, (F.col("root") == F.col("_root")) & (F.col("block") == F.col("_block"))).select("at", "root", "hub", "start"), "linked")
     links = linked.select(F.col("at").alias("u"), F.when(F.col("at") == F.col("hub"), F.col("root")).otherwise(F.col("hub")).alias("v"))
     labels = propagated(links, linked.select(F.col("at").alias("node"), F.col("start").alias("label")), total // shards, shards, steps)
