@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltwork.llm._graph import apart
 from siltwork.llm._store import shared
 from siltwork.llm._text import n_words_of, pieces, small_batches
 
@@ -117,7 +118,7 @@ def copies(docs: DataFrame) -> DataFrame:
     """doc_id of every document whose text a document of smaller doc_id has."""
     h = [F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(7), "text").alias("h1")]
     rows = docs.filter("text is not null and doc_id is not null").select("doc_id", *h)
-    least = rows.groupBy("h0", "h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select(F.col("h0").alias("_h0"), F.col("h1").alias("_h1"), "least")
+    least = rows.groupBy("h0", "h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select(apart(F.col("h0")).alias("_h0"), apart(F.col("h1")).alias("_h1"), "least")
     return rows.join(least, (F.col("h0") == F.col("_h0")) & (F.col("h1") == F.col("_h1"))).filter("doc_id > least").select("doc_id").distinct()
 
 

@@ -53,8 +53,9 @@ def filtered(captures: DataFrame, entries: DataFrame) -> DataFrame:
     small = F.broadcast(listed) if listed.count() <= MOST_BROADCAST else listed
     keys = seen.select("host", "day", F.explode(parents(F.col("host"))).alias("_key"))
     active = keys.join(small, (F.col("_key") == F.col("key")) & (F.col("since") <= F.col("day")) & (F.col("until").isNull() | (F.col("day") < F.col("until"))))
-    verdict = active.groupBy(F.col("host").alias("_host"), F.col("day").alias("_day")).agg(
-        F.count(F.lit(1)).alias("n_active"), F.max(F.struct(F.length("key").alias("n"), "key", "since")).alias("best"))
+    verdict = active.groupBy("host", "day").agg(F.count(F.lit(1)).alias("n_active"), F.max(F.struct(F.length("key").alias("n"), "key", "since")).alias("best"))
+    # A key that the planner does not know as grouped is shuffled again, and a host of many captures can be split.
+    verdict = verdict.select(F.concat("host", F.lit("")).alias("_host"), F.col("day").alias("_day"), "n_active", "best")
     return rows.join(verdict, (F.col("host") == F.col("_host")) & (F.col("day") == F.col("_day")), "left").select(
         "page_id", "host", "day", F.col("n_active").isNotNull().alias("blocked"), F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"), F.col("best.key").alias("entry"), F.col("best.since").alias("since"))
 
