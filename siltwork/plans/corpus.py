@@ -8,6 +8,7 @@ from siltwork.functions.text import content_hash
 from siltwork.operators import bm25, chunking, cost, dedup, dense, evaluate, hybrid, metrics, rewrite
 from siltwork.plans.tables import hash_store, now, queries_of, read, truth
 from siltwork.sources import documents as sources
+from siltwork.store import stage
 
 DOCS = "documents"
 
@@ -87,7 +88,7 @@ def _fused(spark, d, top_k=10):
     vectors = read(spark, d, "embeddings")
     probes = vectors.join(asked.select("query_id"), F.col("vec_id") == F.col("query_id")).select("query_id", "embedding")
     k_dense, k_sparse = hybrid.shares(top_k)
-    norm = bm25.normalised(bm25.scores(_index(spark, d), asked))
+    norm = stage(bm25.normalised(bm25.scores(_index(spark, d), asked)), "norm")
     sparse = bm25.top(norm, k_sparse).select("query_id", "id", "score")
     return hybrid.fused(dense.top_k(vectors.select(F.col("vec_id").alias("id"), "embedding"), probes, k_dense, least=0.0), sparse, norm, 0.3, top_k)
 

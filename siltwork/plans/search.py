@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.operators import answer_cache, bm25, dense, hybrid
+from siltwork.store import stage
 
 
 @dataclass
@@ -34,7 +35,7 @@ def retrieve(queries: DataFrame, points: DataFrame, search: Search, index: bm25.
     vectors = points.select("id", "embedding")
     if search.use_hybrid:
         ix = index or bm25.index(points)
-        norm = bm25.normalised(bm25.scores(ix, queries))
+        norm = stage(bm25.normalised(bm25.scores(ix, queries)), "norm")
         k_dense, k_sparse = hybrid.shares(k)
         sparse = bm25.top(norm, k_sparse).select("query_id", "id", "score")
         found = hybrid.fused(dense.top_k(vectors, queries, k_dense, least=search.least), sparse, norm, search.bm25_weight, k)
