@@ -11,7 +11,8 @@ answer is there: the words of the benchmark's column ``answer`` or, without one,
 passage's words.
 
 Benchmarks larger than ``block`` items are worked off in blocks against all documents, so that what is broadcast
-(vocabulary by rank of one block) has a bound. Words in more than a tenth of the documents carry no weight.
+(vocabulary by rank of one block) has a bound. Words in more than a tenth of the documents carry no weight, unless they
+are in the rarer half of some passage: so each passage has weight, also one that stands in most documents.
 
 Defined results: null and empty texts, and documents of fewer than five words, have no hits; items that are null or
 shorter than five words are skipped; repeated rows are judged each; an empty table of either kind gives no hits; extra
@@ -170,10 +171,12 @@ def fit(docs: DataFrame, bench: DataFrame, rank: int = RANK) -> Index:
         u, v = np.unique(p), index.places(np.unique(p))[1]
         index.answers.append(np.unique(hashes(a)) if a else u[np.argsort(-every[v], kind="stable")[: -(-len(u) // 2)]])
         index.needed.append(len(index.answers[-1]) if a else -(-len(index.answers[-1]) // 2))
+    # Frequent words leave the vocabulary, but never those of a passage's rarer half: it keeps its weight however many documents hold it.
     kept = df <= max(COMMON * rows, 1)
+    for p in index.words:
+        v = index.places(np.unique(p))[1]
+        kept[v[np.argsort(-every[v], kind="stable")[: -(-len(v) // 2)]]] = True
     index.vocabulary, index.idf = index.vocabulary[kept], every[kept]
-    if not len(index.vocabulary):
-        index.vocabulary, index.idf = np.unique(np.concatenate(index.words)), every
     v = _svd(bench, index, rank)
     index.fold = (v * index.idf[:, None]).astype(np.float32)
     index.latent = np.stack([v[u].T @ x for u, x in (_rows(index, p) for p in index.words)]).astype(np.float32)

@@ -228,6 +228,28 @@ def test_decontamination_stage(spark, table):
     assert out.columns == [*docs.columns, "item_id"] and len({d for d, _ in want} & left) <= 3 and len(left) >= 303 - len(want) - 1
 
 
+def test_decontamination_of_hot_and_frequent_items(spark):
+    """An item in a third of the documents, and one whose words are all frequent, beside an ordinary one."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aeioubcdfglmnprst") for _ in range(rng.randint(4, 9)))
+    common = [word() for _ in range(120)]
+    hot, frequent, ordinary = [word() for _ in range(34)], rng.sample(common, 30), [word() for _ in range(30)]
+    rows, want = [], set()
+    for i in range(240):
+        words = [word() if rng.random() < 0.5 else rng.choice(common) for _ in range(150)]
+        for k, item in enumerate((hot, frequent, ordinary)):
+            if i % (3, 24, 40)[k] == k:
+                at = rng.choice([0, 150])
+                words[at:at] = item
+                want.add((i, k))
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate((hot, frequent, ordinary))], "item_id long, text string")
+    for items in (bench, bench.filter("item_id = 0"), bench.filter("item_id = 1")):
+        ids = {r.item_id for r in items.collect()}
+        assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()} == {x for x in want if x[1] in ids}
+
+
 def test_subsequence():
     assert decontam.subsequence(np.array([1, 2, 3, 4, 1]), np.array([9, 1, 3, 9, 4, 2, 1])) == 4
     assert decontam.subsequence(np.array([1]), np.array([], dtype=np.int64)) == 0
