@@ -5,10 +5,12 @@ Their TF-IDF matrix, with document frequencies counted over all documents, is fa
 iterations multiply by the partitioned matrix in Spark, and only vocabulary-by-rank factors meet on the driver. Windows
 of 64 words at every 16th word of every document are folded into the latent space. A window is a candidate for a
 passage if it holds half of the passage's latent weight (the length of its projection on the passage, over the
-passage's) at a cosine of 0.1 or more; a short passage among other rare words has no larger one. A candidate is a hit
-if the longest common subsequence of the passage and the words in and around the window covers 0.6 of the passage, and the
-answer is there: the words of the benchmark's column ``answer`` or, without one, half of the rarer half of the
-passage's words.
+passage's) at a cosine of 0.1 or more. The latent space keeps the leading directions only, so a second, exact way adds
+what its projections lose: every passage of whose words a stretch of four windows holds as many as a hit cannot lack (found from the rarest of
+them). So all passages that meet the checks that follow are
+found, whatever the rank, the block and its other items. A candidate is a hit if the longest common subsequence of the
+passage and the words in and around the window covers 0.6 of the passage, and the answer is there: the words of the
+benchmark's column ``answer`` or, without one, half of the rarer half of the passage's words.
 
 Benchmarks larger than ``block`` items are worked off in blocks against all documents, so that what is broadcast
 (vocabulary by rank of one block) has a bound. Words in more than a tenth of the documents carry no weight, unless they
@@ -36,6 +38,8 @@ PUNCTUATION = b".,;:!?\"'()[]{}"
 PASSAGE, SHORTEST, STRIDE, SPAN = 48, 5, 16, 4
 RANK, OVERSAMPLE, POWER = 128, 16, 2
 COSINE, WEIGHT, SUBSEQUENCE, COMMON = 0.1, 0.5, 0.6, 0.1
+#: Passages whose projection keeps less of their length are left to the exact way; their latent weight is noise.
+HELD = 0.9
 
 
 def plain_words(text: str | None) -> list[bytes]:
@@ -49,6 +53,89 @@ def passages(words: list) -> list[list]:
     return [words[a:b] for a, b in zip(ends, ends[1:], strict=False) if b - a >= SHORTEST]
 
 
+@dataclass
+class Probes:
+    """What no stretch of text with a hit lacks: of each passage, ``least[i]`` of its words in the lists i = 0, 1, and one of its keys.
+
+    List 0 holds the rarer words and the keys are its rarest; list 1 holds all words. Words are numbers in
+    ``vocabulary``; flat lists with starts hold the passages of each key and the words of each passage.
+    """
+
+    vocabulary: np.ndarray
+    of_key: np.ndarray
+    key_starts: np.ndarray
+    words: list[np.ndarray]
+    word_starts: list[np.ndarray]
+    least: list[np.ndarray]
+    reach: int
+
+    def met(self, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, first window, passage) where SPAN windows on end and ``reach`` words around them hold enough of the passage."""
+        size, items, out = len(self.vocabulary), len(self.least[0]), [np.empty(0, np.int64)]
+        v = np.minimum(np.searchsorted(self.vocabulary, h), size - 1)
+        at = np.flatnonzero(self.vocabulary[v] == h)
+        jump = SPAN * STRIDE
+        length = jump + (SPAN - 1) * STRIDE + self.reach
+        stretches = -(-n // jump)
+        base = np.cumsum(stretches) - stretches
+        text = np.repeat(np.arange(len(n)), n)[at]
+        place = at - (np.cumsum(n) - n)[text]
+        low = np.maximum(0, -(-(place - length + 1) // jump))
+        many = np.minimum(stretches[text] - 1, (place + self.reach) // jump) - low + 1
+        stretch, v = _runs(base[text] + low, many), np.repeat(v[at], many)
+        order = np.argsort(stretch, kind="stable")
+        stretch, v = stretch[order], v[order]
+        step = max(1, (1 << 22) // max(size, items))  # stretches at a time, so that memory stays bounded
+        ends = np.searchsorted(stretch, np.arange(0, int(stretches.sum()) + step, step))
+        for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+            if a == b:
+                continue
+            seen = np.zeros(step * size, bool)
+            seen[(stretch[a:b] - i * step) * size + v[a:b]] = True
+            held = np.flatnonzero(seen)
+            d, w = held // size, held % size
+            many = self.key_starts[w + 1] - self.key_starts[w]
+            pairs = np.unique(np.repeat(d, many) * items + self.of_key[_runs(self.key_starts[w], many)])
+            for part in np.array_split(pairs, -(-len(pairs) // 65536)) if len(pairs) else []:
+                for words, starts, least in zip(self.words, self.word_starts, self.least, strict=True):
+                    if len(part):
+                        d, p = part // items, part % items
+                        many = starts[p + 1] - starts[p]
+                        there = seen[np.repeat(d, many) * size + words[_runs(starts[p], many)]]
+                        part = part[np.add.reduceat(there, np.cumsum(many) - many, dtype=np.int64) >= least[p]]
+                out.append(part + i * step * items)
+        pairs = np.concatenate(out)
+        stretch, p = pairs // items, pairs % items
+        text = np.searchsorted(base, stretch, side="right") - 1
+        return text, (stretch - base[text]) * SPAN, p
+
+
+def _runs(starts: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, ``many`` of them, one run after another."""
+    return np.arange(int(many.sum())) + np.repeat(starts - np.cumsum(many) + many, many)
+
+
+def _probes(index: Index, answered: list[bool], every: np.ndarray) -> Probes:
+    """The probes of the passages, whose vocabulary has the inverse frequencies ``every``."""
+    rare, full, keys, least = [], [], [], ([], [])
+    for p, answer, needed, own in zip(index.words, index.answers, index.needed, answered, strict=True):
+        u, n = np.unique(p, return_counts=True)
+        # The fewest different words that SUBSEQUENCE of the passage can have.
+        most = 1 + int(np.searchsorted(np.cumsum(np.sort(n)[::-1]), SUBSEQUENCE * len(p) - 1e-9))
+        full.append(index.places(u)[1])
+        v = full[-1] if own else index.places(answer)[1]  # an answer of its own may lie outside the passage
+        v = v[np.argsort(-every[v], kind="stable")]
+        least[0].append(most if own else needed)
+        least[1].append(most)
+        rare.append(v)
+        keys.append(v[: len(v) - least[0][-1] + 1])
+    of, flat = np.repeat(np.arange(len(keys)), [len(k) for k in keys]), np.concatenate(keys)
+    order = np.argsort(flat, kind="stable")
+    starts = np.searchsorted(flat[order], np.arange(len(index.vocabulary) + 1))
+    return Probes(index.vocabulary, of[order], starts, [np.concatenate(x) for x in (rare, full)],
+                  [np.cumsum([0, *map(len, x)]) for x in (rare, full)], [np.array(x) for x in least], max(map(len, index.words)) // 2)
+
+
 @dataclass
 class Index:
     """One block of the benchmark: vocabulary, its fold into the latent space, and the passages."""
@@ -57,10 +144,12 @@ class Index:
     words: list[np.ndarray] = field(default_factory=list)
     answers: list[np.ndarray] = field(default_factory=list)
     needed: list[int] = field(default_factory=list)
+    probes: dict = None
     vocabulary: np.ndarray = None
     idf: np.ndarray = None
     fold: np.ndarray = None
     latent: np.ndarray = None
+    held: np.ndarray = None
 
     def places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the words that are in the vocabulary, and their numbers there."""
@@ -171,6 +260,7 @@ def fit(docs: DataFrame, bench: DataFrame, rank: int = RANK) -> Index:
         u, v = np.unique(p), index.places(np.unique(p))[1]
         index.answers.append(np.unique(hashes(a)) if a else u[np.argsort(-every[v], kind="stable")[: -(-len(u) // 2)]])
         index.needed.append(len(index.answers[-1]) if a else -(-len(index.answers[-1]) // 2))
+    index.probes = vars(_probes(index, [bool(a) for a in found], every))  # plain, as what is broadcast
     # Frequent words leave the vocabulary, but never those of a passage's rarer half: it keeps its weight however many documents hold it.
     kept = df <= max(COMMON * rows, 1)
     for p in index.words:
@@ -179,7 +269,9 @@ def fit(docs: DataFrame, bench: DataFrame, rank: int = RANK) -> Index:
     index.vocabulary, index.idf = index.vocabulary[kept], every[kept]
     v = _svd(bench, index, rank)
     index.fold = (v * index.idf[:, None]).astype(np.float32)
-    index.latent = np.stack([v[u].T @ x for u, x in (_rows(index, p) for p in index.words)]).astype(np.float32)
+    rows = [_rows(index, p) for p in index.words]
+    index.latent = np.stack([v[u].T @ x for u, x in rows]).astype(np.float32)
+    index.held = np.flatnonzero(np.linalg.norm(index.latent, axis=1) >= HELD * np.array([np.linalg.norm(x) for _, x in rows]))
     return index
 
 
@@ -188,9 +280,9 @@ def hits(texts: list[str | None], index: Index) -> list[tuple[int, object, float
     if not index.words:
         return []
     h, n = _word_hashes(texts)
-    at, v = index.places(h)
-    if not len(at):
+    if not len(h):
         return []
+    at, v = index.places(h)
     starts = np.cumsum(n) - n
     doc = np.repeat(np.arange(len(n)), n)
     blocks = -(-n // STRIDE) + SPAN - 1  # empty ones stand between documents
@@ -198,27 +290,37 @@ def hits(texts: list[str | None], index: Index) -> list[tuple[int, object, float
     block = base[doc[at]] + (at - starts[doc[at]]) // STRIDE
     first = np.flatnonzero(np.diff(block, prepend=-1))
     dense = np.zeros((int(blocks.sum()) + SPAN, index.fold.shape[1]), np.float32)
-    dense[block[first]] = np.add.reduceat(index.fold[v], first, axis=0)
+    if len(at):
+        dense[block[first]] = np.add.reduceat(index.fold[v], first, axis=0)
     window = sum(dense[i : len(dense) - SPAN + 1 + i] for i in range(SPAN))
     size, own = np.linalg.norm(window, axis=1), np.linalg.norm(index.latent, axis=1)
-    live = np.flatnonzero(size > WEIGHT * own[own > 0].min() if (own > 0).any() else size > np.inf)
+    latent, long = index.latent[index.held], own[index.held]
+    live = np.flatnonzero(size > WEIGHT * long.min() if len(long) else size > np.inf)
     best: dict[tuple[int, object], tuple[float, float, int]] = {}
+
+    def judge(d: int, p: int, start: int, cosine: float) -> None:
+        passage, margin = index.words[p], len(index.words[p]) // 2
+        near = h[starts[d] + max(0, start - margin) : starts[d] + min(n[d], start + SPAN * STRIDE + margin)]
+        if np.isin(index.answers[p], near).sum() < index.needed[p]:
+            return
+        share = subsequence(passage, near) / len(passage)
+        key = (d, index.items[p])
+        if share >= SUBSEQUENCE and (key not in best or (share, cosine) > best[key][1::-1]):
+            best[key] = (cosine, share, start)
+
     for part in np.array_split(live, -(-len(live) // 4096)) if len(live) else []:
-        dot = window[part] @ index.latent.T
-        cosine = dot / np.maximum(size[part][:, None] * own[None, :], 1e-9)
-        weight = dot / np.maximum(own[None, :] ** 2, 1e-9)
+        dot = window[part] @ latent.T
+        cosine = dot / np.maximum(size[part][:, None] * long[None, :], 1e-9)
+        weight = dot / np.maximum(long[None, :] ** 2, 1e-9)
         w, p = np.nonzero((weight >= WEIGHT) & (cosine >= COSINE))
         for w_, p_ in zip(w.tolist(), p.tolist(), strict=True):
             d = int(np.searchsorted(base, part[w_], side="right")) - 1
-            passage, margin = index.words[p_], len(index.words[p_]) // 2
-            start = int(part[w_] - base[d]) * STRIDE
-            near = h[starts[d] + max(0, start - margin) : starts[d] + min(n[d], start + SPAN * STRIDE + margin)]
-            if np.isin(index.answers[p_], near).sum() < index.needed[p_]:
-                continue
-            share = subsequence(passage, near) / len(passage)
-            key = (d, index.items[p_])
-            if share >= SUBSEQUENCE and (key not in best or (share, float(cosine[w_, p_])) > best[key][1::-1]):
-                best[key] = (float(cosine[w_, p_]), share, start)
+            judge(d, int(index.held[p_]), int(part[w_] - base[d]) * STRIDE, float(cosine[w_, p_]))
+    # The exact way: whatever the projections lose, no hit lacks its probes.
+    for d, w, p in zip(*(x.tolist() for x in Probes(**index.probes).met(h, n)), strict=True):
+        for k in range(w, min(w + SPAN, -(-int(n[d]) // STRIDE))):
+            dot = float(window[base[d] + k] @ index.latent[p])
+            judge(d, p, k * STRIDE, dot / max(float(size[base[d] + k] * own[p]), 1e-9))
     return [(d, item, *x) for (d, item), x in best.items()]
 
 

@@ -250,6 +250,36 @@ def test_decontamination_of_hot_and_frequent_items(spark):
         assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()} == {x for x in want if x[1] in ids}
 
 
+@pytest.mark.parametrize("answer", [False, True])
+def test_decontamination_finds_all_of_a_large_benchmark(spark, answer):
+    """More passages than the rank, among texts full of benchmark words: equal to the checks in every window."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aeioubcdfglmnprst") for _ in range(6)) for _ in range(900)]
+    items = [[rng.choice(words) for _ in range(rng.randint(8, 24))] for _ in range(400)]
+    texts = [[rng.choice(words) for _ in range(rng.choice([10, 60, 120]))] for _ in range(400)]
+    for i, k in enumerate(rng.sample(range(400), 400)):
+        texts[i][(at := rng.randrange(len(texts[i]))) : at] = items[k]
+    asked = [x[len(x) // 2] for x in items]
+    df = Counter(x for t in texts for x in set(t))
+    hashed = {w: int(decontam.hashes([w.encode()])[0]) for w in words}
+    want = set()
+    for k, item in enumerate(items):
+        rare = sorted(set(item), key=lambda w: (df[w], hashed[w]))
+        rare, margin = set(rare[: -(-len(rare) // 2)]), len(item) // 2
+        for i, t in enumerate(texts):
+            for start in range(0, len(t), 16):
+                near = t[max(0, start - margin) : start + 64 + margin]
+                if (asked[k] in near) if answer else len(rare & set(near)) >= -(-len(rare) // 2):
+                    if decontam.subsequence(np.array([hashed[w] for w in item], np.uint64), np.array([hashed[w] for w in near], np.uint64)) >= 0.6 * len(item):
+                        want.add((i, k))
+                        break
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(x), a) for k, (x, a) in enumerate(zip(items, asked))], "item_id long, text string, answer string")
+    bench = bench if answer else bench.drop("answer")
+    for block in (1000, 150):
+        assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, block=block).collect()} == want and len(want) >= 400
+
+
 def test_subsequence():
     assert decontam.subsequence(np.array([1, 2, 3, 4, 1]), np.array([9, 1, 3, 9, 4, 2, 1])) == 4
     assert decontam.subsequence(np.array([1]), np.array([], dtype=np.int64)) == 0
