@@ -1,12 +1,12 @@
-"""Substring dedup with prefix-partitioned suffix trees.
+"""Substring dedup by hashes of windows, partitioned by variable-length prefixes; no suffix trees are built.
 
 Every word position with ``n`` words to come starts a suffix. A first pass counts suffixes by the cells of their first
 and of their first two words (2^16 counters, however large the table). Cells become units of about equal count by
 prefixes of variable length: one word; two words where one is too frequent; all ``n`` words where two are. Units are
-packed into groups that fit in memory, and each group's suffixes meet in one task, sorted, which is the order of the
-leaves of that group's suffix tree. Runs of suffixes with the same first n words are its internal nodes of depth n or
-more; in each such node, the suffixes outside the smallest doc_id are repeats. Neighbouring repeated windows of a
-document join into its maximal repeated spans, which are removed.
+packed into groups that fit in memory. Of a suffix only a 64-bit hash of its first n words is kept: a group's hashes meet
+in one task, sorted, and among equal ones those outside the smallest doc_id are repeats. That is all the removal needs,
+and a record stays a few bytes; what suffix trees would give beyond it, the length and occurrences of each maximal
+repeat, is not found. Neighbouring repeated windows of a document join into spans, which are removed.
 
 Texts are read in pieces of about 4 MB. A piece sends each distinct window once, with the smallest doc_id that has it
 in the piece (so a passage of a third of all documents costs a record per piece, not one per document), packed and
