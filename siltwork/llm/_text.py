@@ -7,6 +7,7 @@ yields for UTF-8 text; a null text has no words.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -53,13 +54,23 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-#: Most bytes of an Arrow batch between Spark and Python, about.
+#: Most bytes of an Arrow batch between Spark and Python, about, where an operator writes its result itself.
 BATCH_BYTES = 4 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds the session's Arrow batches by bytes, so that a task holds a few MB of text at a time, however long the texts are."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, Arrow batches are bounded by bytes, so that a task holds a few MB of text at a time, however long the texts are.
+
+    The session's own bound holds again afterwards; plans that run later go by that one.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:

@@ -3,14 +3,16 @@
 Every row starts in a shard by hash. Iterative joins then move linked rows towards the shard that most of their
 neighbours are in, under quotas: a shard admits linked rows only up to its share of all rows, whole neighbourhoods
 before parts of others (candidates are counted by shard and hash cell, 256 cells a shard, and cells are admitted while
-they fit). On odd steps only neighbours of smaller number vote, so that two ends of a link never swap places.
+they fit). On odd steps only neighbours of smaller number vote, so that two ends of a link never swap places. It ends
+when no row gains by moving, or after ``steps``. What moves is counted on the driver: shards * 257 numbers a step.
 
 A last step makes counts exact: shards differ by one row at most (law ``rows``). Rows are numbered within their shard,
 linked ones first; those beyond the quota, single rows before linked ones, fill the free slots of other shards.
 Numbering sorts by range over all partitions and adds up the partitions' counts, so no shard is gathered in one task.
 
 For op2 the links join equal texts. A group of more than half a quota is split into blocks, each with a hub of its own
-that links to the group's; so a group of copies however large has no more than one link for each row.
+that links to the group's; so a group of copies however large has no more than one link for each row. ``cut_links``
+counts the links whose ends are apart.
 
 Defined results: a null text has size 16, CRC 0 and no links; null and repeated doc_ids are rows of their own; an
 empty table gives an empty result; extra columns are ignored (the pipeline stage returns them beside the shard).
@@ -18,7 +20,9 @@ empty table gives an empty result; extra columns are ignored (the pipeline stage
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.llm._graph import apart
@@ -27,56 +31,57 @@ from siltwork.llm._store import stage
 CELLS = 256
 
 
-def _by_shard(df: DataFrame, column: str, shards: int) -> list[int]:
-    counts = {r[0]: r[1] for r in df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(s, 0) for s in range(shards)]
+def _lookup(values: list, kind: str, at: Column) -> Column:
+    """The value at this place of a list of bounded length, which travels as one literal."""
+    return F.get(F.from_json(F.lit(json.dumps(values)), f"array<{kind}>"), at.cast("int"))
+
 
+def propagated(links: DataFrame, labels: DataFrame, full: list[int], quota: int, steps: int = 4) -> DataFrame:
+    """(node, label) after label propagation.
 
-def propagated(links: DataFrame, labels: DataFrame, quota: int, shards: int, steps: int = 4) -> DataFrame:
-    """(node, label) after label propagation; links: u, v; labels: node, label, a row for every node of the links."""
+    links: u, v; labels: node, label, a row for every node of the links, in a table; full: the nodes of each label; quota: the most that a label admits.
+    """
+    shards = len(full)
     both = stage(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct(), "links")
     for step in range(1, steps + 1):
         heard = both.filter("v < u") if step % 2 else both
-        votes = heard.join(labels.select(F.col("node").alias("_v"), "label"), F.col("v") == F.col("_v")).groupBy("u", "label").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("near"))
-        own = votes.join(labels.select(F.col("node").alias("_u"), F.col("label").alias("own")), F.col("u") == F.col("_u"))
-        best = own.groupBy("u").agg(
-            F.max(F.struct("n", (-F.col("label")).alias("k"), "near")).alias("best"), F.max(F.when(F.col("label") == F.col("own"), F.col("n")).otherwise(0)).alias("mine"), F.max("own").alias("own")
-        )
-        movers = best.select("u", (-F.col("best.k")).cast("int").alias("to"), F.pmod(F.xxhash64("best.near"), F.lit(CELLS)).cast("int").alias("cell"), (F.col("best.n") - F.col("mine")).alias("gain"), "own")
-        movers = stage(movers.filter("gain > 0 and to <> own").select("u", "to", "cell"), "movers")
-        wanted = {(r.to, r.cell): r.n for r in movers.groupBy("to", "cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # shards * CELLS rows at most
+        none = F.lit(None).cast("long")
+        votes = heard.join(labels.select(F.col("node").alias("_v"), "label"), F.col("v") == F.col("_v")).select("u", "label", F.lit(1).alias("n"), F.col("v").alias("near"), F.lit(0).alias("own"))
+        votes = votes.unionByName(labels.select(F.col("node").alias("u"), "label", F.lit(0).alias("n"), none.alias("near"), F.lit(1).alias("own")))
+        sums = votes.groupBy("u", "label").agg(F.sum("n").alias("n"), F.min("near").alias("near"), F.max("own").alias("own"))
+        # Most votes win, of equal ones the smallest shard.
+        best = sums.groupBy("u").agg(F.max(F.struct("n", (-F.col("label")).alias("k"), "near")).alias("best"), F.max(F.when(F.col("own") == 1, F.struct("label", "n"))).alias("own"))
+        gains = F.col("best.n") > F.col("own.n")
+        state = stage(best.select(
+            F.col("u").alias("node"), F.col("own.label").alias("label"), F.when(gains, (-F.col("best.k")).cast("int")).alias("to"),
+            F.when(gains, F.pmod(F.xxhash64("best.near"), F.lit(CELLS)).cast("int")).alias("cell")), "state")
+        wanted = {(r.to, r.cell): r.n for r in state.filter("to is not null").groupBy("to", "cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # shards * CELLS rows at most
         if not wanted:
-            break
-        full, open_ = _by_shard(labels, "label", shards), []
+            return state.select("node", "label")
+        room, admitted = list(full), [False] * (shards * CELLS)
         for (to, cell), n in sorted(wanted.items()):
-            if full[to] + n <= quota:
-                full[to] += n
-                open_.append(to * CELLS + cell)
-        if not open_:
-            continue
-        admitted = movers.filter(F.array_contains(F.split(F.lit(",".join(map(str, open_))), ",").cast("array<int>"), F.col("to") * CELLS + F.col("cell")))
-        labels = stage(labels.join(admitted.select(F.col("u").alias("_u"), "to"), F.col("node") == F.col("_u"), "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+            if room[to] + n <= quota:
+                room[to] += n
+                admitted[to * CELLS + cell] = True
+        moves = F.coalesce(_lookup(admitted, "boolean", F.col("to") * CELLS + F.col("cell")), F.lit(False))
+        labels = state.select("node", F.when(moves, F.col("to")).otherwise(F.col("label")).alias("label"))
+        if step < steps and any(admitted):
+            left = {r.label: r.n for r in state.filter(moves).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+            full = [n - left.get(s, 0) for s, n in enumerate(room)]
     return labels
 
 
-def numbered(rows: DataFrame, shard: str, *order: str) -> DataFrame:
-    """``rows`` with ``slot``, counting from 0 within each shard in the given order."""
-    cols = [shard, *order]
-    placed = rows.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
-    placed = stage(placed, "ranges")
-    parts = placed.groupBy("_part", shard).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first")).collect()  # partitions + shards rows
-    before, starts = {}, []
-    for r in sorted(parts, key=lambda r: (r[shard], r["_part"])):
-        starts.append((r["_part"], r[shard], before.get(r[shard], 0) - r["first"]))
-        before[r[shard]] = before.get(r[shard], 0) + r["n"]
-    table = rows.sparkSession.createDataFrame(starts, "_p int, _s int, _add long")
-    return placed.join(F.broadcast(table), (F.col("_part") == F.col("_p")) & (F.col(shard) == F.col("_s"))).withColumn("slot", F.col("_at") + F.col("_add")).drop("_part", "_at", "_p", "_s", "_add")
-
-
 def evened(rows: DataFrame, shards: int) -> DataFrame:
     """Rows (at, start, linked, hub, ...) with shard and slot; counts of shards differ by one at most."""
-    slots = stage(numbered(rows.withColumn("single", F.when(F.col("linked"), 0).otherwise(1)), "start", "single", "hub", "at"), "slots")
-    full = _by_shard(slots, "start", shards)
+    cols = ["start", F.when(F.col("linked"), 0).otherwise(1), "hub", "at"]
+    placed = stage(rows.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "ranges")
+    parts = placed.groupBy("_part", "start").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first")).collect()  # partitions + shards rows
+    full, starts = [0] * shards, []
+    for r in sorted(parts, key=lambda r: (r.start, r._part)):
+        starts.append((r._part, r.start, full[r.start] - r.first))
+        full[r.start] += r.n
+    table = F.broadcast(rows.sparkSession.createDataFrame(starts, "_p int, _s int, _add long"))
+    slots = placed.join(table, (F.col("_part") == F.col("_p")) & (F.col("start") == F.col("_s"))).withColumn("slot", F.col("_at") + F.col("_add")).drop("_part", "_at", "_p", "_s", "_add")
     total = sum(full)
     quota = [total // shards + (s < total % shards) for s in range(shards)]
     over, free, taken, given = [], [], 0, 0
@@ -93,7 +98,27 @@ def evened(rows: DataFrame, shards: int) -> DataFrame:
     stretch = F.size(F.filter(literal([b for _, b, _ in free]), lambda b: b <= nth)) - 1
     shard = F.when(moved, F.get(literal([s for s, _, _ in free]), stretch)).otherwise(F.col("start"))
     slot = F.when(moved, nth + F.get(literal([f - b for _, b, f in free]), stretch)).otherwise(F.col("slot"))
-    return slots.select("*", shard.cast("int").alias("shard"), slot.cast("long").alias("place")).drop("slot", "single").withColumnRenamed("place", "slot")
+    return slots.select("*", shard.cast("int").alias("shard"), slot.cast("long").alias("place")).drop("slot").withColumnRenamed("place", "slot")
+
+
+def equal_texts(rows: DataFrame, half: int) -> DataFrame:
+    """(at, root, hub, start) of rows (at, h0, h1, start) whose digest others share; groups of more than ``half`` rows have a hub for each block."""
+    groups = rows.filter("h0 is not null").groupBy("h0", "h1").agg(F.count(F.lit(1)).alias("c"), F.min("at").alias("root")).filter("c > 1").select(apart(F.col("h0")).alias("_h0"), apart(F.col("h1")).alias("_h1"), "c", "root")
+    members = stage(rows.select("at", "h0", "h1", "start").join(groups, (F.col("h0") == F.col("_h0")) & (F.col("h1") == F.col("_h1"))).select(
+        "at", "root", "start", F.when(F.col("c") > half, F.pmod(F.xxhash64("at", F.lit(1)), F.ceil(F.col("c") / half))).otherwise(F.lit(0)).alias("block")), "members")
+    hubs = members.groupBy("root", "block").agg(F.min("at").alias("hub")).select(apart(F.col("root")).alias("_root"), F.col("block").alias("_block"), "hub")
+    return stage(members.join(hubs, (F.col("root") == F.col("_root")) & (F.col("block") == F.col("_block"))).select("at", "root", "hub", "start"), "linked")
+
+
+def links_of(linked: DataFrame) -> DataFrame:
+    return linked.select(F.col("at").alias("u"), F.when(F.col("at") == F.col("hub"), F.col("root")).otherwise(F.col("hub")).alias("v")).filter("u <> v")
+
+
+def cut_links(links: DataFrame, placed: DataFrame) -> DataFrame:
+    """One row (n_links, n_cut): links (u, v), and those whose ends are in different shards; placed: at, shard."""
+    of = lambda c: placed.select(F.col("at").alias(f"_{c}"), F.col("shard").alias(f"shard_{c}"))
+    both = links.join(of("u"), F.col("u") == F.col("_u")).join(of("v"), F.col("v") == F.col("_v"))
+    return both.agg(F.count(F.lit(1)).alias("n_links"), F.count_if(F.col("shard_u") != F.col("shard_v")).alias("n_cut"))
 
 
 def sharded(rows: DataFrame, shards: int = 40, steps: int = 4) -> DataFrame:
@@ -105,14 +130,9 @@ def sharded(rows: DataFrame, shards: int = 40, steps: int = 4) -> DataFrame:
         F.pmod(F.xxhash64("at"), F.lit(shards)).cast("int").alias("start"),
     ), "slim")
     total = slim.count()
-    half = max(1, total // (2 * shards))
-    groups = slim.filter("h0 is not null").groupBy("h0", "h1").agg(F.count(F.lit(1)).alias("c"), F.min("at").alias("root")).filter("c > 1").select(apart(F.col("h0")).alias("_h0"), apart(F.col("h1")).alias("_h1"), "c", "root")
-    members = stage(slim.select("at", "h0", "h1", "start").join(groups, (F.col("h0") == F.col("_h0")) & (F.col("h1") == F.col("_h1"))).select(
-        "at", "root", "start", F.when(F.col("c") > half, F.pmod(F.xxhash64("at", F.lit(1)), F.ceil(F.col("c") / half))).otherwise(F.lit(0)).alias("block")), "members")
-    hubs = members.groupBy("root", "block").agg(F.min("at").alias("hub")).select(apart(F.col("root")).alias("_root"), F.col("block").alias("_block"), "hub")
-    linked = stage(members.join(hubs, (F.col("root") == F.col("_root")) & (F.col("block") == F.col("_block"))).select("at", "root", "hub", "start"), "linked")
-    links = linked.select(F.col("at").alias("u"), F.when(F.col("at") == F.col("hub"), F.col("root")).otherwise(F.col("hub")).alias("v"))
-    labels = propagated(links, linked.select(F.col("at").alias("node"), F.col("start").alias("label")), total // shards, shards, steps)
+    linked = equal_texts(slim, max(1, total // (2 * shards)))
+    counts = {r.start: r.n for r in linked.groupBy("start").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labels = propagated(links_of(linked), linked.select(F.col("at").alias("node"), F.col("start").alias("label")), [counts.get(s, 0) for s in range(shards)], total // shards, steps)
     named = linked.join(labels, F.col("at") == F.col("node")).select(F.col("at").alias("_at"), "hub", "label")
     every = slim.drop("h0", "h1").join(named, F.col("at") == F.col("_at"), "left").select(
         "at", "doc_id", "size", "text_crc32", F.coalesce("label", "start").alias("start"), F.col("hub").isNotNull().alias("linked"), F.coalesce("hub", "at").alias("hub"))

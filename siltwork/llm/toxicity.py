@@ -103,14 +103,14 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = 12_000) -> tuple[np.ndarray, np.ndarray, float]:
     """(places, weights, intercept) from at most ``most`` labelled rows that are not held out."""
-    small_batches(docs.sparkSession)
     known = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("y"))
     chosen = known.filter(~held_out(F.col("_id"))).select("_id", "y", F.xxhash64("_id").alias("k")).orderBy("k", "_id").limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("k", F.col("y").cast("int").alias("y"), "text")
     featured = rows.mapInArrow(_featured, "k long, y int, at array<int>").groupBy(F.lit(0).alias("one"))
-    found = featured.applyInArrow(_fitted, "at long, w double").collect()
-    places = np.array([r.at for r in found if r.at >= 0], np.int64)
-    return places, np.array([r.w for r in found if r.at >= 0]), sum(r.w for r in found if r.at < 0) if found else UNLEARNED
+    with small_batches(docs.sparkSession):
+        found = featured.applyInArrow(_fitted, "at long, w double").toArrow()  # 2^20 rows at most
+    at, w = found["at"].to_numpy(), found["w"].to_numpy()
+    return at[at >= 0], w[at >= 0], float(w[at < 0][0]) if len(at) else UNLEARNED
 
 
 def scores(texts: list[str | None], model: tuple[np.ndarray, np.ndarray, float], dense: np.ndarray) -> np.ndarray:

@@ -64,7 +64,7 @@ def test_near_duplicates_in_one_large_region(spark):
     rows += [(None, passage), (400, None), (401, passage)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     _, root = near(rows)
-    got = near_dedup.near_duplicates(docs, small=8).collect()
+    got = near_dedup.near_duplicates(docs, run_rows=8).collect()
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == root
     assert [r.kept for r in got if r.doc_id is None] == [True]
 
