@@ -1,11 +1,19 @@
 """Mixing sources to target weights by entropy balancing, in DataFrame operations only.
 
-Every document starts with rate q (1 by default). The rates nearest to q in Kullback-Leibler divergence, weighted
-by size, under "sum of rate * size over a source = the source's target" are r = q * exp(l) with one multiplier per
-source. Newton iterations over the sources' distributed sums solve the convex dual for l, with r held to ``most``.
-Rates are then rounded to whole copies: sources are split by hash into blocks of about ``block`` documents, and in
-each block, from the largest document to the smallest, what rounding left over is carried to the next document, so
-that a block ends within a small document of its target. All choices hang on the rows alone: reruns agree.
+Every document starts with rate q (1 by default). Of all rates up to ``most``, those nearest to q in Kullback-Leibler
+divergence, weighted by size, are sought under token constraints of two kinds: each source's words sum to the source's
+target, exactly; and the words of each moment, by default of each band of document length, sum to the moment's share of
+the corpus, softly: a gap costs its square, so that constraints which contradict each other still have a solution. The
+solution has the form r = least(most, q * exp(l of the source + m of the document's moments)).
+
+Newton iterations solve the convex dual for m. For given m the multiplier l of each source has a closed form (documents
+that stop at ``most`` are those of the largest tilts), so iterations run over the sources' distributed sums with l
+eliminated; gradient and Hessian have one row for each moment, whatever the number of sources and documents.
+
+Rates are then rounded to whole copies: sources are split by hash into blocks of about ``block`` documents, and in each
+block, from the largest document to the smallest, what rounding left over is carried to the next document, so that a
+block ends within a small document of its target. Rows that agree in key, size and rate are one record with a count
+until the end, however many they are. All choices hang on the rows alone: reruns agree.
 
 Defined results: a null text has size 0 and takes 0 words; a null source is a source of its own, last in order; an
 empty table gives an empty result; repeated rows are documents of their own. Extra columns are ignored.
@@ -13,6 +21,9 @@ empty table gives an empty result; repeated rows are documents of their own. Ext
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +32,12 @@ from siltwork.llm._text import n_words_of
 
 #: Tables of sources up to this many rows are broadcast; larger ones join by shuffle.
 MOST_BROADCAST = 50_000
+#: The bands of document length in words: up to each of these, and beyond.
+BANDS = (100, 300, 1000)
+#: How much a moment may miss its share: the gap over the share is this times the moment's multiplier.
+SOFT = 0.02
+#: Documents of one fold of the rounding, whose decisions are the bits of a number.
+FOLD = 32
 
 
 def _bounded(table: DataFrame) -> DataFrame:
@@ -46,66 +63,114 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     return t.select("source", "source_size", F.least(F.col("cap"), F.coalesce(F.col("final") * F.col("w"), F.col("cap"))).alias("target"))
 
 
-def balanced(docs: DataFrame, goals: DataFrame, most: float = 2.0, steps: int = 12, within: float = 1e-9) -> DataFrame:
-    """(source, lambda): the multipliers, by Newton's method on the dual; docs: source, size, q."""
-    own = F.col("source").eqNullSafe(F.col("_s"))
-    now = stage(goals.select(F.col("source").alias("_s"), "target", F.when((F.col("source_size") > 0) & (F.col("target") > 0), F.log(F.col("target") / F.col("source_size"))).otherwise(0.0).alias("l")), "dual")
-    per = docs.groupBy("source", "q").agg(F.sum("size").alias("size"))  # documents of equal rate move alike
-    per = stage(per, "rates")
-    for _ in range(steps):
-        free = F.col("q") * F.exp("l")
-        sums = per.join(_bounded(now), own).groupBy("_s", "target", "l").agg(
-            F.sum(F.col("size") * F.least(free, F.lit(most))).alias("f"), F.sum(F.when(free < most, F.col("size") * free).otherwise(0.0)).alias("slope")
-        )
-        gap = F.col("target") - F.col("f")
-        step = F.when(F.col("slope") > 0, F.greatest(F.lit(-2.0), F.least(F.lit(2.0), gap / F.col("slope")))).otherwise(0.0)
-        now = stage(sums.select("_s", "target", (F.col("l") + step).alias("l"), (F.abs(gap) > within * F.greatest(F.col("target"), F.lit(1.0))).alias("open"), step.alias("step")), "dual")
-        if not now.filter("open and abs(step) > 1e-12").limit(1).count():
+def length_bands(size: Column) -> list[Column]:
+    """One indicator for each band of document length."""
+    edges = (0, *BANDS)
+    return [((size > a) & (size <= b)).cast("double") for a, b in zip(edges, BANDS, strict=False)] + [(size > BANDS[-1]).cast("double")]
+
+
+def _tilts(cells: Column, m: list[float]) -> Column:
+    """Cells with ``w``, q tilted by the moments, from the largest to the smallest."""
+    power = lambda c: F.aggregate(F.zip_with(c["x"], F.array(*map(F.lit, m)), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return F.array_sort(F.transform(cells, lambda c: F.struct((-c["q"] * F.exp(power(c))).alias("k"), c["size"].alias("size"), c["x"].alias("x"))))
+
+
+def _scale(tilted: Column, target: Column, most: float) -> Column:
+    """exp(l): what tilts times it, held to ``most``, sum to the target."""
+    rest = F.aggregate(tilted, F.lit(0.0), lambda s, c: s - c["size"] * c["k"])
+
+    def stop(s: Column, c: Column) -> Column:
+        full = (target - s["held"]) * -c["k"] > most * s["rest"]
+        return F.struct(F.when(full, s["held"] + most * c["size"]).otherwise(s["held"]).alias("held"), F.when(full, s["rest"] + c["size"] * c["k"]).otherwise(s["rest"]).alias("rest"))
+
+    return F.aggregate(tilted, F.struct(F.lit(0.0).cast("double").alias("held"), rest.alias("rest")), stop, lambda s: F.when(s["rest"] > 0, F.greatest(target - s["held"], F.lit(0.0)) / s["rest"]).otherwise(F.lit(1e300)))
+
+
+def balanced(docs: DataFrame, goals: DataFrame, n: int, most: float = 2.0, steps: int = 30, within: float = 1e-9, soft: float = SOFT) -> tuple[DataFrame, list[float], int]:
+    """((source, scale), multipliers of the moments, Newton steps taken); docs: source, size, q and x, an array of ``n`` moments.
+
+    A document's rate is least(most, q * scale * exp(multipliers . x)). Documents of a source that agree in q and x are
+    summed first; a source has a bounded number of such cells, as many as combinations of the moments and of q.
+    """
+    per = docs.groupBy("source", "q", "x").agg(F.sum("size").cast("double").alias("size")).filter("size > 0")
+    cells = per.groupBy("source").agg(F.collect_list(F.struct("q", "x", "size")).alias("cells"), F.sum("size").alias("own"), *[F.sum(F.col("size") * F.col("x")[i]).alias(f"s{i}") for i in range(n)])
+    cells = stage(cells.join(_bounded(goals.select(F.col("source").alias("_s"), "target")), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "cells")
+    whole = cells.agg(F.sum("own").alias("own"), F.sum("target").alias("target"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(n)]).first()
+    share = np.array([whole.target * whole[f"s{i}"] / whole.own for i in range(n)]) if whole.own else np.zeros(n)
+    live, m, taken = np.flatnonzero(share > 0), np.zeros(n), 0
+    pairs = [(i, j) for i in live for j in live if j <= i]
+    for _ in range(steps if len(live) else 0):
+        tilted = cells.select("source", "target", _tilts(F.col("cells"), m.tolist()).alias("tilted"))
+        flat = tilted.select("source", _scale(F.col("tilted"), F.col("target"), most).alias("scale"), "tilted").select("source", "scale", F.explode("tilted").alias("c"))
+        tilt = F.col("scale") * -F.col("c.k")
+        flat = flat.select("source", (F.col("c.size") * F.least(F.lit(most), tilt)).alias("w"), F.when(tilt < most, F.col("c.size") * tilt).otherwise(0.0).alias("free"), F.col("c.x").alias("x"))
+        sums = flat.groupBy("source").agg(
+            F.sum("free").alias("h"), *[F.sum(F.col("w") * F.col("x")[int(i)]).alias(f"f{i}") for i in live], *[F.sum(F.col("free") * F.col("x")[int(i)]).alias(f"g{i}") for i in live],
+            *[F.sum(F.col("free") * F.col("x")[int(i)] * F.col("x")[int(j)]).alias(f"a{i}_{j}") for i, j in pairs])
+        # A source's multiplier follows the moments', which takes a rank-one part out of its share of the Hessian.
+        got = sums.agg(*[F.sum(f"f{i}").alias(f"f{i}") for i in live], *[F.sum(F.col(f"a{i}_{j}") - F.coalesce(F.try_divide(F.col(f"g{i}") * F.col(f"g{j}"), "h"), F.lit(0.0))).alias(f"h{i}_{j}") for i, j in pairs]).first()
+        gap = share[live] - np.array([got[f"f{i}"] for i in live]) - soft * share[live] * m[live]
+        if np.abs(gap).max() <= within * whole.target:
             break
-    return now.select(F.col("_s").alias("source"), F.col("l").alias("lambda"))
+        step = np.linalg.solve(np.array([[got[f"h{max(i, j)}_{min(i, j)}"] for j in live] for i in live]) + soft * np.diag(share[live]), gap)
+        m[live] += step * min(1.0, 1.0 / max(1e-12, np.abs(step).max()))
+        taken += 1
+    m = np.round(m, 10)  # sums over partitions differ in their last bits from run to run
+    return cells.select("source", _scale(_tilts(F.col("cells"), m.tolist()), F.col("target"), most).alias("scale")), m.tolist(), taken
 
 
 def _rounded(docs: Column) -> Column:
-    """Copies of a block's documents, an array in its order: the whole part of each rate, and one more where the words carried reach half the size."""
+    """Of each document of a block, in order, how many of its ``n`` rows get one copy beyond the whole part of the rate.
+
+    What rounding owes is carried on. Decisions of FOLD documents are gathered in one array, so no array grows by single elements beyond that.
+    """
+    empty = F.array().cast("array<long>")
 
     def add(s: Column, d: Column) -> Column:
-        owed = s["owed"] + d["size"] * (d["rate"] - F.floor(d["rate"]))
-        more = (d["size"] > 0) & (d["rate"] > F.floor(d["rate"])) & (2 * owed >= d["size"])
-        return F.struct(
-            (owed - F.when(more, d["size"]).otherwise(0)).cast("double").alias("owed"),
-            F.concat(s["copies"], F.array((F.floor(d["rate"]) + more.cast("long")).cast("int"))).alias("copies"),
-        )
+        owed = s["owed"] + d["size"] * d["n"] * (d["rate"] - F.floor(d["rate"]))
+        fits = F.when((d["size"] > 0) & (d["rate"] > F.floor(d["rate"])), F.least(d["n"], F.greatest(F.lit(0), F.floor(owed / d["size"] + 0.5)))).otherwise(0).cast("long")
+        return F.struct((owed - fits * d["size"]).cast("double").alias("owed"), F.concat(s["more"], F.array(fits)).alias("more"))
+
+    def fold(s: Column, part: Column) -> Column:
+        begin = F.struct(F.element_at(s, -1)["owed"].alias("owed"), empty.alias("more"))
+        return F.concat(s, F.array(F.aggregate(part, begin, add)))
 
-    return F.aggregate(docs, F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<int>").alias("copies")), add, lambda s: s["copies"])
+    parts = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(docs) / FOLD).cast("int") - 1, F.lit(0))), lambda i: F.slice(docs, i * FOLD + 1, FOLD))
+    return F.flatten(F.transform(F.aggregate(parts, F.array(F.struct(F.lit(0.0).alias("owed"), empty.alias("more"))), fold), lambda s: s["more"]))
 
 
-def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, q: Column | None = None, block: int = 256, key: str = "doc_id") -> DataFrame:
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, q: Column | None = None, block: int = 256, key: str = "doc_id", moments=length_bands) -> DataFrame:
     """Per row of ``docs``: its ``key``, source, size, source_size, target, rate, copies, taken."""
-    sized = stage(docs.select(key, "source", n_words_of(F.col("text")).alias("size"), (F.lit(1.0) if q is None else q).cast("double").alias("q")), "sizes")
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+    sized = docs.select(key, "source", n_words_of(F.col("text")).alias("size"), (F.lit(1.0) if q is None else q).cast("double").alias("q"))
+    own = moments(F.col("size"))
+    sized = stage(sized.withColumn("x", F.array(*own).cast("array<double>")).groupBy(key, "source", "size", "q", "x").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    rows = sized.withColumn("size", F.col("size") * F.col("n"))
+    sums = stage(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("records")), "sources")
     goals = stage(targets(sums.select("source", "source_size"), weights, share, most), "targets")
-    lambdas = balanced(sized, goals, most)
-    table = (
-        goals.join(lambdas.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-        .join(sums.select(F.col("source").alias("_s"), "n"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    )
+    scales, m, _ = balanced(rows, goals, len(own), most)
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    table = goals.join(sums.select(F.col("source").alias("_n"), "records"), same("source", "_n")).drop("_n").join(scales.withColumnRenamed("source", "_s"), same("source", "_s"), "left").drop("_s")
     table = stage(table.withColumnRenamed("source", "_s"), "table")
-    rate = F.least(F.col("q") * F.exp(F.coalesce("lambda", F.lit(0.0))), F.lit(most))
+    power = F.aggregate(F.zip_with("x", F.from_json(F.lit(json.dumps(m)), "array<double>"), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) if m else F.lit(0.0)
+    rate = F.when(F.col("size") > 0, F.least(F.col("q") * F.coalesce("scale", F.lit(1.0)) * F.exp(power), F.lit(most))).otherwise(F.least(F.col("q"), F.lit(most)))
     near = F.round(rate)
     # Rates that are whole but for the last bits are whole.
-    rows = sized.join(_bounded(table), F.col("source").eqNullSafe(F.col("_s"))).withColumn("rate", F.when(F.abs(rate - near) < 1e-9, near).otherwise(rate))
-    part = F.pmod(F.xxhash64(key, "size"), F.ceil(F.col("n") / block))
-    blocks = rows.groupBy("source", part.alias("part"), "source_size", "target").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("k"), key, "size", "rate"))).alias("docs")
-    ).withColumn("copies", _rounded(F.col("docs")))
-    return blocks.select("source", "source_size", "target", F.explode(F.arrays_zip("docs", "copies")).alias("d")).select(
-        F.col(f"d.docs.{key}").alias(key), "source", F.col("d.docs.size").alias("size"), "source_size", "target",
-        F.col("d.docs.rate").alias("rate"), F.col("d.copies").alias("copies"), (F.col("d.copies") * F.col("d.docs.size")).cast("long").alias("taken"),
-    )
+    rated = sized.join(_bounded(table), same("source", "_s")).withColumn("rate", F.when(F.abs(rate - near) < 1e-9, near).otherwise(rate))
+    part = F.pmod(F.xxhash64(key, "size"), F.ceil(F.col("records") / block))
+    blocks = rated.groupBy("source", part.alias("part"), "source_size", "target").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("k"), key, "size", "rate", "n"))).alias("docs")
+    ).withColumn("more", _rounded(F.col("docs")))
+    found = blocks.select("source", "source_size", "target", F.explode(F.arrays_zip("docs", "more")).alias("d")).select(
+        F.col(f"d.docs.{key}").alias(key), "source", F.col("d.docs.size").alias("size"), "source_size", "target", F.col("d.docs.rate").alias("rate"), F.col("d.docs.n").alias("n"), F.col("d.more").alias("more"))
+    # Records become rows again, a thousand at a time.
+    found = found.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(1000).cast("long"))))
+    found = found.withColumn("at", F.explode(F.sequence("at", F.least(F.col("at") + 999, F.col("n") - 1))))
+    copies = (F.floor("rate") + (F.col("at") < F.col("more")).cast("long")).cast("int")
+    return found.withColumn("copies", copies).select(key, "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op10: all documents, weights 5, 2, 1 in turn, 150 % of all words, two copies at most."""
+    """op10: all documents, weights 5, 2, 1 in turn, 150 % of all words, two copies at most, bands of length as moments."""
     return mixed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

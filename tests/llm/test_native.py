@@ -140,6 +140,79 @@ def test_mix_with_base_rates(spark):
         assert max(r.rate for r in mine) <= 2
 
 
+def test_newton_agrees_with_a_plain_solver(spark):
+    """Lengths and sources that hang together, so that the moments need several steps; the dual's optimum by coordinate ascent."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    rows = [(i, int(rng.choice([40, 80, 250, 600, 2500], p=p)), s) for s, p in (("a", [0.6, 0.2, 0.1, 0.05, 0.05]), ("b", [0.05, 0.05, 0.1, 0.2, 0.6]), ("c", [0.2] * 5), ("d", [0.2] * 5)) for i in range(400 if s != "d" else 60)]
+    docs = spark.createDataFrame([(i, "w " * n, s) for i, (_, n, s) in enumerate(rows)], "doc_id long, text string, source string")
+    sized = docs.select("source", mixing.n_words_of(F.col("text")).alias("size"), F.lit(1.0).alias("q")).withColumn("x", F.array(*mixing.length_bands(F.col("size"))))
+    goal = mixing.targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    scales, m, steps = mixing.balanced(sized, goal, 4)
+    goal = {r.source: r.target for r in goal.collect()}
+    assert steps >= 2 and max(map(abs, m)) > 0.05
+    size, source = np.array([n for _, n, _ in rows], float), np.array([s for *_, s in rows])
+    band = np.digitize(size, mixing.BANDS, right=True)
+    share = np.array([size[band == b].sum() for b in range(4)]) / size.sum() * sum(goal.values())
+
+    def solved(f, lo=-60.0, hi=60.0):  # of a falling function
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if f(mid) > 0 else (lo, mid)
+        return (lo + hi) / 2
+
+    l, u = dict.fromkeys(goal, 0.0), np.zeros(4)
+    rate = lambda: np.minimum(2.0, np.exp(np.array([l[s] for s in source]) + u[band]))
+    for _ in range(400):
+        for s in goal:
+            l[s] = solved(lambda x, s=s: goal[s] - 1e-9 - (size[source == s] * np.minimum(2.0, np.exp(x + u[band[source == s]]))).sum())
+        for b in range(4):
+            at = band == b
+            u[b] = solved(lambda x, at=at, b=b: share[b] - (size[at] * np.minimum(2.0, np.exp(np.array([l[s] for s in source[at]]) + x))).sum() - mixing.SOFT * share[b] * x)
+    assert m == pytest.approx(u.tolist(), abs=1e-5)
+    got = {r.source: r.scale for r in scales.collect()}
+    for s in goal:
+        at = source == s
+        assert (size[at] * np.minimum(2.0, got[s] * np.exp(np.array(m)[band[at]]))).sum() == pytest.approx(goal[s], rel=1e-9)
+        assert (size[at] * rate()[at]).sum() == pytest.approx(goal[s], rel=1e-6)
+    rates = mixing.mixed(docs).groupBy("source").agg(F.count_distinct("rate").alias("n")).collect()
+    assert max(r.n for r in rates) >= 4
+
+
+def rounded(docs):
+    """Extra rows of documents (size, n, rate) in their order, one after another."""
+    owed, out = 0.0, []
+    for size, n, rate in docs:
+        owed += size * n * (rate - math.floor(rate))
+        fits = max(0, min(n, math.floor(owed / size + 0.5))) if size and rate > math.floor(rate) else 0
+        owed -= fits * size
+        out.append(fits)
+    return out
+
+
+def test_rounding_carries_what_is_owed(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    blocks = [sorted(((rng.choice([0, 1, 7, 300]), rng.choice([1, 1, 1, 5, 40]), rng.choice([0.25, 0.5, 1.0, 1.5, 1.9])) for _ in range(n)), reverse=True) for n in (0, 1, 31, 32, 33, 200)]
+    made = spark.createDataFrame([(i, b) for i, b in enumerate(blocks)], "i int, docs array<struct<size:long,n:long,rate:double>>")
+    got = {r.i: r.more for r in made.select("i", mixing._rounded(F.col("docs")).alias("more")).collect()}
+    assert got == {i: rounded(b) for i, b in enumerate(blocks)}
+
+
+def test_mix_of_rows_that_agree(spark):
+    docs = spark.createDataFrame([(None, "w w w", "a")] * 5000 + [(i, "w " * 9, "b") for i in range(500)], "doc_id long, text string, source string")
+    got = mixing.mixed(docs).collect()
+    assert len(got) == 5500 and sum(r.source == "a" for r in got) == 5000
+    for s in "ab":
+        mine = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 9
+
+
 def test_mix_stage_numbers_repeated_rows(spark, docs):
     twice = docs.union(docs).withColumn("_n", docs.doc_id)
     out = mixing.mixing_stage(spark, twice, "")
