@@ -6,25 +6,26 @@ iterations multiply by the partitioned matrix in Spark, and only vocabulary-by-r
 of 64 words at every 16th word of every document are folded into the latent space. A window is a candidate for a
 passage if it holds half of the passage's latent weight (the length of its projection on the passage, over the
 passage's) at a cosine of 0.1 or more. The latent space keeps the leading directions only, so a second, exact way adds
-what its projections lose: every passage of whose words a stretch of four windows holds as many as a hit cannot lack (found from the rarest of
-them). So all passages that meet the checks that follow are
-found, whatever the rank, the block and its other items. A candidate is a hit if the longest common subsequence of the
-passage and the words in and around the window covers 0.6 of the passage, and the answer is there: the words of the
-benchmark's column ``answer`` or, without one, half of the rarer half of the passage's words.
-
-Benchmarks larger than ``block`` items are worked off in blocks against all documents, so that what is broadcast
-(vocabulary by rank of one block) has a bound. Words in more than a tenth of the documents carry no weight, unless they
-are in the rarer half of some passage: so each passage has weight, also one that stands in most documents.
-
-Defined results: null and empty texts, and documents of fewer than five words, have no hits; items that are null or
-shorter than five words are skipped; repeated rows are judged each; an empty table of either kind gives no hits; extra
-columns are ignored (the pipeline stage returns them).
+what its projections lose: every passage of whose words a stretch of four windows holds as many as a hit cannot lack
+(found from the rarest of them). So all passages that meet the checks that follow are found, whatever the rank, the
+block and its other items. A candidate is a hit if the longest common subsequence of the passage and the words in and
+around the window covers 0.6 of the passage, and the answer is there: the words of the benchmark's column ``answer`` or,
+without one, half of the rarer half of the passage's words. Passages of fewer than five words must stand word for word.
+
+The benchmark is worked off in blocks of at most ``block`` items and about ``block_bytes`` of text, so that what is
+broadcast (vocabulary by rank) has a bound; ``at_once`` blocks share one reading of the documents. Words in more than a
+tenth of the documents carry no weight, unless they are in the rarer half of some passage: so each passage has weight,
+also one that stands in most documents.
+
+Defined results: null and empty texts have no hits; items that are null or without words are skipped; repeated rows are
+judged each; an empty table of either kind gives no hits; extra columns are ignored (the pipeline stage returns them).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -32,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwork.llm._text import hashes, pieces
+from siltwork.llm._store import stage
+from siltwork.llm._text import hashes, pieces, small_batches
 
 PUNCTUATION = b".,;:!?\"'()[]{}"
 PASSAGE, SHORTEST, STRIDE, SPAN = 48, 5, 16, 4
@@ -50,7 +52,7 @@ def passages(words: list) -> list[list]:
     """Cuts of about PASSAGE words, a short rest kept with the last one."""
     n = max(1, round(len(words) / PASSAGE))
     ends = [round(len(words) * i / n) for i in range(n + 1)]
-    return [words[a:b] for a, b in zip(ends, ends[1:], strict=False) if b - a >= SHORTEST]
+    return [words[a:b] for a, b in zip(ends, ends[1:], strict=False) if b > a]
 
 
 @dataclass
@@ -121,7 +123,7 @@ def _probes(index: Index, answered: list[bool], every: np.ndarray) -> Probes:
     for p, answer, needed, own in zip(index.words, index.answers, index.needed, answered, strict=True):
         u, n = np.unique(p, return_counts=True)
         # The fewest different words that SUBSEQUENCE of the passage can have.
-        most = 1 + int(np.searchsorted(np.cumsum(np.sort(n)[::-1]), SUBSEQUENCE * len(p) - 1e-9))
+        most = len(u) if len(p) < SHORTEST else 1 + int(np.searchsorted(np.cumsum(np.sort(n)[::-1]), SUBSEQUENCE * len(p) - 1e-9))
         full.append(index.places(u)[1])
         v = full[-1] if own else index.places(answer)[1]  # an answer of its own may lie outside the passage
         v = v[np.argsort(-every[v], kind="stable")]
@@ -173,17 +175,23 @@ def subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - v.bit_count()
 
 
+def verbatim(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether ``b`` holds ``a`` word for word."""
+    at = np.flatnonzero(b[: len(b) - len(a) + 1] == a[0]) if len(b) >= len(a) else np.empty(0, np.int64)
+    return any(np.array_equal(b[i : i + len(a)], a) for i in at.tolist())
+
+
 def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     words = [plain_words(t) for t in texts]
     return hashes(list(chain.from_iterable(words))), np.fromiter(map(len, words), np.int64, len(words))
 
 
-def _frequencies(docs: DataFrame, index: Index) -> tuple[int, np.ndarray]:
+def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
     """Documents in all, and with each word of the vocabulary."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(index))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix, rows = Index(**shared.value), 0
+        ix, rows = Index(vocabulary=shared.value), 0
         total = np.zeros(len(ix.vocabulary), np.int64)
         for b in pieces(batches, "text"):
             h, n = _word_hashes(b.column("text").to_pylist())
@@ -195,13 +203,13 @@ def _frequencies(docs: DataFrame, index: Index) -> tuple[int, np.ndarray]:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(total[used], rows))], names=["v", "n"])
 
-    df, rows = np.zeros(len(index.vocabulary), np.int64), 0
-    for r in docs.select("text").mapInArrow(count, "v long, n long").groupBy("v").agg(F.sum("n").alias("n")).collect():  # the vocabulary's size at most
-        if r.v < 0:
-            rows = r.n
-        else:
-            df[r.v] = r.n
-    return rows, df
+    with small_batches(docs.sparkSession):
+        found = docs.select("text").mapInArrow(count, "v long, n long").groupBy("v").agg(F.sum("n").alias("n")).toArrow()  # the vocabulary's size at most
+    v, n = found["v"].to_numpy(), found["n"].to_numpy()
+    df = np.zeros(len(vocabulary), np.int64)
+    df[v[v >= 0]] = n[v >= 0]
+    shared.destroy()
+    return int(n[v < 0].sum()), df
 
 
 def _rows(index: Index, passage: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,20 +249,21 @@ def _svd(bench: DataFrame, index: Index, rank: int) -> np.ndarray:
         q = np.linalg.qr(total)[0]
 
 
-def fit(docs: DataFrame, bench: DataFrame, rank: int = RANK) -> Index:
-    """The index of one block of the benchmark (item_id, text, and answer if there is one)."""
-    index, found = Index(), []
+def _read(bench: DataFrame) -> tuple[Index, list]:
+    """The passages of one block of the benchmark (item_id, text, and answer if there is one), and their answers."""
+    index, answers = Index(), []
     columns = ["item_id", "text", *[c for c in bench.columns if c == "answer"]]
     for r in bench.select(*columns).collect():  # a block
         for p in passages(plain_words(r.text)):
             index.items.append(r.item_id)
             index.words.append(hashes(p))
-            found.append(plain_words(r.answer) if "answer" in columns and r.answer else None)
+            answers.append(plain_words(r.answer) if "answer" in columns and r.answer else None)
     index.vocabulary = np.unique(np.concatenate(index.words)) if index.words else np.empty(0, np.uint64)
-    if not index.words:
-        return index
-    rows, df = _frequencies(docs, index)
-    every = np.log((rows + 1) / (df + 1)) + 1
+    return index, answers
+
+
+def _fit(index: Index, found: list, bench: DataFrame, every: np.ndarray, df: np.ndarray, rows: int, rank: int) -> Index:
+    """The index of a block; every, df: inverse and plain document frequencies of its vocabulary; rows: documents in all."""
     # The answer of a passage without one: the rarer half of its words.
     for p, a in zip(index.words, found, strict=True):
         u, v = np.unique(p), index.places(np.unique(p))[1]
@@ -269,17 +278,29 @@ def fit(docs: DataFrame, bench: DataFrame, rank: int = RANK) -> Index:
     index.vocabulary, index.idf = index.vocabulary[kept], every[kept]
     v = _svd(bench, index, rank)
     index.fold = (v * index.idf[:, None]).astype(np.float32)
-    rows = [_rows(index, p) for p in index.words]
-    index.latent = np.stack([v[u].T @ x for u, x in rows]).astype(np.float32)
-    index.held = np.flatnonzero(np.linalg.norm(index.latent, axis=1) >= HELD * np.array([np.linalg.norm(x) for _, x in rows]))
+    own = [_rows(index, p) for p in index.words]
+    index.latent = np.stack([v[u].T @ x for u, x in own]).astype(np.float32)
+    index.held = np.flatnonzero(np.linalg.norm(index.latent, axis=1) >= HELD * np.array([np.linalg.norm(x) for _, x in own]))
     return index
 
 
-def hits(texts: list[str | None], index: Index) -> list[tuple[int, object, float, float, int]]:
-    """(row, item_id, cosine, share of the passage in order, first word of the window), the best of each row and item."""
-    if not index.words:
+def fit(docs: DataFrame, parts: list[DataFrame], rank: int = RANK) -> list[Index]:
+    """The indexes of these blocks of the benchmark; the documents are read once for all of them."""
+    read = [_read(part) for part in parts]
+    if not (full := [index.vocabulary for index, _ in read if index.words]):
         return []
-    h, n = _word_hashes(texts)
+    vocabulary = np.unique(np.concatenate(full))
+    rows, df = _frequencies(docs, vocabulary)
+    every, out = np.log((rows + 1) / (df + 1)) + 1, []
+    for part, (index, answers) in zip(parts, read, strict=True):
+        if index.words:
+            at = np.searchsorted(vocabulary, index.vocabulary)
+            out.append(_fit(index, answers, part, every[at], df[at], rows, rank))
+    return out
+
+
+def hits(h: np.ndarray, n: np.ndarray, index: Index) -> list[tuple[int, object, float, float, int]]:
+    """(row, item_id, cosine, share of the passage in order, first word of the window), the best of each row and item, of texts as hashes of words and numbers of words."""
     if not len(h):
         return []
     at, v = index.places(h)
@@ -303,7 +324,7 @@ def hits(texts: list[str | None], index: Index) -> list[tuple[int, object, float
         near = h[starts[d] + max(0, start - margin) : starts[d] + min(n[d], start + SPAN * STRIDE + margin)]
         if np.isin(index.answers[p], near).sum() < index.needed[p]:
             return
-        share = subsequence(passage, near) / len(passage)
+        share = float(verbatim(passage, near)) if len(passage) < SHORTEST else subsequence(passage, near) / len(passage)
         key = (d, index.items[p])
         if share >= SUBSEQUENCE and (key not in best or (share, cosine) > best[key][1::-1]):
             best[key] = (cosine, share, start)
@@ -324,34 +345,42 @@ def hits(texts: list[str | None], index: Index) -> list[tuple[int, object, float
     return [(d, item, *x) for (d, item), x in best.items()]
 
 
-def blocks_of(docs: DataFrame, bench: DataFrame, block: int = 1000) -> Iterator[Index]:
-    """The indexes of the benchmark's blocks, one after another."""
+def blocks_of(docs: DataFrame, bench: DataFrame, block: int = 1000, block_bytes: int = 256_000, at_once: int = 8) -> Iterator[list[Index]]:
+    """The indexes of the benchmark's blocks, ``at_once`` together."""
     bench = bench.filter("text is not null and item_id is not null")
-    n = max(1, -(-bench.count() // block))
-    for b in range(n):
-        yield fit(docs, bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b))
+    r = bench.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n = max(1, -(-r.n // block), -(-r.bytes // block_bytes))
+    parts = [bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) for b in range(n)]
+    for i in range(0, n, at_once):
+        if indexes := fit(docs, parts[i : i + at_once]):
+            yield indexes
+
+
+def _met(texts: list[str | None], indexes: list[Index]) -> list[tuple[int, object, float, float, int]]:
+    h, n = _word_hashes(texts)
+    return [x for index in indexes for x in hits(h, n, index)]
 
 
-def contaminated(docs: DataFrame, bench: DataFrame, block: int = 1000) -> DataFrame:
+def contaminated(docs: DataFrame, bench: DataFrame, block: int = 1000, block_bytes: int = 256_000) -> DataFrame:
     """(doc_id, item_id, cosine, in_order, first_word) of every document and item that meet."""
-    docs, found = docs.select("doc_id", "text"), []
+    docs, spark = docs.select("doc_id", "text"), docs.sparkSession
     kind = bench.schema["item_id"].dataType.simpleString()
-    for index in blocks_of(docs, bench, block):
-        shared = docs.sparkSession.sparkContext.broadcast(vars(index))
+    schema, found = f"doc_id long, item_id {kind}, cosine double, in_order double, first_word long", []
+    for indexes in blocks_of(docs, bench, block, block_bytes):
+        shared = spark.sparkContext.broadcast([vars(ix) for ix in indexes])
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ix = Index(**shared.value)
+            own = [Index(**x) for x in shared.value]
             for b in pieces(batches, "text"):
-                got = hits(b.column("text").to_pylist(), ix)
+                got = _met(b.column("text").to_pylist(), own)
                 at = pa.array([x[0] for x in got], pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), pa.array([x[1] for x in got], pa.int64() if kind == "bigint" else None), pa.array([x[2] for x in got], pa.float64()),
                                                   pa.array([x[3] for x in got], pa.float64()), pa.array([x[4] for x in got], pa.int64())], names=["doc_id", "item_id", "cosine", "in_order", "first_word"])
 
-        found.append(docs.mapInArrow(search, f"doc_id long, item_id {kind}, cosine double, in_order double, first_word long"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+        with small_batches(spark):
+            found.append(stage(docs.mapInArrow(search, schema), "hits"))
+        shared.destroy()
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
 def op7_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,14 +391,14 @@ def op7_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage of the corpus pipeline: documents with a hit go."""
     out = docs
-    for index in blocks_of(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")):
-        shared = spark.sparkContext.broadcast(vars(index))
+    for indexes in blocks_of(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")):
+        shared = spark.sparkContext.broadcast([vars(ix) for ix in indexes])
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ix = Index(**shared.value)
+            own = [Index(**x) for x in shared.value]
             for b in pieces(batches, "text"):
                 keep = np.ones(b.num_rows, bool)
-                keep[[x[0] for x in hits(b.column("text").to_pylist(), ix)]] = False
+                keep[[x[0] for x in _met(b.column("text").to_pylist(), own)]] = False
                 yield b.filter(pa.array(keep))
 
         out = out.mapInArrow(clean, docs.schema)
