@@ -1,26 +1,47 @@
 """A corpus in five stages: each function takes (spark, docs, sf_dir) and returns a DataFrame.
 
 Each stage's result is written as Parquet and read again as the next one's documents. All but the last return the
-columns of documents; the last adds each row's shard and slot.
+columns of documents; the last adds each row's shard and slot. The tables that a stage staged for itself are removed
+when the next one begins, unless its documents still read them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from siltwork.llm._store import stage
 from siltwork.llm.decontam import decontamination_stage
 from siltwork.llm.mixing import mixing_stage
 from siltwork.llm.near_dedup import near_dedup_stage
 from siltwork.llm.sharding import sharding_stage
 from siltwork.llm.toxicity import toxicity_stage
+from siltwork.store import stage, tracked
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Removes what the last stage staged.
+_last: list[Callable[[DataFrame], None]] = []
+
+
+def _tidy(function: Stage) -> Stage:
+    @wraps(function)
+    def tidied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _last:
+            _last.pop()(docs)
+        out, release = tracked(function, spark, docs, sf_dir)
+        _last.append(release)
+        return out
+
+    return tidied
+
 
 STAGES = [
-    ("toxicity", toxicity_stage),
-    ("near_dedup", near_dedup_stage),
-    ("decontamination", decontamination_stage),
-    ("mixing", mixing_stage),
-    ("sharding", sharding_stage),
+    ("toxicity", _tidy(toxicity_stage)),
+    ("near_dedup", _tidy(near_dedup_stage)),
+    ("decontamination", _tidy(decontamination_stage)),
+    ("mixing", _tidy(mixing_stage)),
+    ("sharding", _tidy(sharding_stage)),
 ]
 
 #: SQL can express neither the trained score nor latent retrieval; tests hold every stage against brute force.

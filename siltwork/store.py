@@ -5,26 +5,34 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
 
 
+def _removed(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _forget() -> None:
     for spark, path in _made:
         try:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _removed(spark, path)
         except Exception:  # noqa: BLE001  the session has ended; the folder's own expiry removes the rest
             continue
 
 
 def shared(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, a folder of our own is set."""
+    """spark.checkpoint.dir. Where it is unset, a folder of our own is set in local mode; on a cluster that is an error."""
     if not (root := spark.conf.get("spark.checkpoint.dir", None)):
         there = spark.sparkContext._jsc.sc().getCheckpointDir()
         if there.isEmpty():
+            master = spark.sparkContext.master or ""
+            if not (master == "local" or master.startswith("local[")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siltwork-"))
             there = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = there.get()
@@ -40,3 +48,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     _made.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def tracked(function: Callable[..., DataFrame], *args) -> tuple[DataFrame, Callable[[DataFrame], None]]:
+    """What the function returns, and a call that removes the tables staged meanwhile, unless the table passed to it still reads them."""
+    start = len(_made)
+    out = function(*args)
+    made = _made[start:]
+
+    def release(reader: DataFrame) -> None:
+        files = reader.inputFiles()
+        for spark, path in made:
+            if not any(path in f for f in files):
+                _removed(spark, path)
+                _made.remove((spark, path))
+
+    return out, release
