@@ -8,7 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.functions.vectors import cosine
+from siltwork.operators import dense
 
 THRESHOLD, TTL_SECONDS = 0.95, 300
 
@@ -28,13 +28,13 @@ def lookup(probes: DataFrame, entries: DataFrame, now: Column, threshold: float
     """(query_id, entry_id, similarity) of each probe's best live entry of its collection and settings, if it is similar enough.
 
     Ties go to the smaller entry_id. Entries: entry_id, collection, settings, embedding, cached_at; they live ``ttl``
-    seconds, which bounds a partition of the cache.
+    seconds. Probes are compared in blocks with the entries of all tasks, so a partition of the cache may be hot.
     """
-    fresh = entries.filter(F.col("cached_at") + F.make_dt_interval(secs=F.lit(ttl)) > now)
-    pairs = probes.select("query_id", "collection", "settings", F.col("embedding").alias("_q")).join(fresh, ["collection", "settings"])
-    scored = pairs.select("query_id", "entry_id", F.round(cosine(F.col("_q"), F.col("embedding")), digits).alias("similarity"))
-    best = scored.groupBy("query_id").agg(F.max(F.struct("similarity", (-F.col("entry_id")).alias("k"))).alias("b"))
-    return best.filter(F.col("b.similarity") >= threshold).select("query_id", (-F.col("b.k")).alias("entry_id"), "b.similarity")
+    part = F.xxhash64("collection", "settings").alias("part")
+    fresh = entries.filter(F.col("cached_at") + F.make_dt_interval(secs=F.lit(ttl)) > now).select(F.col("entry_id").alias("id"), "embedding", part)
+    asked = probes.filter("collection is not null and settings is not null").select("query_id", "embedding", part)
+    best = dense.top_k(fresh, asked, 1, digits=digits).withColumn("similarity", F.round("score", digits))
+    return best.filter(F.col("similarity") >= threshold).select("query_id", F.col("id").alias("entry_id"), "similarity")
 
 
 def misses(probes: DataFrame, hits: DataFrame) -> DataFrame:

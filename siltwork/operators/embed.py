@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,8 +28,11 @@ def hashed_features(dimension: int = 384) -> Callable[[list[str]], np.ndarray]:
     return embed
 
 
-def embedded(chunks: DataFrame, model: str = "hashed-features-384", load: Callable[[], Callable[[list[str]], np.ndarray]] = hashed_features, text: str = "chunk_text", batch_size: int = 50, attempts: int = 3) -> DataFrame:
-    """Chunks with embedding, embedding_model and embedding_dimension. The model is loaded once a task; a batch that fails ``attempts`` times fails the run."""
+def embedded(chunks: DataFrame, model: str = "hashed-features-384", load: Callable[[], Callable[[list[str]], np.ndarray]] = hashed_features, text: str = "chunk_text", batch_size: int = 50, attempts: int = 3, wait: float = 2.0, longest: float = 10.0) -> DataFrame:
+    """Chunks with embedding, embedding_model and embedding_dimension. The model is loaded once a task.
+
+    A batch that fails is tried again after ``wait`` seconds, each time twice as long up to ``longest``; one that fails ``attempts`` times fails the run.
+    """
 
     @F.pandas_udf("array<float>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -43,6 +47,7 @@ def embedded(chunks: DataFrame, model: str = "hashed-features-384", load: Callab
                     except Exception:
                         if attempt == attempts - 1:
                             raise
+                        time.sleep(min(longest, wait * 2**attempt))
             yield pd.Series(out, dtype=object)
 
     rows = chunks.withColumn("embedding", embed(F.col(text)))

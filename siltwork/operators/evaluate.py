@@ -20,17 +20,18 @@ def reciprocal_rank(retrieved: Column, expected: Column) -> Column:
     return F.coalesce(F.try_divide(F.lit(1.0), F.array_min(places)), F.lit(0.0))
 
 
-def judged(ranked: DataFrame, truth: DataFrame) -> DataFrame:
-    """(query_id, recall_1, recall_5, recall_10, rr) for every query of ``truth`` (query_id, name); ranked: query_id, name, rank.
+def judged(ranked: DataFrame, truth: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    """(query_id, recall_1, recall_5, recall_10, rr) for every query; ranked: query_id, name, rank; truth: query_id, name.
 
-    A query without results scores 0. Counts only: no list of results is gathered.
+    ``queries`` (query_id) are all that were asked; without it, those of ``truth``. A query without results, or of which
+    nothing is expected, scores 0. Counts only: no list of results is gathered.
     """
-    expected = truth.distinct()
+    expected = truth.select("query_id", "name").distinct()
     n = expected.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
     hits = ranked.join(expected, ["query_id", "name"]).groupBy("query_id", "name").agg(F.min("rank").alias("rank")).groupBy("query_id").agg(
         *[F.count_if(F.col("rank") <= k).alias(f"h{k}") for k in CUTOFFS], F.min("rank").alias("first"))
-    rows = n.join(hits, "query_id", "left")
-    return rows.select("query_id", *[(F.coalesce(f"h{k}", F.lit(0)) / F.col("n")).alias(f"recall_{k}") for k in CUTOFFS], F.coalesce(1.0 / F.col("first"), F.lit(0.0)).alias("rr"))
+    rows = (n if queries is None else queries.select("query_id").distinct().join(n, "query_id", "left")).join(hits, "query_id", "left")
+    return rows.select("query_id", *[F.coalesce(F.col(f"h{k}") / F.col("n"), F.lit(0.0)).alias(f"recall_{k}") for k in CUTOFFS], F.coalesce(1.0 / F.col("first"), F.lit(0.0)).alias("rr"))
 
 
 def summary(per_query: DataFrame, total: Column | None = None) -> DataFrame:

@@ -45,21 +45,37 @@ def promoted(production: DataFrame, staging: DataFrame) -> DataFrame:
     return staging.unionByName(production.join(staging.select("source_uri").distinct(), "source_uri", "left_anti"))
 
 
-class Versions:
-    """Versions of a collection as folders, and a pointer that names the one in use; the one before stays as a backup."""
+class Pointer:
+    """A name that is switched at once: each value is a folder of its own number, and the highest counts."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.path = path.rstrip("/")
         self._p = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._p(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _pointers(self) -> list[tuple[int, str]]:
-        at = self._p(f"{self.path}/current")
+    def _all(self) -> list[tuple[int, str]]:
+        at = self._p(self.path)
         names = [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
         return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1]) for n in names)
 
+    def get(self) -> str | None:
+        return self._all()[-1][1] if self._all() else None
+
+    def put(self, value: str) -> None:
+        n = self._all()[-1][0] + 1 if self._all() else 1
+        self._fs.mkdirs(self._p(f"{self.path}/{n}-{value}"))
+
+
+class Versions:
+    """Versions of a collection as folders, and a pointer that names the one in use; the one before stays as a backup."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.pointer = spark, path.rstrip("/"), Pointer(spark, f"{path.rstrip('/')}/current")
+        self._p = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._p(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
     def current(self) -> str | None:
-        return self._pointers()[-1][1] if self._pointers() else None
+        return self.pointer.get()
 
     def read(self, version: str | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/v={version or self.current()}")
@@ -70,8 +86,7 @@ class Versions:
 
     def promote(self, version: str) -> None:
         """Readers see the new version from the moment its pointer exists."""
-        n = self._pointers()[-1][0] + 1 if self._pointers() else 1
-        self._fs.mkdirs(self._p(f"{self.path}/current/{n}-{version}"))
+        self.pointer.put(version)
 
     def discard(self, version: str) -> bool:
         if version == self.current():
@@ -81,3 +96,42 @@ class Versions:
     def info(self) -> dict:
         """Points of the version in use, or nothing if there is none."""
         return {"version": self.current(), "points_count": self.read().count()} if self.current() else {}
+
+
+class Collections:
+    """Named collections below a path, each with its metric, its dimension and its versions."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        from siltwork.operators.caches import Folder
+
+        self.spark, self.folder = spark, Folder(spark, path)
+
+    def ensure(self, name: str, dimension: int, metric: str = "cosine") -> bool:
+        """Creates the collection if there is none; False if there is one, whose dimension and metric must agree."""
+        wanted = {"dimension": int(dimension), "metric": metric}
+        if (there := self.folder.note(f"{name}/collection")) is not None:
+            if there != wanted:
+                raise ValueError(f"{name} has {there}, not {wanted}")
+            return False
+        self.folder.note(f"{name}/collection", wanted)
+        return True
+
+    def versions(self, name: str) -> Versions:
+        return Versions(self.spark, f"{self.folder.path}/{name}")
+
+    def upsert(self, name: str, version: str, points: DataFrame) -> DataFrame:
+        """Writes a version; vectors of another dimension than the collection's fail the write."""
+        n = self.folder.note(f"{name}/collection")["dimension"]
+        checked = F.when(F.size("embedding") == n, F.col("embedding")).otherwise(F.raise_error(F.lit(f"a vector has not {n} dimensions")))
+        return self.versions(name).stage(version, points.withColumn("embedding", checked))
+
+    def delete(self, name: str) -> bool:
+        return self.folder.drop(name)
+
+    def info(self) -> DataFrame:
+        """(name, metric, dimension, points_count) of all collections; those without a version in use have 0 points."""
+        rows = []
+        for name in self.folder.names():
+            note = self.folder.note(f"{name}/collection") or {}
+            rows.append((name, note.get("metric"), note.get("dimension"), self.versions(name).info().get("points_count", 0)))
+        return self.spark.createDataFrame(rows, "name string, metric string, dimension long, points_count long")

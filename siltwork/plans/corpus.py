@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.functions.text import content_hash
@@ -126,9 +129,13 @@ def answer_context(spark, d):
     return hybrid.context(found, 5, "text").select("query_id", content_hash(F.col("context")).alias("context_hash"))
 
 
+def _names(found):
+    return found.select("query_id", F.concat(F.lit("doc_"), F.col("id")).alias("name"), "rank")
+
+
 def _judged(spark, d):
-    names = bm25.top(_scores(spark, d), 10).select("query_id", F.concat(F.lit("doc_"), F.col("id")).alias("name"), "rank")
-    return evaluate.judged(names, truth(spark, d))
+    """All queries over the sparse results, also those of which no document is expected."""
+    return evaluate.judged(_names(bm25.top(_scores(spark, d), 10)), truth(spark, d), queries_of(spark, d))
 
 
 def recall_at_k(spark, d):
@@ -139,12 +146,31 @@ def mrr(spark, d):
     return _judged(spark, d).select("query_id", F.round("rr", 6).alias("rr"))
 
 
+def _modes(spark, d):
+    """The best ten of every query by each kind of search; the index is built once."""
+    asked, vectors = queries_of(spark, d), read(spark, d, "embeddings")
+    probes = vectors.join(asked.select("query_id"), F.col("vec_id") == F.col("query_id")).select("query_id", "embedding")
+    points = vectors.select(F.col("vec_id").alias("id"), "embedding")
+    norm = stage(bm25.normalised(bm25.scores(_index(spark, d), asked)), "norm")
+    nearest = stage(dense.top_k(points, probes, 10, least=0.0), "nearest")
+
+    def mixed(k):
+        k_dense, k_sparse = hybrid.shares(k)
+        return hybrid.fused(nearest.filter(F.col("rank") <= k_dense), bm25.top(norm, k_sparse).select("query_id", "id", "score"), norm, 0.3, k)
+
+    fetched = mixed(20).join(read(spark, d, DOCS).select(F.col("doc_id").alias("id"), F.col("text").alias("payload_text")), "id", "left").join(asked, "query_id").withColumn("text", F.lit(""))
+    return {"sparse": bm25.top(norm, 10), "dense": nearest, "hybrid": mixed(10), "rerank": hybrid.reranked(fetched, hybrid.lexical_score(F.col("query"), F.col("candidate_text")), 10)}
+
+
 def eval_summary(spark, d):
-    return evaluate.summary(_judged(spark, d))
+    """A row for each kind of search, over all queries that were loaded."""
+    expected, asked = stage(truth(spark, d), "truth"), queries_of(spark, d)
+    rows = [evaluate.summary(evaluate.judged(_names(found), expected, asked)).withColumn("mode", F.lit(mode)) for mode, found in _modes(spark, d).items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def quality_gate(spark, d):
-    return eval_summary(spark, d).select("recall_at_5", evaluate.gate(F.col("recall_at_5")).alias("decision"), evaluate.gate(F.lit(None).cast("double")).alias("decision_without_results"))
+    return eval_summary(spark, d).select("mode", "recall_at_5", evaluate.gate(F.col("recall_at_5")).alias("decision"), evaluate.gate(F.lit(None).cast("double")).alias("decision_without_results"))
 
 
 def _user_turns(spark, d):
@@ -164,6 +190,14 @@ def pages_to_text(spark, d):
     return pages.select("page_id", F.col("url"), "html").transform(lambda p: p.select("page_id", sources.T.html_title(F.col("html"), F.col("url")).alias("title"), sources.T.html_text(F.col("html")).alias("content")))
 
 
+def document_metadata(spark, d):
+    """Metadata maps merged and read with a default, and texts as bytes and back."""
+    docs = sources.from_table(read(spark, d, DOCS))
+    merged = docs.withColumn("m", F.map_concat("metadata", F.create_map(F.lit("size"), F.octet_length("content").cast("string"))))
+    whole = F.decode(F.encode("content", "UTF-8"), "UTF-8") == F.col("content")
+    return merged.select("doc_id", F.coalesce(F.element_at("m", "lang"), F.lit("none")).alias("lang"), F.element_at("m", "size").cast("long").alias("n_bytes"), F.size(F.map_keys("m")).cast("long").alias("n_keys"), F.coalesce(F.element_at("m", "owner"), F.lit("nobody")).alias("owner"), whole.alias("round_trip"))
+
+
 def source_union(spark, d):
     every = sources.union(sources.from_table(read(spark, d, DOCS)), sources.from_pages(read(spark, d, "pages")))
     return every.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.length("content")).alias("n_chars"), F.countDistinct("source_uri").alias("n_uris"))
@@ -171,7 +205,7 @@ def source_union(spark, d):
 
 NAMES = (
     "dedup_new_documents dedup_within_batch dedup_stats ttl_hashes hash_confirm chunk_documents chunks_per_source fallback_token_count embedding_cost bm25_corpus_stats bm25_idf bm25_topk "
-    "bm25_normalised hybrid_topk rerank_topk rerank_improvement rerank_histogram answer_context recall_at_k mrr eval_summary quality_gate rewrite_rule_based rewrite_counts pages_to_text source_union"
+    "bm25_normalised hybrid_topk rerank_topk rerank_improvement rerank_histogram answer_context recall_at_k mrr eval_summary quality_gate rewrite_rule_based rewrite_counts pages_to_text document_metadata source_union"
 ).split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
@@ -208,11 +242,22 @@ re AS (SELECT hy.query_id, hy.id, hy.rank AS original_rank, hy.combined_score, c
   FROM hy JOIN qt ON qt.query_id = hy.query_id LEFT JOIN d ON d.id = hy.id),
 rr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(reranker_score, 6) DESC, original_rank) AS rank FROM re) WHERE rank <= 10),
 im AS (SELECT query_id, max(reranker_score) - any_value(f.combined_score) AS improvement FROM rr JOIN (SELECT query_id AS qi, combined_score FROM hy WHERE rank = 1) f ON f.qi = rr.query_id GROUP BY query_id)"""
-_JUDGED = f"""{_SCORES}, tr AS (SELECT b.item_id AS query_id, x.doc_id FROM benchmark b JOIN documents x ON contains(x.text, b.text)),
-ju AS (SELECT tr.query_id, count(*) AS n, sum(CASE WHEN rank <= 1 THEN 1 ELSE 0 END) AS h1, sum(CASE WHEN rank <= 5 THEN 1 ELSE 0 END) AS h5, sum(CASE WHEN rank <= 10 THEN 1 ELSE 0 END) AS h10, min(CASE WHEN rank <= 10 THEN rank END) AS f
-  FROM tr LEFT JOIN rk ON rk.query_id = tr.query_id AND rk.id = tr.doc_id GROUP BY tr.query_id),
-js AS (SELECT query_id, h1 / n AS recall_1, h5 / n AS recall_5, h10 / n AS recall_10, coalesce(1.0::DOUBLE / f, 0) AS rr FROM ju)"""
-_SUMMARY = "SELECT count(*) AS total_queries, round(avg(recall_1), 4) AS recall_at_1, round(avg(recall_5), 4) AS recall_at_5, round(avg(recall_10), 4) AS recall_at_10, round(avg(rr), 4) AS mrr FROM js"
+_TRUTH = "tr AS (SELECT b.item_id AS query_id, x.doc_id FROM benchmark b JOIN documents x ON contains(x.text, b.text))"
+_DENSE = """de AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM (
+  SELECT a.vec_id AS query_id, b.vec_id AS id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS score FROM embeddings a JOIN benchmark ON item_id = a.vec_id, embeddings b) WHERE score >= 0) WHERE rank <= 10)"""
+
+
+def _judge(results: str, ranked: str) -> str:
+    return f"""{results}, {_TRUTH},
+ju AS (SELECT b.item_id AS query_id, count(tr.doc_id) AS n, sum(CASE WHEN r.rank <= 1 THEN 1 ELSE 0 END) AS h1, sum(CASE WHEN r.rank <= 5 THEN 1 ELSE 0 END) AS h5, sum(CASE WHEN r.rank <= 10 THEN 1 ELSE 0 END) AS h10, min(CASE WHEN r.rank <= 10 THEN r.rank END) AS f
+  FROM benchmark b LEFT JOIN tr ON tr.query_id = b.item_id LEFT JOIN {ranked} r ON r.query_id = tr.query_id AND r.id = tr.doc_id GROUP BY b.item_id),
+js AS (SELECT query_id, coalesce(h1 / nullif(n, 0), 0) AS recall_1, coalesce(h5 / nullif(n, 0), 0) AS recall_5, coalesce(h10 / nullif(n, 0), 0) AS recall_10, coalesce(1.0::DOUBLE / f, 0) AS rr FROM ju)"""
+
+
+_JUDGED = _judge(_SCORES, "rk")
+_MEANS = "count(*) AS total_queries, round(avg(recall_1), 4) AS recall_at_1, round(avg(recall_5), 4) AS recall_at_5, round(avg(recall_10), 4) AS recall_at_10, round(avg(rr), 4) AS mrr FROM js"
+_SUMMARY = " UNION ALL ".join(f"SELECT * FROM (WITH {_judge(results, ranked)} SELECT '{mode}' AS mode, {_MEANS})" for mode, results, ranked in (
+    ("sparse", _SCORES, "rk"), ("dense", _DENSE, "de"), ("hybrid", _hybrid(10), "hy"), ("rerank", _RERANK, "rr")))
 _ACRONYMS = ", ".join(f"({i}, '{a}', '{e}')" for i, (a, e) in enumerate(rewrite.ACRONYMS))
 _VARIATIONS = rf"""a(i, a, e) AS (VALUES {_ACRONYMS}),
 u AS (SELECT conv_id, turn, text, lower(text) AS l, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS w FROM conversations WHERE role = 'user'),
@@ -244,7 +289,8 @@ ORACLES = {
     "fallback_token_count": "SELECT lang, sum(length(text) // 4)::BIGINT AS n_tokens FROM documents GROUP BY lang",
     "embedding_cost": f"WITH {_WORDS} SELECT sum(len(t))::BIGINT AS n_words, round(sum(len(t))::DOUBLE * 1.3::DOUBLE / 1e6 * 0.02::DOUBLE, 8) AS cost FROM w",
     "bm25_corpus_stats": f"WITH {_BM25} SELECT any_value(n) AS n, round(any_value(avgdl), 6) AS avgdl, round(any_value(avg_idf), 6) AS avg_idf, count(*) AS n_terms, count(*) FILTER (WHERE df > 1) AS n_shared_terms FROM te, st, av",
-    "bm25_idf": f"WITH {_BM25} SELECT term, df, round(idf, 6) AS idf FROM te",
+    "bm25_idf": f"""WITH raw AS (SELECT term, count(*) AS df, ln((SELECT count(*) FROM documents) - count(*) + 0.5) - ln(count(*) + 0.5) AS r FROM (SELECT unnest(list_distinct({TOK.format("text")})) AS term FROM documents) GROUP BY term)
+        SELECT term, df, round(CASE WHEN r < 0 THEN 0.25 * (SELECT avg(r) FROM raw) ELSE r END, 6) AS idf FROM raw""",
     "bm25_topk": f"WITH {_SCORES} SELECT query_id, id, round(score, 6) AS score, rank::INTEGER AS rank FROM rk WHERE rank <= 10",
     "bm25_normalised": f"WITH {_SCORES} SELECT query_id, id, round(norm, 6) AS norm FROM no",
     "hybrid_topk": f"WITH {_hybrid(10)} SELECT query_id, id, round(vector_score, 6) AS vector_score, round(bm25_score, 6) AS bm25_score, round(combined_score, 6) AS combined_score, rank::INTEGER AS rank FROM hy",
@@ -254,8 +300,9 @@ ORACLES = {
     "answer_context": f"WITH {_SCORES} SELECT rk.query_id, sha256(string_agg(x.text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank)) AS context_hash FROM rk JOIN documents x ON x.doc_id = rk.id WHERE rank <= 5 GROUP BY rk.query_id",
     "recall_at_k": f"WITH {_JUDGED} SELECT query_id, round(recall_1, 6) AS recall_1, round(recall_5, 6) AS recall_5, round(recall_10, 6) AS recall_10 FROM js",
     "mrr": f"WITH {_JUDGED} SELECT query_id, round(rr, 6) AS rr FROM js",
-    "eval_summary": f"WITH {_JUDGED} {_SUMMARY}",
-    "quality_gate": f"WITH {_JUDGED} SELECT recall_at_5, CASE WHEN recall_at_5 >= 0.75 THEN 'promote' ELSE 'rollback' END AS decision, 'rollback' AS decision_without_results FROM ({_SUMMARY})",
+    "eval_summary": _SUMMARY,
+    "quality_gate": f"SELECT mode, recall_at_5, CASE WHEN recall_at_5 >= 0.75 THEN 'promote' ELSE 'rollback' END AS decision, 'rollback' AS decision_without_results FROM ({_SUMMARY})",
+    "document_metadata": """SELECT doc_id, coalesce(lang, 'none') AS lang, octet_length(encode(text))::BIGINT AS n_bytes, 2::BIGINT AS n_keys, 'nobody' AS owner, decode(encode(text)) = text AS round_trip FROM documents""",
     "rewrite_rule_based": f"WITH {_VARIATIONS} SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn ORDER BY o) - 1 AS position, v AS variation FROM f",
     "rewrite_counts": f"WITH {_VARIATIONS} SELECT n - 1 AS n_added, count(*) AS n_queries FROM (SELECT conv_id, turn, count(*) AS n FROM f GROUP BY 1, 2) GROUP BY n",
     "pages_to_text": rf"""SELECT page_id, CASE WHEN t = '' THEN url ELSE t END AS title, content FROM (SELECT page_id, url, {_html("html")} AS content,

@@ -1,14 +1,22 @@
-"""A refresh run: sources to a staged index version, evaluation, and promotion or discard."""
+"""A refresh run: sources to a staged index version, evaluation, and promotion or discard, with its audit, measures and messages."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions.text import point_id
-from siltwork.operators import bm25, chunking, dedup, embed, evaluate, lifecycle
+from siltwork.operators import audit, bm25, caches, chunking, cost, dedup, embed, evaluate, lifecycle, metrics, upsert
+from siltwork.plans import steps
+from siltwork.plans.search import Search, retrieve
+from siltwork.plans.steps import Step
+from siltwork.store import stage
+
+HASHES = "content_hash string, confirmed_at timestamp_ntz"
 
 
 @dataclass
@@ -16,61 +24,200 @@ class Settings:
     chunk_size: int = 512
     chunk_overlap: int = 50
     top_k: int = 10
+    use_hybrid: bool = False
+    use_rerank: bool = False
     threshold: float = 0.75
     expiration_days: int = 365
+    batch_size: int = 100
+    budget: float = 50.0
+    dollars_per_million: float = 0.0
 
 
 @dataclass
 class Report:
     run_id: str
     decision: str
-    n_documents: int
-    n_new: int
-    n_chunks: int
-    recall_5: float
-    mrr: float
+    n_documents: int = 0
+    n_new: int = 0
+    n_chunks: int = 0
+    n_lost: int = 0
+    recall_5: float = 0.0
+    mrr: float = 0.0
+
+
+@dataclass
+class Run:
+    """One run below ``path``, where versions of the index, confirmed hashes, caches, audit tables, measures and the cost summary are kept."""
+
+    spark: SparkSession
+    run_id: str
+    path: str
+    now: Column
+    settings: Settings = field(default_factory=Settings)
+    send: Callable | None = None
+    tell: Callable[[str], None] | None = None
+
+    def __post_init__(self):
+        self.versions = lifecycle.Versions(self.spark, f"{self.path}/index")
+        self.audit = audit.Audit(self.spark, f"{self.path}/audit")
+        self.searches = caches.SearchCache(self.spark, f"{self.path}/searches")
+        self.answers = caches.AnswerCache(self.spark, f"{self.path}/answers")
+
+    # The steps, by what they make.
+
+    def dedup(self, docs: DataFrame):
+        self.spark.createDataFrame([], HASHES).write.mode("append").parquet(f"{self.path}/hashes")
+        store = self.spark.read.schema(HASHES).parquet(f"{self.path}/hashes")
+        hashed = dedup.hashed(docs)
+        new = stage(dedup.new_documents(hashed, dedup.live(store, self.now)), "new")
+        return store, new, docs.count(), new.count()
+
+    def chunk(self, new: DataFrame):
+        s = self.settings
+        rows = chunking.chunked(new, "content", s.chunk_size, s.chunk_overlap)
+        rows = rows.withColumn("id", point_id(F.col("content_hash"), F.col("chunk_index"))).withColumn("expires_at", lifecycle.expires_at(self.now, s.expiration_days))
+        return rows.drop("metadata", "doc_id")
+
+    def embed(self, chunks: DataFrame):
+        points = stage(embed.embedded(chunks), "points")
+        return points, cost.embedding_cost(points, "chunk_text", self.settings.dollars_per_million).first().cost or 0.0
+
+    def write(self, points: DataFrame):
+        """Sends batches to the outside store, if there is one, and stages what landed with what production keeps."""
+        sent = None
+        if self.send is not None:
+            result = stage(upsert.sent(upsert.batched(points, self.settings.batch_size), self.send), "sent")
+            sent = result.filter("ok").select("content_hash", "chunk_index")
+            landed = points.join(sent.dropDuplicates(), ["content_hash", "chunk_index"], "left_semi")
+        else:
+            landed = points
+        whole = dedup.landed_hashes(points, landed)
+        production, expired = None, 0
+        if self.versions.current():
+            held = self.versions.read()
+            production = lifecycle.unexpired(held, self.now)
+            expired = held.count() - production.count()
+        staged = self.versions.stage(self.run_id, lifecycle.promoted(production, landed) if production is not None else landed)
+        return staged, stage(whole, "landed"), points.count(), points.count() - landed.count(), expired
+
+    def prepare(self, staged: DataFrame):
+        """The sparse index that searches of the new version start from."""
+        index = bm25.index(numbered(staged))
+        self.searches.put("kb", self.run_id, index, time.time())
+        return self.searches.get("kb", self.run_id, time.time()) or index
+
+    def evaluate(self, staged: DataFrame, index: bm25.Bm25, benchmark: DataFrame):
+        return evaluation(numbered(staged), benchmark, self.settings, index)
+
+    def decide(self, quality: dict, n_new: int):
+        if not n_new:
+            return "no_change"
+        return "promote" if quality["recall_at_5"] >= self.settings.threshold else "rollback"
+
+    def forecast(self, samples: DataFrame | None, dollars: float):
+        dollars = dollars or 0.0
+        if samples is None:
+            samples = self.spark.createDataFrame([], "ts double, cost double")
+        return cost.task(samples, F.unix_timestamp(self.now.cast("timestamp")).cast("double"), dollars, self.settings.budget, f"{self.path}/cost")
+
+    def promote(self, store: DataFrame, landed: DataFrame, decision: str):
+        self.versions.promote(self.run_id)
+        dedup.confirm(store, landed, self.now).write.mode("append").parquet(f"{self.path}/hashes")
+        self.answers.invalidate("kb")
+        return "promoted"
+
+    def discard(self):
+        """The staged version, its search index and answers go; its documents were never confirmed, so the next run sees them again."""
+        self.versions.discard(self.run_id)
+        self.searches.invalidate("kb")
+        self.answers.invalidate("kb")
+        return "discarded"
+
+    def steps(self) -> list[Step]:
+        return [
+            Step("dedup", self.dedup, ("docs",), ("store", "new", "n_documents", "n_new")),
+            Step("chunk", self.chunk, ("new",), ("chunks",), given="n_new"),
+            Step("embed", self.embed, ("chunks",), ("points", "dollars"), given="n_new"),
+            Step("write", self.write, ("points",), ("staged", "landed", "n_chunks", "n_lost", "n_expired"), given="n_new"),
+            Step("prepare", self.prepare, ("staged",), ("index",), given="n_new"),
+            Step("evaluate", self.evaluate, ("staged", "index", "benchmark"), ("quality",), given="n_new"),
+            Step("decide", self.decide, ("quality", "n_new"), ("decision",)),
+            Step("forecast", self.forecast, ("samples", "dollars"), ("costs",)),
+            Step("promote", self.promote, ("store", "landed", "decision"), ("outcome",), "promote"),
+            Step("discard", lambda decision: self.discard(), ("decision",), ("outcome",), "rollback"),
+            Step("leave", lambda decision: "left", ("decision",), ("outcome",), "no_change"),
+            Step("record", self.record, ("docs", "new", "chunks", "quality", "costs", "outcome", "n_documents", "n_new", "n_chunks", "n_lost", "n_expired", "dollars", "decision"), ("report",)),
+        ]
+
+    def record(self, docs, new, chunks, quality, costs, outcome, n_documents, n_new, n_chunks, n_lost, n_expired, dollars, decision):
+        s, at = self.settings, self.now
+        if decision == "no_change":  # nothing was chunked, written or measured
+            n_chunks = n_lost = n_expired = 0
+            dollars, quality = 0.0, dict.fromkeys(("total_queries", "recall_at_1", "recall_at_5", "recall_at_10", "mrr", "milliseconds"), 0.0) | {"total_queries": 0}
+        report = Report(self.run_id, decision, n_documents, n_new, n_chunks, n_lost, quality["recall_at_5"], quality["mrr"])
+        if decision == "promote":
+            self.audit.put_documents(audit.document_rows(new, at))
+            self.audit.append("chunks", audit.chunk_rows(chunks.withColumn("embedding_model", F.lit("hashed-features-384")), self.audit.documents(), at))
+        self.audit.append("eval_results", audit.eval_rows(self.spark.createDataFrame([(self.run_id, "kb", quality["total_queries"], quality["recall_at_1"], quality["recall_at_5"], quality["recall_at_10"], quality["mrr"], quality["milliseconds"])],
+                          "run_id string, collection_name string, total_queries long, recall_at_1 double, recall_at_5 double, recall_at_10 double, mrr double, avg_query_latency_ms double"), s.threshold, at))
+        self._end("rolled_back" if decision == "rollback" else "success", None, n_documents, n_new, n_chunks, n_chunks, n_chunks - n_lost)
+        values = {
+            "documents": n_documents, "documents_new": n_new, "share_known": 1 - n_new / n_documents if n_documents else 0.0, "chunks": n_chunks, "chunks_a_document": n_chunks / n_new if n_new else 0.0,
+            "embedding_dollars": dollars, "points_written": n_chunks - n_lost, "points_lost": n_lost, "recall_at_5": quality["recall_at_5"], "mrr": quality["mrr"],
+            "milliseconds_a_query": quality["milliseconds"], "points_expired": n_expired, "dollars_a_month": costs["monthly_forecast"],
+        }
+        metrics.rows(self.spark, self.run_id, values, at).write.mode("append").parquet(f"{self.path}/metrics")
+        metrics.tracked(self.spark, self.run_id, asdict(s), values, {"decision": decision, "budget": costs["budget_severity"], "trend": costs["trend"]}, at).write.mode("append").parquet(f"{self.path}/tracking")
+        said = [metrics.finished_message(F.lit(decision), F.lit(n_documents), F.lit(report.recall_5), F.lit(report.mrr))]
+        if decision == "rollback":
+            said.append(metrics.held_back_message(F.lit(report.recall_5), F.lit(s.threshold)))
+        if costs["budget_severity"] != "ok":
+            said.append(F.lit(costs["budget_message"]))
+        for m in self.spark.range(1).select(*[c.alias(f"m{i}") for i, c in enumerate(said)]).first():
+            metrics.notify(m, self.tell)
+        return report
+
+    def _start(self) -> None:
+        row = self.spark.createDataFrame([(self.run_id, "refresh")], "run_id string, dag_id string").withColumn("execution_date", self.now)
+        self.audit.append("ingestion_log", audit.started(row, self.now))
+
+    def _end(self, status: str, error: str | None, *counts: int) -> None:
+        begun = self.audit.read("ingestion_log").filter((F.col("run_id") == self.run_id) & (F.col("status") == "running")).limit(1)
+        ends = self.spark.createDataFrame([(self.run_id, *(counts or (None,) * len(audit.COUNTERS)), status, error)], f"run_id string, {', '.join(f'{c} long' for c in audit.COUNTERS)}, status string, error_message string")
+        self.audit.append("ingestion_log", stage(audit.completed(begun, ends, self.now + F.expr("interval 1 second")), "ended"))
+
+    def go(self, docs: DataFrame, benchmark: DataFrame, samples: DataFrame | None = None) -> Report:
+        self._start()
+        try:
+            return steps.run(self.steps(), {"docs": docs, "benchmark": benchmark, "samples": samples})["report"]
+        except steps.StepFailed as e:
+            self._end("failed", str(e.error)[:1000])
+            metrics.notify(self.spark.range(1).select(metrics.failed_message(F.lit(e.step), F.lit(str(e.error)[:1000]))).first()[0], self.tell)
+            raise
 
 
-def points(new: DataFrame, now, settings: Settings) -> DataFrame:
-    """Points of hashed documents: chunks with stable ids, vectors and expiry."""
-    chunks = chunking.chunked(new, "content", settings.chunk_size, settings.chunk_overlap)
-    rows = chunks.withColumn("id", point_id(F.col("content_hash"), F.col("chunk_index"))).withColumn("expires_at", lifecycle.expires_at(now, settings.expiration_days))
-    return embed.embedded(rows)
+def numbered(points: DataFrame) -> DataFrame:
+    """Points with a number for an id and their text, as searches take them."""
+    return points.select(F.xxhash64("id").alias("id"), "embedding", F.col("chunk_text").alias("text"), "filename")
 
 
-def sparse_evaluation(index: DataFrame, benchmark: DataFrame, top_k: int) -> DataFrame:
-    """Per-query quality of BM25 over the index's chunks; benchmark: query_id, query, expected_docs."""
-    found = bm25.top(bm25.scores(bm25.index(index, "id", "chunk_text"), benchmark), top_k)
-    names = found.join(index.select("id", F.col("filename").alias("name")), "id").select("query_id", "name", "rank")
-    return evaluate.judged(names, benchmark.select("query_id", F.explode("expected_docs").alias("name")))
+def evaluation(points: DataFrame, benchmark: DataFrame, settings: Settings, index: bm25.Bm25 | None = None) -> dict:
+    """Quality over all queries (query_id, query, expected_docs) by the chosen kind of search: dense, fused or re-scored; and milliseconds a query."""
+    asked = embed.embedded(benchmark.select("query_id", "query"), text="query").select("query_id", "query", "embedding")
+    search = Search(settings.top_k, settings.use_hybrid, settings.use_rerank)
+    began = time.perf_counter()
+    found = stage(retrieve(asked, points, search, index).select("query_id", "id", "rank"), "found")
+    seconds, n = time.perf_counter() - began, benchmark.count()
+    names = found.filter(F.col("rank") <= settings.top_k).join(points.select("id", F.col("filename").alias("name")).distinct(), "id").select("query_id", "name", "rank")
+    truth = benchmark.select("query_id", F.explode("expected_docs").alias("name"))
+    quality = evaluate.summary(evaluate.judged(names, truth, benchmark)).first().asDict()
+    return quality | {"milliseconds": round(1000 * seconds / n, 2) if n else 0.0}
 
 
-def run(spark: SparkSession, run_id: str, docs: DataFrame, benchmark: DataFrame, path: str, now, settings: Settings | None = None) -> Report:
-    """docs: content, source, source_uri, filename; state lives below ``path``: versions of the index and confirmed hashes.
+def run(spark: SparkSession, run_id: str, docs: DataFrame, benchmark: DataFrame, path: str, now: Column, settings: Settings | None = None, send: Callable | None = None, tell: Callable[[str], None] | None = None, samples: DataFrame | None = None) -> Report:
+    """docs: content, source, source_uri, filename; benchmark: query_id, query, expected_docs; samples: ts, cost of earlier runs.
 
-    The next version holds what production held, less what new documents replace; hashes are confirmed after promotion.
-    A run without new documents ends with the decision ``no_change``.
+    The next version holds what production held, less what new documents replace; hashes are confirmed after promotion,
+    and only for documents all of whose chunks landed. A run without new documents ends with the decision ``no_change``.
     """
-    settings = settings or Settings()
-    versions, store_path = lifecycle.Versions(spark, f"{path}/index"), f"{path}/hashes"
-    schema = "content_hash string, confirmed_at timestamp_ntz"
-    spark.createDataFrame([], schema).write.mode("append").parquet(store_path)
-    store = spark.read.schema(schema).parquet(store_path)
-    hashed = dedup.hashed(docs)
-    new = dedup.new_documents(hashed, dedup.live(store, now))
-    fresh = points(new, now, settings).drop("metadata", "doc_id")
-    production = lifecycle.unexpired(versions.read(), now) if versions.current() else None
-    staged = versions.stage(run_id, lifecycle.promoted(production, fresh) if production is not None else fresh)
-    n_documents, n_new = docs.count(), new.count()
-    if not n_new:
-        versions.discard(run_id)
-        return Report(run_id, "no_change", n_documents, 0, 0, 0.0, 0.0)
-    quality = evaluate.summary(sparse_evaluation(staged, benchmark, settings.top_k)).withColumn("decision", evaluate.gate(F.col("recall_at_5"), settings.threshold)).first()
-    landed = staged.join(new.select("content_hash").distinct(), "content_hash", "left_semi")
-    n_chunks = landed.count()
-    if quality.decision == "promote":
-        versions.promote(run_id)
-        dedup.confirm(store, landed, now).write.mode("append").parquet(store_path)
-    else:
-        versions.discard(run_id)
-    return Report(run_id, quality.decision, n_documents, n_new, n_chunks, quality.recall_at_5, quality.mrr)
+    return Run(spark, run_id, path.rstrip("/"), now, settings or Settings(), send, tell).go(docs, benchmark, samples)

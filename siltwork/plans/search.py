@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.operators import answer_cache, bm25, dense, hybrid
+from siltwork.operators import answer_cache, bm25, caches, dense, hybrid
 from siltwork.store import stage
 
 
@@ -26,16 +28,23 @@ class Search:
         return answer_cache.settings_hash(self.use_hybrid, False, self.use_rerank, self.top_k)
 
 
+def _sparse(queries: DataFrame, points: DataFrame, index: bm25.Bm25 | None) -> DataFrame:
+    return stage(bm25.normalised(bm25.scores(index or bm25.index(points), queries)), "norm")
+
+
 def retrieve(queries: DataFrame, points: DataFrame, search: Search, index: bm25.Bm25 | None = None, score: Callable[[Column, Column], Column] = hybrid.lexical_score) -> DataFrame:
     """(query_id, id, rank, combined_score, candidate_text, ...) for queries (query_id, query, embedding) over points (id, embedding, text).
 
-    With re-scoring, twice the results are fetched first. Without a corpus of texts the vectors decide alone.
+    With re-scoring, twice the results are fetched first. If the sparse side cannot be read or built, the vectors decide alone.
     """
     k = 2 * search.top_k if search.use_rerank else search.top_k
-    vectors = points.select("id", "embedding")
+    vectors, norm = points.select("id", "embedding"), None
     if search.use_hybrid:
-        ix = index or bm25.index(points)
-        norm = stage(bm25.normalised(bm25.scores(ix, queries)), "norm")
+        try:
+            norm = _sparse(queries, points, index)
+        except (PySparkException, Py4JError):  # an index that is gone or damaged
+            norm = None
+    if norm is not None:
         k_dense, k_sparse = hybrid.shares(k)
         sparse = bm25.top(norm, k_sparse).select("query_id", "id", "score")
         found = hybrid.fused(dense.top_k(vectors, queries, k_dense, least=search.least), sparse, norm, search.bm25_weight, k)
@@ -52,3 +61,21 @@ def answered(queries: DataFrame, entries: DataFrame, search: Search, now: Column
     probes = queries.withColumns({"collection": F.lit(search.collection), "settings": F.lit(search.settings)})
     hits = answer_cache.lookup(probes, entries, now)
     return hits, answer_cache.misses(queries, hits)
+
+
+def search_and_answer(queries: DataFrame, points: DataFrame, cache: caches.AnswerCache, search: Search, now: Column, answer: Callable[[Column, Column], Column], index: bm25.Bm25 | None = None) -> DataFrame:
+    """(query_id, answer, from_cache): cached answers, and for the other queries new ones, which are cached.
+
+    ``answer`` makes an answer of a query and its context, the texts of the best five results. A query without results
+    has the context ''. An entry is named by the query's id.
+    """
+    hits, left = answered(queries, cache.entries(), search, now)
+    known = hits.join(cache.entries().select("entry_id", F.col("answer").alias("_answer")), "entry_id").select("query_id", F.col("_answer").alias("answer"), F.lit(True).alias("from_cache"))
+    known, left = stage(known, "known"), stage(left, "left")
+    ranked = stage(retrieve(left, points, search, index), "ranked")
+    texts = hybrid.context(ranked, 5)
+    names = ranked.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda x: x["id"].cast("string")).alias("results"))
+    new = left.join(texts, "query_id", "left").join(names, "query_id", "left").withColumn("answer", answer(F.col("query"), F.coalesce("context", F.lit(""))))
+    new = stage(new.select("query_id", "embedding", "answer", "results"), "answers")
+    cache.put(new.select(F.col("query_id").alias("entry_id"), F.lit(search.collection).alias("collection"), F.lit(search.settings).alias("settings"), "embedding", "answer", "results"), now)
+    return known.unionByName(new.select("query_id", "answer", F.lit(False).alias("from_cache")))

@@ -4,6 +4,7 @@ import datetime
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -193,12 +194,15 @@ def test_histogram(spark):
 
 
 def test_metric_rows_and_messages(spark):
-    got = metrics.rows(spark, "r", "t", {"mrr": 0.5, "unknown": 1}, NOW).collect()
-    assert [(r.name, r.kind, r.value) for r in got] == [("mrr", "gauge", 0.5)]
-    said = one(spark, metrics.summary_message(F.lit("success"), F.lit(847), F.lit(0.93), F.lit(0.82)))
-    assert "SUCCESS" in said and "847" in said and "93.00%" in said and "0.820" in said
-    assert "threshold: 75.00%" in one(spark, metrics.alert_message(F.lit("m"), F.lit(0.5), F.lit(0.75)))
-    assert "`chunk`" in one(spark, metrics.error_message(F.lit("chunk"), F.lit("boom")))
+    got = metrics.rows(spark, "r", {"mrr": 0.5}, F.lit(NOW).cast("timestamp_ntz")).collect()
+    assert [(r.step, r.name, r.kind, r.value) for r in got] == [("evaluate", "mrr", "gauge", 0.5)]
+    with pytest.raises(ValueError):
+        metrics.rows(spark, "r", {"unknown": 1}, F.lit(NOW).cast("timestamp_ntz"))
+    assert one(spark, metrics.finished_message(F.lit("promote"), F.lit(847), F.lit(0.93), F.lit(0.82))) == "Run ended: promote. 847 documents read; the first five results hold 93.0 % of what is expected (mean reciprocal rank 0.820)."
+    assert "75.0 % is asked for" in one(spark, metrics.held_back_message(F.lit(0.5), F.lit(0.75)))
+    assert one(spark, metrics.failed_message(F.lit("chunk"), F.lit("boom"))) == "Step chunk failed: boom"
+    heard = []
+    assert metrics.notify("x", heard.append) and heard == ["x"] and not metrics.notify("x", None) and not metrics.notify("x", lambda m: 1 / 0)
 
 
 @pytest.mark.parametrize("query,want", [
@@ -362,14 +366,23 @@ def test_cost_summary(spark):
     assert cost.summary(samples(spark, [1.0]), F.lit(DAYS[0]), 0.5).first().monthly_forecast == 0
 
 
-def test_graph():
-    from siltwork.plans import graph
+def test_steps():
+    from siltwork.plans import refresh, steps
+    from siltwork.plans.steps import Step
 
-    assert graph.faults() == [] and graph.order(graph.STEPS)[0] == "start" and graph.order(graph.STEPS)[-1] == "end"
-    broken = {k: v for k, v in graph.STEPS.items() if k != "rollback_and_alert"} | {"alone": (), "finish": ("promote_to_production",)}
-    assert graph.faults(broken, schedule=None) == ["required step rollback_and_alert is missing", "there is no schedule", "alone stands alone", "the gate has 1 branches, not 2"]
-    with pytest.raises(ValueError):
-        graph.order({"a": ("b",), "b": ("a",)})
+    run = refresh.Run.__new__(refresh.Run)
+    own = run.steps()
+    assert steps.problems(own, ("docs", "benchmark", "samples"), ("report",)) == []
+    names = [s.name for s in steps.in_order(reversed(own))]
+    assert names.index("dedup") < names.index("chunk") < names.index("embed") < names.index("write") < names.index("evaluate") < names.index("decide") < names.index("promote") < names.index("record")
+    done = []
+    made = [Step("b", lambda x: done.append(x) or "yes", ("x",), ("decision",)), Step("a", lambda: 3, (), ("x",)), Step("c", lambda: "c", (), ("y",), "yes"), Step("d", lambda: "d", (), ("y",), "no"), Step("e", lambda: 1 / 0, (), ("z",), given="nothing")]
+    assert steps.run([made[1], made[0], *made[2:]], {})["y"] == "c" and done == [3]
+    assert steps.problems([made[1], made[1]], (), ("z",)) == ["nothing makes z", "x is made by a and a, which can both run", "two steps are called a", "a makes only what nobody reads", "a makes only what nobody reads"]
+    assert steps.problems([Step("p", id, ("q",), ("r",)), Step("s", id, ("r",), ("q",))], (), ()) == ["these steps read each other's values: p, s"]
+    assert steps.problems([Step("p", id, ("q",))], (), ()) == ["p reads q, which nothing makes"]
+    with pytest.raises(steps.StepFailed):
+        steps.run([Step("f", lambda: 1 / 0)], {})
 
 
 def test_search(spark):
@@ -388,3 +401,82 @@ def test_search(spark):
     entries = spark.createDataFrame([(5, "kb", search.settings, [float(x) for x in run(["vacation policy"])[0]], NOW)], "entry_id long, collection string, settings string, embedding array<double>, cached_at timestamp_ntz")
     hits, misses = answered(asked, entries, search, F.lit(NOW).cast("timestamp_ntz"))
     assert hits.first().entry_id == 5 and misses.count() == 0
+
+
+def test_audit_tables(spark, tmp_path):
+    from siltwork.operators import audit
+
+    at = F.lit(NOW).cast("timestamp_ntz")
+    log = audit.Audit(spark, str(tmp_path))
+    runs = spark.createDataFrame([("r1", "d"), ("r2", "d")], "run_id string, dag_id string").withColumn("execution_date", F.lit(None).cast("timestamp_ntz"))
+    log.append("ingestion_log", audit.started(runs, at))
+    ends = spark.createDataFrame([("r1", 5, None, None, None, 7, None, None), ("r9", 1, 1, 1, 1, 1, "failed", "x")], f"run_id string, {', '.join(f'{c} long' for c in audit.COUNTERS)}, status string, error_message string")
+    log.append("ingestion_log", audit.completed(audit.started(runs, at), ends, at + F.expr("interval 1 minute")))
+    now_ = {r.run_id: r for r in audit.runs_now(log.read("ingestion_log")).collect()}
+    assert set(now_) == {"r1", "r2"} and now_["r1"].status == "success" and now_["r1"].documents_extracted == 5 and now_["r1"].chunks_created == 0 and now_["r1"].vectors_upserted == 7
+    assert now_["r2"].status == "running" and now_["r2"].completed_at is None
+    docs = spark.createDataFrame([("h1", "u2", "s", "f", "text"), ("h1", "u1", None, "f", "text"), ("", "u", "s", "f", "x"), (None, "u", "s", "f", "x")], "content_hash string, source_uri string, source string, filename string, content string")
+    log.put_documents(audit.document_rows(docs, at))
+    log.put_documents(audit.document_rows(docs, at + F.expr("interval 1 day")))
+    (only,) = log.documents().collect()
+    assert (only.source_uri, only.source_type, only.file_size_bytes) == ("u1", "unknown", 4) and (only.last_updated - only.created_at).days == 1
+    chunks = spark.createDataFrame([("h1", 0, 1, "t", 3), ("h2", 0, 1, "t", 3)], "content_hash string, chunk_index int, total_chunks int, chunk_text string, token_count int")
+    assert [r.document_id for r in audit.chunk_rows(chunks, log.documents(), at).collect()] == ["h1"]
+    evals = spark.createDataFrame([("r1", "kb", 3, 0.5, 0.74995, 1.0, None, 12.345), ("r2", "kb", 0, 0.5, 1.0, 1.0, 1.0, 1.0)], "run_id string, collection_name string, total_queries long, recall_at_1 double, recall_at_5 double, recall_at_10 double, mrr double, avg_query_latency_ms double")
+    (row,) = audit.eval_rows(evals, 0.75, at).collect()
+    assert str(row.recall_at_5) == "0.7500" and row.passed_threshold is False
+
+
+def test_upsert_goes_on_after_a_failure(spark):
+    from siltwork.operators import upsert
+
+    points = spark.range(1000).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("h"), F.floor(F.col("id") / 4)).alias("content_hash"), (F.col("id") % 4).cast("int").alias("chunk_index"))
+
+    def send(frame):
+        if frame["batch"].iloc[0] == 2:
+            raise OSError("lost")
+
+    batched = upsert.batched(points, 100)
+    sent = upsert.sent(batched, send).cache()
+    lost = batched.filter("batch = 2").count()
+    r = upsert.counters(sent).first()
+    assert (r.points_upserted, r.points_failed, r.batches_failed, r.success) == (1000 - lost, lost, 1, True) and 0 < lost < 1000
+    whole = {x.content_hash for x in dedup.landed_hashes(batched, sent.filter("ok")).collect()}
+    assert whole == {f"h{k}" for k in range(250)} - {x.content_hash for x in batched.filter("batch = 2").collect()}
+    assert upsert.counters(upsert.sent(batched.limit(0), send)).first().success is False
+
+
+def test_collections(spark, tmp_path):
+    kept = lifecycle.Collections(spark, str(tmp_path))
+    assert kept.ensure("kb", 2) and not kept.ensure("kb", 2)
+    with pytest.raises(ValueError):
+        kept.ensure("kb", 3)
+    with pytest.raises(Exception, match="2 dimensions"):
+        kept.upsert("kb", "v1", spark.createDataFrame([([1.0],)], "embedding array<double>"))
+    assert kept.info().collect()[0].points_count == 0 and kept.delete("kb") and kept.info().count() == 0
+
+
+def test_nearest_with_ties_and_parts(spark):
+    rng = np.random.default_rng(3)
+    v = rng.integers(-2, 3, (4000, 3)).astype(float)
+    vectors = spark.createDataFrame([(i, i % 3, x.tolist()) for i, x in enumerate(v)], "id long, part long, embedding array<double>")
+    queries = vectors.filter("id % 50 = 0").withColumnRenamed("id", "query_id")
+    got = dense.top_k(vectors.repartition(5), queries, 7)
+    want = {}
+    for i in range(0, 4000, 50):
+        n = np.linalg.norm(v[i]) * np.linalg.norm(v, axis=1)
+        s = np.round(np.divide(v @ v[i], n, out=np.zeros(4000), where=n > 0), 6)
+        want[i] = sorted((j for j in range(4000) if j % 3 == i % 3), key=lambda j: (-s[j], j))[:7]
+    found = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.id)
+    assert found == want
+
+
+def test_texts_that_contain_queries(spark):
+    from siltwork.plans.tables import containing
+
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "xa b c d ex\ny"), (3, "b c"), (4, None), (5, ""), (6, "a b\nc d e f")], "id long, text string")
+    queries = spark.createDataFrame([(1, "a b c d e"), (2, "b c"), (3, "c"), (4, "b\nc d e"), (5, "a b c d e f g"), (6, None), (7, "b c d")], "query_id long, query string")
+    want = {(d.id, q.query_id) for d in docs.collect() for q in queries.collect() if d.text is not None and q.query is not None and q.query in d.text}
+    assert {(r.id, r.query_id) for r in containing(docs, queries).collect()} == want
