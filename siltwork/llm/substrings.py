@@ -1,21 +1,28 @@
-"""Substring dedup by hashes of windows, partitioned by variable-length prefixes; no suffix trees are built.
-
-Every word position with ``n`` words to come starts a suffix. A first pass counts suffixes by the cells of their first
-and of their first two words (2^16 counters, however large the table). Cells become units of about equal count by
-prefixes of variable length: one word; two words where one is too frequent; all ``n`` words where two are. Units are
-packed into groups that fit in memory. Of a suffix only a 64-bit hash of its first n words is kept: a group's hashes meet
-in one task, sorted, and among equal ones those outside the smallest doc_id are repeats. That is all the removal needs,
-and a record stays a few bytes; what suffix trees would give beyond it, the length and occurrences of each maximal
-repeat, is not found. Neighbouring repeated windows of a document join into spans, which are removed.
-
-Texts are read in pieces of about 4 MB. A piece sends each distinct window once, with the smallest doc_id that has it
-in the piece (so a passage of a third of all documents costs a record per piece, not one per document), packed and
-compressed by group; a group answers with the places of the windows that a smaller document elsewhere has. A piece's
+"""Substring dedup by suffix trees, partitioned by prefixes of variable length.
+
+Every word position with ``n`` words to come starts a suffix, of which its first n words matter: repeats of n words or
+more are the internal nodes at depth n, and longer ones are runs of such nodes at neighbouring positions.
+
+1. A count of suffixes by the cells of their first and of their first two words (2^16 counters, however large the table)
+   plans the groups: cells become units of about equal count by prefixes of one word, of two where one is too frequent,
+   and of six where two are. Units are packed into groups that fit in memory.
+2. Most suffixes are leaves that no node of depth n is above. They are found before any words travel: of the n - k + 1
+   grams of k words in a window the one of least hash is the window's anchor, so equal windows have equal anchors, and
+   only one position in three is an anchor. Anchors of two or more pieces of text mark the suffixes that may branch.
+3. These suffixes go to the group of their prefix, with their words. There they are sorted by words into a suffix array,
+   the common prefixes of neighbours give the internal nodes of depth n, and each node's smallest doc_id says which of
+   its suffixes are repeats. Suffixes meet by their words; hashes of windows only name them inside a piece.
+4. Words covered by a window whose node has a smaller document are removed; neighbouring windows join into spans.
+
+Texts are read in pieces of ``piece`` bytes. A piece sends each distinct window once, with the smallest doc_id that has
+it in the piece (so a passage of a third of all documents costs a record per piece, not one per document), packed and
+compressed by group; a group answers with the windows that a smaller document elsewhere has. Pieces grow with the number
+of groups, up to four times, and a piece and a group share a record only where the piece has such suffixes. A piece's
 number is a checksum of its rows, and an answer that finds no piece fails the query rather than being lost.
 
 Defined results: a null text has no words; a null doc_id is larger than all others; rows that share a doc_id remove
 nothing from each other; windows inside one document never remove each other; an empty table gives an empty result;
-extra columns are ignored. Windows compare by 64-bit hashes of their words.
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,17 +37,25 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltwork.llm._store import stage
 from siltwork.llm._text import grams, mix, pieces, tokenised
 
-WINDOW = 13
-FIRST_BITS, SECOND_BITS = 10, 6
+WINDOW, SLACK = 13, 4
+FIRST_BITS, SECOND_BITS, LONG_PREFIX = 10, 6, 6
 #: Suffixes of a group, about; and the least number of groups.
 GROUP, LEAST_GROUPS = 1_500_000, 64
+#: Bits of an anchor that travel; anchors that agree in them by chance cost a suffix's words, no more.
+ANCHOR_BITS = 48
 _LAST = np.iinfo(np.int64).max
 
 
-class Windows:
-    """The windows of one piece of documents."""
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.empty(0, np.int64)
+
+
+class Piece:
+    """The words and windows of some documents."""
 
     def __init__(self, doc_ids: pa.Array, texts: list[str | None], n: int):
         self.ids = np.where(doc_ids.is_null().to_numpy(zero_copy_only=False), _LAST, doc_ids.fill_null(0).to_numpy(zero_copy_only=False))
@@ -50,31 +65,47 @@ class Windows:
         self.at = np.flatnonzero(place <= np.repeat(self.counts, self.counts) - n)
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)[self.at]
 
-    def cells(self) -> np.ndarray:
-        """The cell of each window's first two words; its high bits are the first word's cell."""
-        first = mix(self.h[self.at]) >> np.uint64(64 - FIRST_BITS)
-        second = grams(self.h, 2)[self.at] >> np.uint64(64 - SECOND_BITS) if len(self.at) else first
+    def cells(self, at: np.ndarray) -> np.ndarray:
+        """The cell of the first two words at these places; its high bits are the first word's cell."""
+        first = mix(self.h[at]) >> np.uint64(64 - FIRST_BITS)
+        second = grams(self.h, 2)[at] >> np.uint64(64 - SECOND_BITS) if len(at) else first
         return ((first << np.uint64(SECOND_BITS)) | second).astype(np.int64)
 
+    def groups(self, at: np.ndarray, plan: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """The group of the suffixes at these places, by their prefixes."""
+        units, splits, of = plan
+        cell = self.cells(at)
+        longer = grams(self.h, min(LONG_PREFIX, self.n))[at] if len(at) else np.empty(0, np.uint64)
+        return of[units[cell] + (longer % splits[cell].astype(np.uint64)).astype(np.int64)]
+
+    def anchors(self) -> np.ndarray:
+        """Each window's anchor: the least hash of its grams of n - SLACK words."""
+        if not len(self.at):
+            return np.empty(0, np.uint64)
+        g = grams(self.h, max(1, self.n - SLACK)) >> np.uint64(64 - ANCHOR_BITS)
+        least = g[self.at]
+        for j in range(1, self.n - max(1, self.n - SLACK) + 1):
+            np.minimum(least, g[self.at + j], out=least)
+        return least
+
+    def names(self) -> np.ndarray:
+        """Hashes that name windows inside this piece; equal names of different words raise."""
+        if not len(self.at):
+            return np.empty(0, np.uint64)
+        name = grams(self.h, self.n)[self.at]
+        order = np.argsort(name, kind="stable")
+        same = name[order][1:] == name[order][:-1]
+        a, b = self.at[order][1:][same], self.at[order][:-1][same]
+        if any((self.h[a + j] != self.h[b + j]).any() for j in range(self.n)):
+            raise RuntimeError("two windows of a piece have one hash: choose another piece size")
+        return name
+
     def checksum(self) -> int:
         """A number for the piece that depends on its rows alone."""
         x = mix(mix(self.ids.view(np.uint64)) + self.counts.astype(np.uint64) + np.arange(len(self.ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         y = mix(self.h + np.arange(len(self.h), dtype=np.uint64))
         return int(np.array([3 * int(x.sum(dtype=np.uint64)) + int(y.sum(dtype=np.uint64)) & (1 << 64) - 1], np.uint64).view(np.int64)[0])
 
-    def records(self, units: np.ndarray, splits: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(group, key, row of its smallest document, record of each window) of the distinct windows, by group and key."""
-        key = grams(self.h, self.n)[self.at] if len(self.at) else np.empty(0, np.uint64)
-        cell = self.cells()
-        group = of[units[cell] + (key % splits[cell].astype(np.uint64)).astype(np.int64)]
-        order = np.lexsort((self.ids[self.doc], key, group))
-        k, d = key[order], self.doc[order]
-        new = np.ones(len(k), bool)
-        new[1:] = k[1:] != k[:-1]  # equal windows share their cell, and so their group
-        record = np.empty(len(k), np.int64)
-        record[order] = np.cumsum(new) - 1
-        return group[order][new], k[new], d[new], record
-
 
 def _planes(x: np.ndarray) -> bytes:
     """Byte planes, so that high bytes that hardly vary compress away."""
@@ -86,19 +117,33 @@ def _unplaned(data: bytes, kind, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, n).T).view(kind).ravel()
 
 
-def packed(keys: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> bytes:
-    """Sorted keys and their documents' ids."""
-    used, at = np.unique(ids[rows], return_inverse=True)
-    gaps = np.diff(keys, prepend=np.uint64(0))
-    head = struct.pack("<II", len(keys), len(used))
-    return zstandard.compress(head + _planes(used) + _planes(gaps) + _planes(at.astype(np.uint32)), 1)
+def sorted_blob(keys: np.ndarray) -> bytes:
+    """Ascending numbers, by their gaps."""
+    return zstandard.compress(_planes(np.diff(keys, prepend=keys.dtype.type(0))), 1)
+
+
+def sorted_keys(blob: bytes, kind, n: int) -> np.ndarray:
+    return np.cumsum(_unplaned(zstandard.decompress(blob), kind, n), dtype=kind)
+
+
+def packed(words: np.ndarray, ids: np.ndarray) -> bytes:
+    """Suffixes as rows of word hashes, and a doc_id each: words as places in a dictionary, which costs each word once."""
+    used, at = np.unique(words, return_inverse=True)
+    docs, doc = np.unique(ids, return_inverse=True)
+    kind = np.uint16 if len(used) <= 1 << 16 else np.uint32
+    head = struct.pack("<IIII", *words.shape, len(used), len(docs))
+    return zstandard.compress(head + _planes(np.diff(used, prepend=np.uint64(0))) + _planes(docs) + _planes(at.reshape(words.shape).astype(kind).T.ravel()) + _planes(doc.astype(np.uint32)), 3)
 
 
 def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     data = zstandard.decompress(blob)
-    n, m = struct.unpack_from("<II", data)
-    ids, gaps, at = data[8 : 8 + 8 * m], data[8 + 8 * m : 8 + 8 * m + 8 * n], data[8 + 8 * m + 8 * n :]
-    return np.cumsum(_unplaned(gaps, np.uint64, n), dtype=np.uint64), _unplaned(ids, np.int64, m)[_unplaned(at, np.uint32, n)]
+    n, width, used, docs = struct.unpack_from("<IIII", data)
+    sizes, at, out = (8 * used, 8 * docs, n * width * (2 if used <= 1 << 16 else 4), 4 * n), 16, []
+    for size, kind, many in zip(sizes, (np.uint64, np.int64, np.uint16 if used <= 1 << 16 else np.uint32, np.uint32), (used, docs, n * width, n), strict=True):
+        out.append(_unplaned(data[at : at + size], kind, many))
+        at += size
+    words = np.cumsum(out[0], dtype=np.uint64)[out[2]] if n else np.empty(0, np.uint64)
+    return words.reshape(width, n).T, out[1][out[3]]
 
 
 def planned(counts: np.ndarray, groups: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,88 +171,160 @@ def planned(counts: np.ndarray, groups: int, most: int) -> tuple[np.ndarray, np.
     return units, splits, of
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """For each piece, the places in its blob of windows that a smaller document of another piece has."""
+def subtree(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array of rows of words, and the common prefix of each suffix with the one before it."""
+    _, rank = np.unique(words, return_inverse=True)
+    rank = rank.reshape(words.shape).astype(np.uint32)
+    order = np.lexsort(rank.T[::-1])
+    rank = rank[order]
+    lcp = np.zeros(len(rank), np.int64)
+    alike = np.ones(max(0, len(rank) - 1), bool)
+    for j in range(rank.shape[1]):
+        alike &= rank[1:, j] == rank[:-1, j]
+        lcp[1:] += alike
+    return order, lcp
+
+
+def _named(words: np.ndarray) -> np.ndarray:
+    """The hash of each row of words, as grams() has it."""
+    out = mix(words[:, 0].copy())
+    for j in range(1, words.shape[1]):
+        out = mix(out + words[:, j])
+    return out
+
+
+def _branching(table: pa.Table) -> pa.Table:
+    """For each piece, the places of its anchors that another piece has too."""
+    n = table["n"].to_pylist()
+    keys = [sorted_keys(b, np.uint64, k) for b, k in zip(table["blob"].to_pylist(), n, strict=True)]
+    every, places = np.unique(np.concatenate(keys), return_counts=True)
+    every = every[places > 1]
+    found = [np.flatnonzero(np.isin(k, every, assume_unique=True)).astype(np.uint32) for k in keys]
+    keep = [i for i, f in enumerate(found) if len(f)]
+    return pa.table({"piece": table["piece"].take(pa.array(keep, pa.int64())), "g": table["g"].take(pa.array(keep, pa.int64())),
+                     "blob": pa.array([sorted_blob(found[i]) for i in keep], pa.binary()), "n": pa.array([len(found[i]) for i in keep], pa.int32())})
+
+
+def _repeats(table: pa.Table) -> pa.Table:
+    """For each piece, the names of its windows whose node has a smaller document in another piece."""
     blobs = [unpacked(b) for b in table["blob"].to_pylist()]
-    key, doc = np.concatenate([k for k, _ in blobs]), np.concatenate([d for _, d in blobs])
-    order = np.lexsort((doc, key))
-    k, d = key[order], doc[order]
-    new = np.ones(len(k), bool)
-    new[1:] = k[1:] != k[:-1]
-    least = d[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    repeat = np.zeros(len(k), bool)
-    repeat[order] = d > least
+    words, doc = np.concatenate([w for w, _ in blobs]), np.concatenate([d for _, d in blobs])
+    order, lcp = subtree(words)
+    # A suffix that shares all its words with the one before belongs to the same node.
+    node = np.cumsum(lcp < words.shape[1]) - 1
+    least = np.minimum.reduceat(doc[order], np.flatnonzero(lcp < words.shape[1]))[node]
+    repeat = np.zeros(len(words), bool)
+    repeat[order] = doc[order] > least
     out, start = [], 0
-    for piece, (keys, _) in zip(table["piece"].to_pylist(), blobs, strict=True):
-        hit = np.flatnonzero(repeat[start : start + len(keys)]).astype(np.uint32)
-        start += len(keys)
-        if len(hit):
-            out.append((piece, zstandard.compress(_planes(np.diff(hit, prepend=np.uint32(0))), 1), len(hit)))
-    return pa.table({"piece": pa.array([x[0] for x in out], pa.int64()), "g": pa.array([table["g"][0].as_py()] * len(out), pa.int32()),
-                     "blob": pa.array([x[1] for x in out], pa.binary()), "hits": pa.array([x[2] for x in out], pa.int32())})
+    for piece, (w, _) in zip(table["piece"].to_pylist(), blobs, strict=True):
+        if len(hit := np.flatnonzero(repeat[start : start + len(w)])):
+            names = np.sort(_named(w[hit]))
+            out.append((piece, table["g"][0].as_py(), sorted_blob(names), len(names)))
+        start += len(w)
+    return pa.table({k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate((("piece", pa.int64()), ("g", pa.int32()), ("blob", pa.binary()), ("n", pa.int32())))})
 
 
 def substring_dedup(docs: DataFrame, n: int = WINDOW, group: int = GROUP, piece: int = 4_000_000) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, spans (removed words, as array of start and end), kept (the text left)."""
     docs, spark = docs.select("doc_id", "text"), docs.sparkSession
     cells = 1 << (FIRST_BITS + SECOND_BITS)
+    answer = "piece long, g int, blob binary, n int"
+
+    def read(batch: pa.RecordBatch) -> Piece:
+        return Piece(batch.column("doc_id"), batch.column("text").to_pylist(), n)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
-        for b in pieces(batches, "text", piece):
-            total += np.bincount(Windows(b.column("doc_id"), b.column("text").to_pylist(), n).cells(), minlength=cells)
+        for b in pieces(batches, "text", 4_000_000):
+            p = read(b)
+            total += np.bincount(p.cells(p.at), minlength=cells)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["cell", "n"])
 
+    found = docs.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # 2^16 rows at most
     counts = np.zeros(cells, np.int64)
-    for r in docs.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # 2^16 rows at most
-        counts[r.cell] = r.n
+    counts[found["cell"].to_numpy()] = found["n"].to_numpy()
     groups = max(LEAST_GROUPS, -(-int(counts.sum()) // group))
+    piece = max(piece, min(4 * piece, groups * 4000))
     plan = spark.sparkContext.broadcast(planned(counts, groups, max(1, int(counts.sum()) // (4 * groups))))
 
+    def anchored(p: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The piece's anchors, ascending, the place of each window's there, and where each bucket's begin."""
+        every, at = np.unique(p.anchors(), return_inverse=True)
+        edges = -(-(np.arange(groups + 1, dtype=object) << ANCHOR_BITS) // groups)
+        return every, at, np.searchsorted(every, edges[:-1].astype(np.uint64))
+
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text", piece):
-            w = Windows(b.column("doc_id"), b.column("text").to_pylist(), n)
-            g, k, d, _ = w.records(*plan.value)
-            ends = np.flatnonzero(np.diff(g, append=-1)) + 1
-            blobs = [packed(k[s:e], d[s:e], w.ids) for s, e in zip([0, *ends[:-1]], ends, strict=True)] if len(g) else []
-            yield pa.RecordBatch.from_arrays([pa.array([w.checksum()] * len(blobs), pa.int64()), pa.array(g[ends - 1] if len(g) else [], pa.int32()), pa.array(blobs, pa.binary())], names=["piece", "g", "blob"])
+            p = read(b)
+            every, _, starts = anchored(p)
+            ends = np.append(starts[1:], len(every))
+            some = np.flatnonzero(ends > starts)
+            yield pa.RecordBatch.from_arrays([pa.array([p.checksum()] * len(some), pa.int64()), pa.array(some.astype(np.int32)),
+                                              pa.array([sorted_blob(every[starts[g] : ends[g]]) for g in some], pa.binary()), pa.array((ends - starts)[some].astype(np.int32))], names=["piece", "g", "blob", "n"])
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text", piece):
-            w = Windows(b.column("doc_id"), b.column("text").to_pylist(), n)
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, b.schema) as out:
                 out.write_batch(b)
-            yield pa.RecordBatch.from_arrays([pa.array([w.checksum()], pa.int64()), pa.array([zstandard.compress(sink.getvalue(), 3)], pa.binary())], names=["piece", "rows"])
-
-    schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string"
+            yield pa.RecordBatch.from_arrays([pa.array([read(b).checksum()], pa.int64()), pa.array([zstandard.compress(sink.getvalue(), 3)], pa.binary())], names=["piece", "rows"])
 
-    def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    def rows_of(texts: pa.Table) -> Iterator[pa.RecordBatch]:
         if not texts.num_rows:
             raise RuntimeError("the input's rows came in another order when read again; write the input to a table first")
-        done = []
         for rows in texts["rows"].to_pylist():
-            b = pa.ipc.open_stream(zstandard.decompress(rows)).read_all().combine_chunks()
-            text = b["text"].to_pylist()
-            w = Windows(b["doc_id"].combine_chunks(), text, n)
-            g, k, d, record = w.records(*plan.value)
-            gone = np.zeros(len(k), bool)
-            for at, blob, hits in zip(answers["g"].to_pylist(), answers["blob"].to_pylist(), answers["hits"].to_pylist(), strict=True):
-                gone[np.searchsorted(g, at) + np.cumsum(_unplaned(zstandard.decompress(blob), np.uint32, hits), dtype=np.int64)] = True
-            hit = w.at[gone[record] | (w.ids[w.doc] > w.ids[d[record]])] if len(k) else w.at
-            edge = np.zeros(len(w.h) + 1, np.int32)
+            yield pa.ipc.open_stream(zstandard.decompress(rows)).read_all().combine_chunks().to_batches()[0]
+
+    def answers_of(answers: pa.Table, kind) -> Iterator[tuple[int, np.ndarray]]:
+        for g, blob, many in zip(answers["g"].to_pylist(), answers["blob"].to_pylist(), answers["n"].to_pylist(), strict=True):
+            yield g, sorted_keys(blob, kind, many)
+
+    def suffixes(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        """The distinct suffixes that may branch, with their words and smallest document, by group."""
+        out = []
+        for b in rows_of(texts) if answers.num_rows else ():
+            p = read(b)
+            every, at, starts = anchored(p)
+            open_ = np.zeros(len(every), bool)
+            for g, places in answers_of(answers, np.uint32):
+                open_[starts[g] + places.astype(np.int64)] = True
+            mine = np.flatnonzero(open_[at])
+            name, doc = p.names()[mine], p.ids[p.doc[mine]]
+            order = np.lexsort((doc, name))
+            order = order[_runs(name[order])]
+            at, doc = p.at[mine[order]], doc[order]
+            group_ = p.groups(at, plan.value)
+            order = np.argsort(group_, kind="stable")
+            first = _runs(group_[order])
+            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=False):
+                part = order[lo:hi]
+                out.append((texts["piece"][0].as_py(), int(group_[part[0]]), packed(p.h[at[part][:, None] + np.arange(n)], doc[part])))
+        return pa.table({k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate((("piece", pa.int64()), ("g", pa.int32()), ("blob", pa.binary())))})
+
+    schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string"
+
+    def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, counts, removed, spans, kept = [], [], [], [], []
+        gone = np.sort(np.concatenate([np.empty(0, np.uint64), *[names for _, names in answers_of(answers, np.uint64)]]))
+        for b in rows_of(texts):
+            p, text = read(b), b.column("text").to_pylist()
+            name, doc = p.names(), p.ids[p.doc]
+            order = np.lexsort((doc, name))
+            first = _runs(name[order])
+            least = np.empty(len(order), np.int64)
+            least[order] = np.repeat(doc[order][first], np.diff(np.append(first, len(order))))
+            there = np.searchsorted(gone, name)
+            hit = p.at[(doc > least) | (gone[np.minimum(there, max(0, len(gone) - 1))] == name if len(gone) else np.zeros(len(name), bool))]
+            edge = np.zeros(len(p.h) + 1, np.int32)
             np.add.at(edge, hit, 1)
             np.add.at(edge, hit + n, -1)
             covered = np.cumsum(edge[:-1]) > 0
-            done.append((b["doc_id"], w, covered, text))
-        ids, counts, removed, spans, kept = [], [], [], [], []
-        for doc_id, w, covered, text in done:
-            for i, (start, many, t) in enumerate(zip(w.starts, w.counts, text, strict=True)):
+            for i, (start, many, t) in enumerate(zip(p.starts, p.counts, text, strict=True)):
                 mine = covered[start : start + many]
                 step = np.flatnonzero(np.diff(mine.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
                 words = (t or "").encode().split()
-                ids.append(doc_id[i].as_py())
+                ids.append(b.column("doc_id")[i].as_py())
                 counts.append(int(many))
                 removed.append(int(mine.sum()))
                 spans.append([{"start": int(a), "end": int(z)} for a, z in step])
@@ -217,8 +334,11 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, group: int = GROUP, piece:
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
                          "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), "kept": pa.array(kept, pa.string())})
 
-    answers = docs.mapInArrow(sent, "piece long, g int, blob binary").groupBy("g").applyInArrow(_answer, "piece long, g int, blob binary, hits int")
-    return docs.mapInArrow(written, "piece long, rows binary").groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(cut, schema)
+    texts = docs.mapInArrow(written, "piece long, rows binary").groupBy("piece")
+    open_ = stage(docs.mapInArrow(sent, answer).groupBy("g").applyInArrow(_branching, answer), "branching")
+    trees = texts.cogroup(open_.groupBy("piece")).applyInArrow(suffixes, "piece long, g int, blob binary")
+    gone = stage(trees.groupBy("g").applyInArrow(_repeats, answer), "repeats")
+    return texts.cogroup(gone.groupBy("piece")).applyInArrow(cut, schema)
 
 
 def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

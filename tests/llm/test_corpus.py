@@ -104,10 +104,25 @@ def test_substring_query_and_spans(docs, rows, spark, table):
 
 def test_blob_round_trip():
     rng = np.random.default_rng(1)
-    keys, ids = np.sort(rng.integers(0, 1 << 63, 500, dtype=np.uint64)), rng.integers(-5, 1 << 60, 40)
-    at = rng.integers(0, 40, 500)
-    k, d = substrings.unpacked(substrings.packed(keys, at, ids))
-    assert (k == keys).all() and (d == ids[at]).all()
+    for used in (300, 80_000):
+        vocabulary = rng.integers(0, 1 << 63, used, dtype=np.uint64)
+        words, ids = vocabulary[rng.integers(0, used, (9000, 13))], rng.integers(-5, 1 << 60, 9000)
+        w, d = substrings.unpacked(substrings.packed(words, ids))
+        assert (w == words).all() and (d == ids).all()
+    keys = np.sort(rng.integers(0, 1 << 63, 500, dtype=np.uint64))
+    assert (substrings.sorted_keys(substrings.sorted_blob(keys), np.uint64, 500) == keys).all()
+
+
+def test_suffix_array_and_common_prefixes():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 3, (400, 5)).astype(np.uint64)
+    order, lcp = substrings.subtree(words)
+    rows = [tuple(words[i]) for i in order]
+    assert rows == sorted(rows)
+    for i in range(1, 400):
+        assert lcp[i] == next((j for j in range(5) if rows[i][j] != rows[i - 1][j]), 5)
+    text = rng.integers(0, 1 << 60, 50, dtype=np.uint64)
+    assert (substrings._named(np.stack([text[i : i + 13] for i in range(38)])) == substrings.grams(text, 13)).all()
 
 
 def test_plan_bounds_units():
