@@ -1,12 +1,18 @@
 """Token totals by source, language and tokenizer version, maintained by signed deltas.
 
-A ledger holds signed rows (doc_id, source, lang, tokenizer, docs, tokens). A batch of changes names documents to
-insert, revise or delete: whatever the committed ledger holds for them under the same tokenizer version is taken back
-by negative rows, and inserts and revisions add new rows; so inserting a known document revises it. The batch's rows
-are summed by key into a small delta, and totals are the sum of the deltas of committed batches.
+A ledger holds signed rows (doc_id, source, lang, tokenizer, docs, tokens) in buckets by a hash of doc_id. A batch of
+changes names documents to insert, revise or delete: whatever the ledger holds for them under the same tokenizer version
+is taken back by negative rows, and inserts and revisions add new rows; so inserting a known document revises it. Only
+the buckets that a batch touches are read. The batch's rows are summed by key into a small delta, and totals are the sum
+of the deltas of committed batches.
 
-A batch is written under its own name and counts once its commit marker exists, which is written last. Committing a
-name again changes nothing; a batch that failed midway is overwritten when retried. One writer at a time is assumed.
+Every few batches the ledger is compacted: what it leaves of each document becomes a new base, the deltas one table of
+totals, and older batches are not read again. So a commit reads the state of documents and a bounded number of batches,
+not the history.
+
+A batch is written under its own name and counts once its commit marker exists, which is written last; so does a base.
+Committing a name again changes nothing; a batch that failed midway is overwritten when retried. One writer at a time is
+assumed.
 
 Defined results: a null text has 0 tokens and counts as a document; null sources and languages are keys of their own;
 rows with a null doc_id count but cannot be revised or deleted; rows of one batch that share a doc_id all count; an
@@ -33,6 +39,7 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 KEYS = ("source", "lang", "tokenizer")
 LEDGER = "doc_id long, source string, lang string, tokenizer string, docs long, tokens long"
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
+MARK = "name string, seq long, covers long"
 CHANGES = "op string, doc_id long, source string, lang string, tokenizer string, tokens long"
 
 
@@ -70,44 +77,77 @@ def counted(docs: DataFrame, versions: dict[str, Callable | None], op: str = "in
 
 
 class Rollup:
-    """Totals kept in the folder ``path``."""
+    """Totals kept in the folder ``path``; compacted after every ``every`` batches."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, every: int = 8):
+        self.spark, self.path, self.buckets, self.every = spark, path, buckets, every
+        self._mark("start", 0, -1)
+
+    def _mark(self, name: str, seq: int, covers: int) -> None:
+        self.spark.createDataFrame([(name, seq, covers)], MARK).coalesce(1).write.mode("overwrite" if seq else "ignore").parquet(f"{self.path}/commits/{name}")
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        spark.createDataFrame([("", 0)], "batch string, rows long").coalesce(1).write.mode("ignore").parquet(f"{path}/commits/start")
+    def _marks(self) -> list:
+        return sorted(self.spark.read.schema(MARK).parquet(f"{self.path}/commits/*").collect(), key=lambda r: r.seq)  # a row for each batch
 
     def committed(self) -> list[str]:
-        return sorted(r.batch for r in self.spark.read.schema("batch string, rows long").parquet(f"{self.path}/commits/*").collect() if r.batch)
+        return [r.name for r in self._marks() if r.seq and r.covers < 0]
+
+    def _live(self) -> list[str]:
+        """The last base, and the batches after it."""
+        marks = self._marks()
+        base = max((r for r in marks if r.covers >= 0), key=lambda r: r.covers, default=None)
+        return [*([base.name] if base else []), *[r.name for r in marks if r.seq and r.covers < 0 and (base is None or r.seq > base.covers)]]
 
     def _read(self, kind: str, schema: str) -> DataFrame:
-        paths = [f"{self.path}/{kind}/{b}" for b in self.committed()]
+        paths = [f"{self.path}/{kind}/{b}" for b in self._live()]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def net(self) -> DataFrame:
-        """What committed batches leave of every document: its signed rows summed by key."""
-        return self._read("ledger", LEDGER).groupBy("doc_id", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0 or tokens <> 0")
+    def net(self, buckets: list[int] | None = None) -> DataFrame:
+        """What committed batches leave of every document with a doc_id: its signed rows summed by key."""
+        rows = self._read("ledger", f"{LEDGER}, bucket int")
+        rows = rows if buckets is None else rows.filter(F.col("bucket").isin(buckets))
+        return rows.groupBy("bucket", "doc_id", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0 or tokens <> 0")
+
+    def _write(self, kind: str, name: str, rows: DataFrame) -> None:
+        """Files hold whole buckets in order, so a filter on buckets skips row groups by their bounds."""
+        rows.repartition("bucket").sortWithinPartitions("bucket", "doc_id").write.mode("overwrite").parquet(f"{self.path}/{kind}/{name}")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Commits the changes (see CHANGES); False if the batch was committed before. A delete without a tokenizer takes back all versions."""
-        if not batch or set(batch) - set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-"):
-            raise ValueError("a batch's name has letters, digits, - and _")
-        if batch in self.committed():
+        if not batch or set(batch) - set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-") or batch.startswith("base-") or batch == "start":
+            raise ValueError("a batch's name has letters, digits, - and _, and is not start or base-")
+        marks = self._marks()
+        if any(r.name == batch for r in marks):
             return False
+        bucket = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)), F.lit(0)).cast("int").alias("bucket")
         new = changes.filter("op <> 'delete'").select("doc_id", *KEYS, F.lit(1).cast("long").alias("docs"), F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
         new.write.mode("overwrite").parquet(added := f"{self.path}/added/{batch}")
         new = self.spark.read.schema(LEDGER).parquet(added)
         gone = changes.filter("op = 'delete'").select("doc_id", "tokenizer")
         touched = new.select("doc_id", "tokenizer").unionByName(gone).filter("doc_id is not null").distinct()
+        hit = [r.bucket for r in touched.select(bucket).distinct().collect()]  # as many as buckets
         touched = touched.select(F.col("doc_id").alias("_id"), F.col("tokenizer").alias("_version"))
-        old = self.net().join(touched, (F.col("doc_id") == F.col("_id")) & (F.col("_version").isNull() | (F.col("tokenizer") == F.col("_version"))), "left_semi")
-        signed = new.unionByName(old.select("doc_id", *KEYS, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens")))
-        signed.write.mode("overwrite").parquet(f"{self.path}/ledger/{batch}")
-        rows = self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/{batch}")
-        delta = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        delta.write.mode("overwrite").parquet(f"{self.path}/deltas/{batch}")
-        self.spark.createDataFrame([(batch, rows.count())], "batch string, rows long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/{batch}")
+        signed = new.select("*", bucket)
+        if hit and self._live():
+            old = self.net(hit).join(touched, (F.col("doc_id") == F.col("_id")) & (F.col("_version").isNull() | (F.col("tokenizer") == F.col("_version"))), "left_semi")
+            signed = signed.unionByName(old.select("doc_id", *KEYS, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"), "bucket"))
+        self._write("ledger", batch, signed)
+        rows = self.spark.read.schema(f"{LEDGER}, bucket int").parquet(f"{self.path}/ledger/{batch}")
+        rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).write.mode("overwrite").parquet(f"{self.path}/deltas/{batch}")
+        self._mark(batch, marks[-1].seq + 1, -1)
+        if len(self._live()) > self.every:
+            self.compact()
         return True
 
+    def compact(self) -> None:
+        """Makes what is committed a new base; readers take it from the moment its marker exists."""
+        marks = self._marks()
+        seq = marks[-1].seq + 1
+        name = f"base-{seq}"
+        self._write("ledger", name, self.net().filter("doc_id is not null").select("doc_id", *KEYS, "docs", "tokens", "bucket"))
+        self.totals().write.mode("overwrite").parquet(f"{self.path}/deltas/{name}")
+        self._mark(name, seq, marks[-1].seq)
+
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, docs, tokens) of all committed batches."""
         return self._read("deltas", DELTA).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0 or tokens <> 0")
@@ -122,12 +162,13 @@ def copies(docs: DataFrame) -> DataFrame:
 
 
 def op4_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op4: all documents inserted under two tokenizer versions, delivered twice, then the copies of texts deleted."""
+    """op4: all documents inserted under two tokenizer versions and delivered twice; the words of German texts counted again without punctuation; then the copies of texts deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     store = Rollup(spark, f"{shared(spark)}/rollup-{uuid.uuid4().hex}")
     versions = {"byte_bpe_50k": bpe(f"{TOKENIZERS}/byte_bpe_50k.tiktoken"), "words_1": None}
     store.commit("load", counted(docs, versions))
     store.commit("load", counted(docs, versions))
+    store.commit("german", counted(docs.filter("lang = 'de'").withColumn("text", F.translate("text", ".,;:!?", "")), {"words_1": None}, "revise"))
     none = F.lit(None).cast("string")
     store.commit("copies", copies(docs).select(F.lit("delete").alias("op"), "doc_id", none.alias("source"), none.alias("lang"), none.alias("tokenizer"), F.lit(0).cast("long").alias("tokens")))
     return store.totals()
