@@ -1,17 +1,19 @@
 """Substring dedup by suffix trees, partitioned by prefixes of variable length.
 
-Every word position with ``n`` words to come starts a suffix, of which its first n words matter: repeats of n words or
-more are the internal nodes at depth n, and longer ones are runs of such nodes at neighbouring positions.
+Repeats of ``n`` words or more are what is sought, so of a suffix its first n words matter: they are a window. Suffixes
+are indexed sparsely: of the grams of n - 4 words in a window, the first one of least hash is the window's anchor, so
+equal windows have equal anchors, about one position in three is an anchor, and a suffix that begins at an anchor, with
+the four words before it, stands for the windows around it.
 
 1. A count of suffixes by the cells of their first and of their first two words (2^16 counters, however large the table)
    plans the groups: cells become units of about equal count by prefixes of one word, of two where one is too frequent,
    and of six where two are. Units are packed into groups that fit in memory.
-2. Most suffixes are leaves that no node of depth n is above. They are found before any words travel: of the n - k + 1
-   grams of k words in a window the one of least hash is the window's anchor, so equal windows have equal anchors, and
-   only one position in three is an anchor. Anchors of two or more pieces of text mark the suffixes that may branch.
-3. These suffixes go to the group of their prefix, with their words. There they are sorted by words into a suffix array,
-   the common prefixes of neighbours give the internal nodes of depth n, and each node's smallest doc_id says which of
-   its suffixes are repeats. Suffixes meet by their words; hashes of windows only name them inside a piece.
+2. Most suffixes are leaves that no deep node is above. They are found before any words travel: only windows whose
+   anchor occurs in two or more pieces of text may branch.
+3. Suffixes that may branch go to the group of their prefix, each word as 16 bits of its hash. There the windows are
+   sorted by words into a suffix array, the common prefixes of neighbours give the internal nodes, and a node of depth n
+   is accepted only if 64-bit hashes of its windows agree too, so that two windows which differ in one word are held
+   apart by 80 bits. Each node's smallest doc_id says which of its windows are repeats.
 4. Words covered by a window whose node has a smaller document are removed; neighbouring windows join into spans.
 
 Texts are read in pieces of ``piece`` bytes. A piece sends each distinct window once, with the smallest doc_id that has
@@ -78,15 +80,17 @@ class Piece:
         longer = grams(self.h, min(LONG_PREFIX, self.n))[at] if len(at) else np.empty(0, np.uint64)
         return of[units[cell] + (longer % splits[cell].astype(np.uint64)).astype(np.int64)]
 
-    def anchors(self) -> np.ndarray:
-        """Each window's anchor: the least hash of its grams of n - SLACK words."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each window's anchor, and how many words it stands after the window's start."""
         if not len(self.at):
-            return np.empty(0, np.uint64)
-        g = grams(self.h, max(1, self.n - SLACK)) >> np.uint64(64 - ANCHOR_BITS)
-        least = g[self.at]
-        for j in range(1, self.n - max(1, self.n - SLACK) + 1):
-            np.minimum(least, g[self.at + j], out=least)
-        return least
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        width = max(1, self.n - SLACK)
+        g = grams(self.h, width) >> np.uint64(64 - ANCHOR_BITS)
+        least, off = g[self.at], np.zeros(len(self.at), np.int64)
+        for j in range(1, self.n - width + 1):
+            less = (other := g[self.at + j]) < least
+            least[less], off[less] = other[less], j
+        return least, off
 
     def names(self) -> np.ndarray:
         """Hashes that name windows inside this piece; equal names of different words raise."""
@@ -126,24 +130,36 @@ def sorted_keys(blob: bytes, kind, n: int) -> np.ndarray:
     return np.cumsum(_unplaned(zstandard.decompress(blob), kind, n), dtype=kind)
 
 
-def packed(words: np.ndarray, ids: np.ndarray) -> bytes:
-    """Suffixes as rows of word hashes, and a doc_id each: words as places in a dictionary, which costs each word once."""
-    used, at = np.unique(words, return_inverse=True)
+def codes_around(h: np.ndarray, first: np.ndarray, last: np.ndarray, at: np.ndarray, before: int, width: int) -> np.ndarray:
+    """16 bits of each word from ``before`` words before a place on, ``width`` of them; 0 outside of first to last."""
+    place = at[:, None] + np.arange(-before, width - before)
+    inside = (place >= first[:, None]) & (place < last[:, None])
+    return np.where(inside, (mix(h) >> np.uint64(48)).astype(np.uint16)[np.clip(place, 0, len(h) - 1)], np.uint16(0))
+
+
+def packed(codes: np.ndarray, masks: np.ndarray, ids: np.ndarray, names: np.ndarray) -> bytes:
+    """Suffixes: codes of words, a bit for each window that they stand for, a doc_id, and the names of these windows."""
     docs, doc = np.unique(ids, return_inverse=True)
-    kind = np.uint16 if len(used) <= 1 << 16 else np.uint32
-    head = struct.pack("<IIII", *words.shape, len(used), len(docs))
-    return zstandard.compress(head + _planes(np.diff(used, prepend=np.uint64(0))) + _planes(docs) + _planes(at.reshape(words.shape).astype(kind).T.ravel()) + _planes(doc.astype(np.uint32)), 3)
+    head = struct.pack("<IIII", *codes.shape, len(docs), len(names))
+    return zstandard.compress(head + _planes(codes.T.ravel()) + masks.astype(np.uint8).tobytes() + _planes(docs) + _planes(doc.astype(np.uint32)) + names.tobytes(), 1)
 
 
-def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     data = zstandard.decompress(blob)
-    n, width, used, docs = struct.unpack_from("<IIII", data)
-    sizes, at, out = (8 * used, 8 * docs, n * width * (2 if used <= 1 << 16 else 4), 4 * n), 16, []
-    for size, kind, many in zip(sizes, (np.uint64, np.int64, np.uint16 if used <= 1 << 16 else np.uint32, np.uint32), (used, docs, n * width, n), strict=True):
-        out.append(_unplaned(data[at : at + size], kind, many))
+    n, width, docs, names = struct.unpack_from("<IIII", data)
+    out, at = [], 16
+    for kind, many in ((np.uint16, n * width), (np.uint8, n), (np.int64, docs), (np.uint32, n), (None, names)):
+        size = many * np.dtype(kind or np.uint64).itemsize
+        out.append(_unplaned(data[at : at + size], kind, many) if kind else np.frombuffer(data, np.uint64, many, at))
         at += size
-    words = np.cumsum(out[0], dtype=np.uint64)[out[2]] if n else np.empty(0, np.uint64)
-    return words.reshape(width, n).T, out[1][out[3]]
+    return out[0].reshape(width, n).T, out[1], out[2][out[3]] if n else np.empty(0, np.int64), out[4]
+
+
+def windows_of(codes: np.ndarray, masks: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of each window that the suffixes stand for, in order, and its suffix."""
+    slack = codes.shape[1] - n
+    suffix, off = np.nonzero((masks[:, None] >> np.arange(slack + 1)) & 1)
+    return codes[suffix[:, None], slack - off[:, None] + np.arange(n)], suffix
 
 
 def planned(counts: np.ndarray, groups: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,28 +187,19 @@ def planned(counts: np.ndarray, groups: int, most: int) -> tuple[np.ndarray, np.
     return units, splits, of
 
 
-def subtree(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The suffix array of rows of words, and the common prefix of each suffix with the one before it."""
-    _, rank = np.unique(words, return_inverse=True)
-    rank = rank.reshape(words.shape).astype(np.uint32)
-    order = np.lexsort(rank.T[::-1])
-    rank = rank[order]
-    lcp = np.zeros(len(rank), np.int64)
-    alike = np.ones(max(0, len(rank) - 1), bool)
-    for j in range(rank.shape[1]):
-        alike &= rank[1:, j] == rank[:-1, j]
+def subtree(words: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array of windows as rows of codes, and the common prefix of each with the one before it; rows that agree in all codes are sorted and told apart by name, and have one word less in common."""
+    order = np.lexsort((names, *words.T[::-1]))
+    words, names = words[order], names[order]
+    lcp, alike = np.zeros(len(words), np.int64), np.ones(max(0, len(words) - 1), bool)
+    for j in range(words.shape[1]):
+        if j == words.shape[1] - 1:
+            alike &= names[1:] == names[:-1]
+        alike &= words[1:, j] == words[:-1, j]
         lcp[1:] += alike
     return order, lcp
 
 
-def _named(words: np.ndarray) -> np.ndarray:
-    """The hash of each row of words, as grams() has it."""
-    out = mix(words[:, 0].copy())
-    for j in range(1, words.shape[1]):
-        out = mix(out + words[:, j])
-    return out
-
-
 def _branching(table: pa.Table) -> pa.Table:
     """For each piece, the places of its anchors that another piece has too."""
     n = table["n"].to_pylist()
@@ -205,30 +212,35 @@ def _branching(table: pa.Table) -> pa.Table:
                      "blob": pa.array([sorted_blob(found[i]) for i in keep], pa.binary()), "n": pa.array([len(found[i]) for i in keep], pa.int32())})
 
 
-def _repeats(table: pa.Table) -> pa.Table:
+def _repeats(n: int):
     """For each piece, the names of its windows whose node has a smaller document in another piece."""
-    blobs = [unpacked(b) for b in table["blob"].to_pylist()]
-    words, doc = np.concatenate([w for w, _ in blobs]), np.concatenate([d for _, d in blobs])
-    order, lcp = subtree(words)
-    # A suffix that shares all its words with the one before belongs to the same node.
-    node = np.cumsum(lcp < words.shape[1]) - 1
-    least = np.minimum.reduceat(doc[order], np.flatnonzero(lcp < words.shape[1]))[node]
-    repeat = np.zeros(len(words), bool)
-    repeat[order] = doc[order] > least
-    out, start = [], 0
-    for piece, (w, _) in zip(table["piece"].to_pylist(), blobs, strict=True):
-        if len(hit := np.flatnonzero(repeat[start : start + len(w)])):
-            names = np.sort(_named(w[hit]))
-            out.append((piece, table["g"][0].as_py(), sorted_blob(names), len(names)))
-        start += len(w)
-    return pa.table({k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate((("piece", pa.int64()), ("g", pa.int32()), ("blob", pa.binary()), ("n", pa.int32())))})
+
+    def found(table: pa.Table) -> pa.Table:
+        blobs = [unpacked(b) for b in table["blob"].to_pylist()]
+        made = [windows_of(codes, masks, n) for codes, masks, _, _ in blobs]
+        words, names = np.concatenate([w for w, _ in made]), np.concatenate([b[3] for b in blobs])
+        doc = np.concatenate([b[2][suffix] for b, (_, suffix) in zip(blobs, made, strict=True)])
+        order, lcp = subtree(words, names)
+        # A window that shares all its words with the one before belongs to the same node.
+        first = np.flatnonzero(lcp < n)
+        least = np.repeat(np.minimum.reduceat(doc[order], first), np.diff(np.append(first, len(order))))
+        repeat = np.zeros(len(words), bool)
+        repeat[order] = doc[order] > least
+        out, start = [], 0
+        for piece, (w, _) in zip(table["piece"].to_pylist(), made, strict=True):
+            if len(hit := np.sort(names[start : start + len(w)][repeat[start : start + len(w)]])):
+                out.append((piece, table["g"][0].as_py(), sorted_blob(hit), len(hit)))
+            start += len(w)
+        return pa.table({k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate((("piece", pa.int64()), ("g", pa.int32()), ("blob", pa.binary()), ("n", pa.int32())))})
+
+    return found
 
 
 def substring_dedup(docs: DataFrame, n: int = WINDOW, group: int = GROUP, piece: int = 4_000_000) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, spans (removed words, as array of start and end), kept (the text left)."""
     docs, spark = docs.select("doc_id", "text"), docs.sparkSession
     cells = 1 << (FIRST_BITS + SECOND_BITS)
-    answer = "piece long, g int, blob binary, n int"
+    answer, slack = "piece long, g int, blob binary, n int", n - max(1, n - SLACK)
 
     def read(batch: pa.RecordBatch) -> Piece:
         return Piece(batch.column("doc_id"), batch.column("text").to_pylist(), n)
@@ -248,16 +260,17 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, group: int = GROUP, piece:
     piece = max(piece, min(4 * piece, groups * 4000))
     plan = spark.sparkContext.broadcast(planned(counts, groups, max(1, int(counts.sum()) // (4 * groups))))
 
-    def anchored(p: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The piece's anchors, ascending, the place of each window's there, and where each bucket's begin."""
-        every, at = np.unique(p.anchors(), return_inverse=True)
+    def anchored(p: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The piece's anchors, ascending, the place of each window's there and in the text, and where each bucket's begin."""
+        least, off = p.anchors()
+        every, at = np.unique(least, return_inverse=True)
         edges = -(-(np.arange(groups + 1, dtype=object) << ANCHOR_BITS) // groups)
-        return every, at, np.searchsorted(every, edges[:-1].astype(np.uint64))
+        return every, at, p.at + off, np.searchsorted(every, edges[:-1].astype(np.uint64))
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text", piece):
             p = read(b)
-            every, _, starts = anchored(p)
+            every, _, _, starts = anchored(p)
             ends = np.append(starts[1:], len(every))
             some = np.flatnonzero(ends > starts)
             yield pa.RecordBatch.from_arrays([pa.array([p.checksum()] * len(some), pa.int64()), pa.array(some.astype(np.int32)),
@@ -285,21 +298,32 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, group: int = GROUP, piece:
         out = []
         for b in rows_of(texts) if answers.num_rows else ():
             p = read(b)
-            every, at, starts = anchored(p)
+            every, at, place, starts = anchored(p)
             open_ = np.zeros(len(every), bool)
             for g, places in answers_of(answers, np.uint32):
                 open_[starts[g] + places.astype(np.int64)] = True
             mine = np.flatnonzero(open_[at])
-            name, doc = p.names()[mine], p.ids[p.doc[mine]]
+            names = p.names()
+            name, doc = names[mine], p.ids[p.doc[mine]]
             order = np.lexsort((doc, name))
-            order = order[_runs(name[order])]
-            at, doc = p.at[mine[order]], doc[order]
-            group_ = p.groups(at, plan.value)
+            mine = np.sort(mine[order[_runs(name[order])]])  # a window of each name, in the smallest document
+            # Windows of one anchor are neighbours in the text: one suffix stands for them.
+            order = np.lexsort((-p.at[mine], place[mine]))  # by how far the anchor is from the start
+            mine, off = mine[order], (place - p.at)[mine[order]]
+            first = _runs(place[mine])
+            if not len(first):
+                continue
+            ends = np.append(first[1:], len(mine))
+            suffix, masks = place[mine[first]], np.bitwise_or.reduceat(1 << off, first)
+            codes = codes_around(p.h, p.at[mine[ends - 1]], p.at[mine[first]] + n, suffix, slack, n + slack)
+            group_, doc, name = p.groups(suffix, plan.value), p.ids[p.doc[mine[first]]], names[mine]
             order = np.argsort(group_, kind="stable")
-            first = _runs(group_[order])
-            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=False):
+            run = _runs(group_[order])
+            for lo, hi in zip(run.tolist(), [*run[1:].tolist(), len(order)], strict=True):
                 part = order[lo:hi]
-                out.append((texts["piece"][0].as_py(), int(group_[part[0]]), packed(p.h[at[part][:, None] + np.arange(n)], doc[part])))
+                many = (ends - first)[part]
+                own = np.repeat(first[part] - np.cumsum(many) + many, many) + np.arange(many.sum())
+                out.append((texts["piece"][0].as_py(), int(group_[part[0]]), packed(codes[part], masks[part], doc[part], name[own])))
         return pa.table({k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate((("piece", pa.int64()), ("g", pa.int32()), ("blob", pa.binary())))})
 
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string"
@@ -337,7 +361,7 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, group: int = GROUP, piece:
     texts = docs.mapInArrow(written, "piece long, rows binary").groupBy("piece")
     open_ = stage(docs.mapInArrow(sent, answer).groupBy("g").applyInArrow(_branching, answer), "branching")
     trees = texts.cogroup(open_.groupBy("piece")).applyInArrow(suffixes, "piece long, g int, blob binary")
-    gone = stage(trees.groupBy("g").applyInArrow(_repeats, answer), "repeats")
+    gone = stage(trees.groupBy("g").applyInArrow(_repeats(n), answer), "repeats")
     return texts.cogroup(gone.groupBy("piece")).applyInArrow(cut, schema)
 
 
