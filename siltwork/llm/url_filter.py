@@ -8,7 +8,8 @@ Captures are first reduced to distinct (host, day), so a host of any size is loo
 back on (host, day), a join that is split when skewed. Of several entries of a key and day the last action counts,
 ``remove`` over ``add``; an ``add`` within an interval and a ``remove`` outside one change nothing.
 
-Defined results: a URL that is null or has no host, and a capture without a day, are never blocked; entries with a null
+Defined results: a URL that is null, has no scheme or no host, and a capture without a day, are never blocked; a host that
+is a number address has no parents; hosts compare without case, port, user and closing dots; entries with a null
 key, action or day are ignored; empty tables block nothing; repeated captures are judged each; extra columns of the
 captures are returned only through their page_id.
 """
@@ -22,6 +23,8 @@ from siltwork.llm._store import stage
 
 #: The host of a URL, without user and port.
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+#: Hosts that are number addresses.
+NUMBERS = r"^[0-9.]+$|^\["
 #: Lists of up to this many intervals are broadcast; larger ones join by shuffle.
 MOST_BROADCAST = 100_000
 
@@ -39,10 +42,10 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def parents(host: Column) -> Column:
-    """The host and its parent domains of two labels or more, the longest first."""
+    """The host and its parent domains of two labels or more, the longest first; of a number address itself."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    return F.when(host.rlike(NUMBERS), F.array(host)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), ".")))
 
 
 def filtered(captures: DataFrame, entries: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ k AS (SELECT DISTINCT key FROM (SELECT host AS key FROM p WHERE host IS NOT NULL
 x AS (SELECT key, {_ADD} AS a, {_REMOVE} AS r, {_REMOVED} AS removed, {_REMOVED} AND {_AGAIN} AS again FROM k WHERE {_LISTED}),
 v AS (SELECT key, DATE '2024-01-01' + a::INTEGER AS since, CASE WHEN removed THEN DATE '2024-01-01' + r::INTEGER END AS until FROM x
   UNION ALL SELECT key, DATE '2024-01-01' + (r + 30)::INTEGER, NULL FROM x WHERE again),
-m AS (SELECT p.page_id, v.key, v.since FROM p JOIN v ON (p.host = v.key OR ends_with(p.host, '.' || v.key)) AND v.since <= p.day AND (v.until IS NULL OR p.day < v.until)),
+m AS (SELECT p.page_id, v.key, v.since FROM p JOIN v ON (p.host = v.key OR (NOT regexp_matches(p.host, '{NUMBERS}') AND ends_with(p.host, '.' || v.key))) AND v.since <= p.day AND (v.until IS NULL OR p.day < v.until)),
 b AS (SELECT page_id, count(*) AS n, max(struct_pack(n := length(key), key := key, since := since)) AS best FROM m GROUP BY page_id)
 SELECT p.page_id, p.host, p.day::DATE AS day, b.n IS NOT NULL AS blocked, coalesce(b.n, 0)::BIGINT AS n_active, b.best.key AS entry, b.best.since::DATE AS since
 FROM p LEFT JOIN b ON b.page_id = p.page_id

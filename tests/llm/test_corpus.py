@@ -1,6 +1,7 @@
 """Near-duplicates, substrings, shards, toxicity and decontamination against plain Python."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -69,12 +70,73 @@ def test_near_duplicates_in_one_large_region(spark):
     assert [r.kept for r in got if r.doc_id is None] == [True]
 
 
+def test_near_duplicates_of_an_edited_text(spark):
+    """Copies of one text with so many edits that only some are linked, whole and with regions cut to bits."""
+    rng = random.Random(11)
+    first, rows = [f"w{rng.randrange(5000)}" for _ in range(200)], []
+    for i in range(350):
+        now = list(first)
+        for _ in range(rng.randint(2, 8)):
+            now[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(now)))
+    _, root = near(rows)
+    assert 20 < len(set(root.values())) < 330
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for run_rows in (4096, 40):
+        assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, run_rows=run_rows).collect()} == root
+
+
+def test_near_duplicates_inside_a_template(spark):
+    """A family of pages whose similarity to each other is below 0.75, with pairs above it."""
+    rng = random.Random(12)
+    page, rows = [f"t{i}" for i in range(170)], []
+    for i in range(300):
+        own = [f"o{i}x{j}" for j in range(35)] if i % 10 else [f"o{i}x{j}" for j in range(35)]
+        rows.append((i, " ".join(page[:60] + own + page[60:])))
+        if i % 10 == 0:
+            own[-4:] = [f"p{i}x{j}" for j in range(4)]
+            rows.append((1000 + i, " ".join(page[:60] + own + page[60:])))
+    _, root = near(rows)
+    assert len(set(root.values())) == 300
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), run_rows=50).collect()
+    assert {r.doc_id: r.component_id for r in got} == root
+
+
+def test_a_doc_id_is_a_node_and_a_row_is_one_in_the_stage(spark):
+    a, b = "a b c d e f g h", "q r s t u v w x"
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (7, b), (None, b), (9, "z"), (9, "z")], "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (5, 3), (7, 3), (None, None), (9, 9)}
+    out = near_dedup.near_dedup_stage(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [(3, a), (5, b), (9, "z")]
+
+
+def test_cut_regions_keep_neighbours_together():
+    rng = np.random.default_rng(3)
+    keys = np.sort(rng.integers(0, 4, (500, 6)).view([("", np.int64)] * 6), axis=0).view(np.int64).reshape(500, 6)
+    lcp = near_dedup.common_prefixes(*(keys[:, i] << 32 | keys[:, i + 1] for i in (0, 2, 4)))
+    assert lcp[0] == 0 and all(lcp[i] == next((j for j in range(6) if keys[i][j] != keys[i - 1][j]), 6) for i in range(1, 500))
+    runs = near_dedup.cut(lcp, np.ones(500, np.int64), 60, 10**9)
+    assert sorted(x for a, b in runs for x in range(a, b)) == list(range(500)) and max(b - a for a, b in runs) <= 60
+
+
+@pytest.mark.parametrize("k", [3, 40])
+def test_similar_sets(k):
+    rng = np.random.default_rng(k)
+    base = rng.integers(0, 1 << 62, 90, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 70, replace=False), rng.integers(0, 1 << 62, int(rng.integers(0, 30)), dtype=np.uint64)])) for _ in range(k)]
+    want = {(i, j) for i in range(k) for j in range(i + 1, k) if 100 * (x := len(np.intersect1d(sets[i], sets[j]))) >= 75 * (len(sets[i]) + len(sets[j]) - x)}
+    for block in (1 << 24, 200):
+        assert {(int(a), int(b)) for i, j in near_dedup.similar(sets, block) for a, b in zip(i, j)} == want
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(150)] + [(7, 7)]
     want = roots({x for a, b in links if a != b for x in (a, b)}, [x for x in links if x[0] != x[1]])
-    got = {r.node: r.component for r in _graph.components(spark.createDataFrame(links, "u long, v long")).collect()}
-    assert got == want
+    for few in (10**6, 0):
+        got = {r.node: r.component for r in _graph.components(spark.createDataFrame(links, "u long, v long"), few=few).collect()}
+        assert got == want
 
 
 def kept_words(rows, n=13):
@@ -104,25 +166,39 @@ def test_substring_query_and_spans(docs, rows, spark, table):
 
 def test_blob_round_trip():
     rng = np.random.default_rng(1)
-    for used in (300, 80_000):
-        vocabulary = rng.integers(0, 1 << 63, used, dtype=np.uint64)
-        words, ids = vocabulary[rng.integers(0, used, (9000, 13))], rng.integers(-5, 1 << 60, 9000)
-        w, d = substrings.unpacked(substrings.packed(words, ids))
-        assert (w == words).all() and (d == ids).all()
+    codes, ids = rng.integers(0, 1 << 16, (900, 17)).astype(np.uint16), rng.integers(-5, 1 << 60, 900)
+    masks = rng.integers(1, 32, 900)
+    names = rng.integers(0, 1 << 63, sum(int(m).bit_count() for m in masks), dtype=np.uint64)
+    for got, want in zip(substrings.unpacked(substrings.packed(codes, masks, ids, names)), (codes, masks, ids, names), strict=True):
+        assert (got == want).all()
+    words, suffix = substrings.windows_of(codes, masks, 13)
+    want = [(i, tuple(codes[i, 4 - j : 17 - j])) for i in range(900) for j in range(5) if masks[i] >> j & 1]
+    assert [(int(i), tuple(w)) for i, w in zip(suffix, words)] == want
     keys = np.sort(rng.integers(0, 1 << 63, 500, dtype=np.uint64))
     assert (substrings.sorted_keys(substrings.sorted_blob(keys), np.uint64, 500) == keys).all()
 
 
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(2)
-    words = rng.integers(0, 3, (400, 5)).astype(np.uint64)
-    order, lcp = substrings.subtree(words)
-    rows = [tuple(words[i]) for i in order]
+    words, names = rng.integers(0, 3, (400, 5)).astype(np.uint16), rng.integers(0, 2, 400).astype(np.uint64)
+    order, lcp = substrings.subtree(words, names)
+    rows = [(*words[i], names[i]) for i in order]
     assert rows == sorted(rows)
     for i in range(1, 400):
-        assert lcp[i] == next((j for j in range(5) if rows[i][j] != rows[i - 1][j]), 5)
-    text = rng.integers(0, 1 << 60, 50, dtype=np.uint64)
-    assert (substrings._named(np.stack([text[i : i + 13] for i in range(38)])) == substrings.grams(text, 13)).all()
+        same = next((j for j in range(6) if rows[i][j] != rows[i - 1][j]), 6)
+        assert lcp[i] == (5 if same == 6 else min(same, 4))
+
+
+def test_equal_windows_have_equal_anchors():
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcd") for _ in range(300)) for _ in range(4)]
+    p = substrings.Piece(pa.array(range(4)), texts, 6)
+    anchor, off = p.anchors()
+    seen = {}
+    for s, key, o in zip(p.at.tolist(), anchor.tolist(), off.tolist()):
+        assert seen.setdefault(tuple(p.h[s : s + 6].tolist()), (key, o)) == (key, o) and 0 <= o <= 4
 
 
 def test_plan_bounds_units():
@@ -156,6 +232,44 @@ def test_shards_keep_copies_together(spark):
     assert sum(len(s) - 1 for s in of.values()) <= 50  # of 1500 links
 
 
+def test_propagation_step_by_step(spark):
+    """The moves of every step against plain Python, with Spark's hash of the cells looked up."""
+    rng, shards, quota = random.Random(9), 5, 16
+    nodes = list(range(60))
+    links = {(max(a, b), min(a, b)) for a, b in ((rng.randrange(60), rng.randrange(60)) for _ in range(90)) if a != b}
+    label = {n: rng.randrange(shards) for n in nodes}
+    cell = {r.n: r.c for r in spark.createDataFrame([(n,) for n in nodes], "n long").select("n", F.pmod(F.xxhash64("n"), F.lit(sharding.CELLS)).alias("c")).collect()}
+    made = spark.createDataFrame([(n, x) for n, x in label.items()], "node long, label int")
+    for steps in (1, 2, 3, 4):
+        now = dict(label)
+        for step in range(1, steps + 1):
+            wish = {}
+            for u in nodes:
+                votes = defaultdict(list)
+                for a, b in links:
+                    for x, y in ((a, b), (b, a)):
+                        if x == u and (step % 2 == 0 or y < u):
+                            votes[now[y]].append(y)
+                if votes:
+                    best = max(votes, key=lambda k: (len(votes[k]), -k))
+                    if len(votes[best]) > len(votes.get(now[u], [])):
+                        wish[u] = (best, cell[min(votes[best])])
+            full, open_ = Counter(now.values()), set()
+            for key, n in sorted(Counter(wish.values()).items()):
+                if full[key[0]] + n <= quota:
+                    full[key[0]] += n
+                    open_.add(key)
+            now |= {u: key[0] for u, key in wish.items() if key in open_}
+        got = sharding.propagated(spark.createDataFrame(sorted(links), "u long, v long"), made, [list(label.values()).count(s) for s in range(shards)], quota, steps)
+        assert {r.node: r.label for r in got.collect()} == now, steps
+
+
+def test_cut_links(spark):
+    placed = spark.createDataFrame([(i, i % 3) for i in range(9)], "at long, shard int")
+    r = sharding.cut_links(spark.createDataFrame([(0, 3), (0, 1), (5, 8), (7, 8)], "u long, v long"), placed).first()
+    assert (r.n_links, r.n_cut) == (4, 2)
+
+
 def test_shard_stage_keeps_columns(docs, spark):
     out = sharding.sharding_stage(spark, docs.withColumn("at", F.lit(1)).withColumn("slot", F.lit("x")), "")
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "at", "shard", "slot"] and out.count() == docs.count()
@@ -186,6 +300,35 @@ def test_toxicity(spark, table, none):
         assert toxicity.toxicity(docs, few).filter("predicted = 1 or score >= 0.5").count() == 0
 
 
+def test_features_and_ftrl_by_hand():
+    texts = ["Bad, bad  words (here) andhere", "", None, "x", "one two one two three"]
+    place, doc = toxicity.features(texts)
+    mix = lambda x: int(toxicity.mix(np.array([x % 2**64], np.uint64))[0])
+    word = lambda w: int(toxicity.hashes([w])[0])
+    low = 64 - toxicity.BITS + 1
+    for i, t in enumerate(texts):
+        words = [w.strip(toxicity.PUNCTUATION) for w in (t or "").encode().lower().split()]
+        want = Counter(mix(word(w)) >> low for w in words) + Counter(mix(word(w[:k]) + k) >> low for w in words for k in toxicity.STEMS)
+        for gap, salt in ((1, toxicity._PAIR), (2, toxicity._SKIP)):
+            want += Counter((mix(mix(word(a)) * int(salt) + mix(word(b))) >> low) + toxicity.HALF for a, b in zip(words, words[gap:]))
+        assert Counter(place[doc == i].tolist()) == want
+    rng = random.Random(1)
+    rows = [(rng.randrange(2), np.array(sorted(rng.sample([*range(30), *range(toxicity.HALF, toxicity.HALF + 30)], 6)))) for _ in range(80)]
+    alpha, beta, l1, l2, z, n = 0.3, 1.0, 1.5, 0.01, Counter(), Counter()
+    weight = lambda j: 0.0 if abs(z[j]) <= l1 else -(z[j] - math.copysign(l1, z[j])) / ((beta + math.sqrt(n[j])) / alpha + l2)
+    for _ in range(4):
+        for y, at in rows:
+            x = {int(j): 1.0 if j < toxicity.HALF else toxicity.PAIR_VALUE for j in at} | {1 << toxicity.BITS: 1.0}
+            w = {j: weight(j) for j in x}
+            p = 1 / (1 + math.exp(-sum(w[j] * x[j] for j in x)))
+            for j in x:
+                g = (p - y) * x[j]
+                z[j] += g - (math.sqrt(n[j] + g * g) - math.sqrt(n[j])) / alpha * w[j]
+                n[j] += g * g
+    w, b = toxicity.ftrl(rows)
+    assert b == pytest.approx(weight(1 << toxicity.BITS)) and all(w[j] == pytest.approx(weight(j)) for j in [*range(30), *range(toxicity.HALF, toxicity.HALF + 30)])
+
+
 def spark_dir(labels):
     import tempfile
 
@@ -295,6 +438,61 @@ def test_decontamination_finds_all_of_a_large_benchmark(spark, answer):
         assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, block=block).collect()} == want and len(want) >= 400
 
 
+def test_decontamination_of_short_and_long_items(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("aeioubcdfglmnprst") for _ in range(6))
+    long = [word() for _ in range(3000)]
+    texts = {1: "well the cat sat down", 2: "the cat then sat", 3: "Cat, sat!", 4: "cat", 5: "", 6: None, 7: " ".join(long[500:1500]), 8: " ".join(word() for _ in range(90)) + " the cat sat"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "The cat sat."), (2, "cat sat"), (3, "cat"), (4, " ".join(long)), (5, ""), (6, "...")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()}
+    assert got == {(1, 1), (8, 1), (1, 2), (3, 2), (8, 2), (1, 3), (2, 3), (3, 3), (4, 3), (8, 3), (7, 4)}
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, block_bytes=2000).collect()} == got
+
+
+def paraphrased(words, kind, rng, word):
+    """Every sixth word replaced; every fifth left out; a word put in after every fourth; neighbours swapped here and there; or all of it at a lower rate."""
+    out = []
+    for i, w in enumerate(words):
+        if kind == "replaced":
+            out.append(word() if i % 6 == 2 else w)
+        elif kind == "left out":
+            out += [w] if i % 5 != 3 else []
+        elif kind == "put in":
+            out += [w, word()] if i % 4 == 1 else [w]
+        else:
+            out.append(w)
+    if kind == "swapped":
+        for i in range(1, len(out) - 1, 5):
+            out[i], out[i + 1] = out[i + 1], out[i]
+    if kind == "mixed":
+        for i in range(3, len(out) - 1, 9):
+            out[i] = word()
+            if i + 4 < len(out):
+                out[i + 3], out[i + 4] = out[i + 4], out[i + 3]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["replaced", "left out", "put in", "swapped", "mixed"])
+def test_paraphrases_are_found(spark, kind):
+    """Benchmark items of the tables, paraphrased, each planted in a document: 0.9 of them at least, and no other document than those that held the item."""
+    rng = random.Random(kind)
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 8)))
+    items = [r for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    plain = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect() if not any(x.text in r.text for x in items)][: len(items)]
+    made = []
+    for item, doc in zip(items, plain):
+        words = doc.text.split(" ")
+        at = rng.randrange(len(words) + 1)
+        words[at:at] = paraphrased(item.text.split(), kind, rng, word)
+        made.append((doc.doc_id, " ".join(words)))
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")).collect()}
+    want = {(doc.doc_id, item.item_id) for item, doc in zip(items, plain)}
+    print(f"paraphrases {kind}: {len(got & want)} of {len(want)} found, {len(got - want)} other pairs")
+    assert len(got & want) >= 0.9 * len(want)
+
+
 def test_subsequence():
     assert decontam.subsequence(np.array([1, 2, 3, 4, 1]), np.array([9, 1, 3, 9, 4, 2, 1])) == 4
     assert decontam.subsequence(np.array([1]), np.array([], dtype=np.int64)) == 0

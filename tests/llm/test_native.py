@@ -40,6 +40,32 @@ def test_quality_keeps_and_certifies(docs, none, table, spark):
     assert quality.quality_rules(none, labels).count() == 0
 
 
+def test_quality_with_certified_cutoffs_against_sql(spark, table):
+    """Labels enough for cutoffs in two strata of three; every row as the SQL has it."""
+    import random
+
+    import duckdb
+    from pyspark.sql import functions as F
+
+    rng, rows = random.Random(7), []
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    for i in range(3600):
+        text = [rng.choice(words) for _ in range(rng.randint(40, 110))]
+        if i % 9 == 4:  # bad in one of several ways
+            text = {0: [*text, "#$%" * 30, *["&|" * 9] * 3], 1: [w * 4 for w in text], 2: [w[:1] for w in text], 3: text[:30] * 3}[rng.randrange(4)]
+        rows.append((i, "\n".join(" ".join(text[j : j + 9]) for j in range(0, len(text), 9)), ("en", "de", None)[0 if i % 9 in (4, 5) else i % 2] if i % 40 else None, "s", 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i % 9 != 4), 0) for i in range(3600)], "doc_id long, quality int, toxic int")
+    folder = table(docs, labels=labels)
+    got = quality.op5_quality_rules(spark, folder).withColumn("rules_failed", F.col("rules_failed"))
+    db = duckdb.connect()
+    for t in ("documents", "labels"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet/*.parquet'")
+    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({quality.ORACLES['op5_quality_rules']})").fetchall()
+    got = [tuple(r) for r in got.collect()]
+    assert sorted(got) == sorted(want) and sum(not r[6] and not r[7] for r in got) > 100
+
+
 def test_exact_tail(spark):
     from pyspark.sql import functions as F
 
@@ -90,6 +116,35 @@ def test_models_tell_random_strings(spark):
     assert sum(got[i] == 1 for i in range(100)) >= 97 and sum(got[i] for i in range(100, 200)) <= 2
 
 
+def test_ratio_is_the_log_likelihood_ratio(spark):
+    """Both models and the ratio by plain counting."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng, letters = random.Random(2), secrets.ALPHABET
+    tokens = [("".join(rng.choice(letters[:20] if k else letters) for _ in range(rng.randint(1, 30))), not k) for k in (0, 1) for _ in range(60)]
+    model = secrets.trained(spark.createDataFrame(tokens, "token string, secret boolean"))
+
+    def logs(secret):
+        pair, single = Counter(), Counter()
+        for t, s in tokens:
+            if s == secret:
+                pair.update(zip(t, t[1:]))
+                single.update(t[1:])
+        first = Counter()
+        for (a, _), n in pair.items():
+            first[a] += n
+        every = sum(single.values()) + 0.5 * len(letters)
+        return lambda a, b: math.log((pair[a, b] + 4 * (single[b] + 0.5) / every) / (first[a] + 4))
+
+    rand, plain = logs(True), logs(False)
+    asked = ["".join(rng.choice(letters) for _ in range(n)) for n in (1, 2, 17, 60)]
+    got = {r.t: r.x for r in spark.createDataFrame([(t,) for t in asked], "t string").select("t", secrets.ratio(F.col("t"), model).alias("x")).collect()}
+    for t in asked:
+        assert got[t] == pytest.approx(sum(rand(a, b) - plain(a, b) for a, b in zip(t, t[1:])), abs=1e-9)
+
+
 def goals(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w, total, fixed = {s: weights[i % 3] for i, s in enumerate(order)}, share * sum(sizes.values()), {}

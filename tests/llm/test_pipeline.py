@@ -63,5 +63,22 @@ def test_shards_are_even(steps):
 
 
 def test_run_is_the_stages(spark, steps):
-    assert sorted((r.doc_id, r.shard) for r in corpus_pipeline.run(spark, SF).collect())[0] is not None
-    assert corpus_pipeline.ORACLE_SQL is None
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == steps[-1][2].columns
+    rows = lambda df: Counter((r.doc_id, r.text, r.shard) for r in df.collect())
+    assert rows(got) == rows(steps[-1][2]) and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_clear_up_and_spare_what_is_read(spark):
+    from siltwork import store
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lazy = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF)
+    before = {p for _, p in store._made}
+    dict(corpus_pipeline.STAGES)["mixing"](spark, lazy, SF).count()
+    assert before <= {p for _, p in store._made} and lazy.count() > 0  # its tables are still read
+    written = stage(lazy, "written")
+    dict(corpus_pipeline.STAGES)["near_dedup"](spark, written, SF)
+    made = [p for _, p in store._made]
+    dict(corpus_pipeline.STAGES)["sharding"](spark, written, SF)
+    assert len(set(made) & {p for _, p in store._made}) < len(made)
