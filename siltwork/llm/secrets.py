@@ -3,7 +3,8 @@
 Base patterns find three kinds of spans. Beyond them, tokens of 16 or more characters are scored by the
 log-likelihood ratio of two first-order character models, one of random strings and one of ordinary identifiers,
 trained from labelled tokens; tokens above both thresholds that overlap no base span become spans of kind
-``markov``. Without labelled tokens of their own, callers get the base spans' values as the random strings and the
+``markov``. Where the caller labels enough long ordinary tokens, the threshold for each character is raised until at most one
+in a hundred of them passes. Without labelled tokens of their own, callers get the base spans' values as the random strings and the
 other tokens of sampled documents as the ordinary ones; both samples have documented bounds, and smoothing makes a
 model without samples uniform.
 
@@ -32,6 +33,8 @@ SOUGHT = {"hex": r"[0-9a-f]{24,}"}
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SPANS = "array<struct<start:int,end:int,value:string>>"
 BLOCK = 256
+#: Points in time among the ordinary samples.
+TIMES = 2000
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 WORD = r"[A-Za-z0-9+/_=-]{4,}"
 
@@ -116,6 +119,13 @@ def ratio(token: Column, model: list[float]) -> Column:
     return F.aggregate(_pairs(token), F.lit(0.0), lambda s, p: s + F.get(table, (p["a"] - 1) * len(ALPHABET) + p["b"] - 1))
 
 
+def cutoff(tokens: DataFrame, model: list[float], least: float, share: float = 0.99, enough: int = 100) -> float:
+    """The ratio for each character that ``share`` of the ordinary tokens of a candidate's length stay below, ``least`` at least; with fewer than ``enough`` of them, ``least``."""
+    each = tokens.filter(~F.col("secret") & F.col("token").rlike(f"^{TOKEN}$")).select((ratio(F.col("token"), model) / F.length("token")).alias("x"))
+    r = each.agg(F.count("x").alias("n"), F.percentile("x", F.lit(share)).alias("p")).first()
+    return max(least, r.p) if r.n >= enough else least
+
+
 def samples(docs: DataFrame, found: DataFrame, most: int = 4000, ordinary: int = 1000) -> DataFrame:
     """Labelled tokens: base values of at most ``most`` documents, and other tokens of at most ``ordinary`` documents, both in the order of a hash of doc_id."""
     with_spans = found.filter(" or ".join(f"size({k}) > 0" for k, *_ in KINDS)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -125,7 +135,9 @@ def samples(docs: DataFrame, found: DataFrame, most: int = 4000, ordinary: int =
     for k, p, _, _ in KINDS:
         text = text.select(F.regexp_replace("t", SOUGHT.get(k, p), " ").alias("t"))
     plain = text.select(F.explode(F.regexp_extract_all("t", F.lit(WORD), F.lit(0))).alias("token"), F.lit(False).alias("secret"))
-    return secret.unionByName(plain)
+    # Points in time, of which texts may have none, are ordinary too.
+    times = docs.sparkSession.range(TIMES).select(F.date_format(F.timestamp_seconds(F.col("id") * 1_234_567 % 2_000_000_000), "yyyy-MM-dd'T'HH-mm-ss").alias("token"), F.lit(False).alias("secret"))
+    return secret.unionByName(plain).unionByName(times)
 
 
 def secrets(docs: DataFrame, labelled: DataFrame | None = None, least: float = 8.0, least_each: float = 0.5) -> DataFrame:
@@ -133,13 +145,15 @@ def secrets(docs: DataFrame, labelled: DataFrame | None = None, least: float = 8
     docs = docs.select("doc_id", "text")
     found = stage(base_spans(docs), "secrets")
     model = trained(samples(docs, found) if labelled is None else labelled)
+    # Tokens that no base pattern finds are taken for ordinary ones, random strings among them: they set no threshold.
+    each = least_each if labelled is None else cutoff(labelled, model, least_each)
     base = F.concat(*[F.transform(k, _span(i)) for i, (k, *_) in enumerate(KINDS)])
     free = found.withColumn("base", F.array_sort(base)).withColumn(
         "tokens", F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     )
     score = lambda t: ratio(t["value"], model)
     scored = free.withColumn("scored", F.transform("tokens", lambda t: F.struct(t["start"].alias("start"), F.lit(len(KINDS)).alias("k"), t["end"].alias("end"), t["value"].alias("value"), score(t).alias("score"))))
-    hits = F.filter("scored", lambda t: (t["score"] >= least) & (t["score"] >= least_each * (t["end"] - t["start"])))
+    hits = F.filter("scored", lambda t: (t["score"] >= least) & (t["score"] >= each * (t["end"] - t["start"])))
     added = F.transform(hits, _span(len(KINDS)))
     return scored.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k, *_ in KINDS], F.size(hits).cast("long").alias("n_markov"), "base", F.array_sort(F.concat("base", added)).alias("found")
