@@ -43,7 +43,8 @@ def features(docs: DataFrame, *keep: str) -> DataFrame:
         "doc_id", *keep, "text", words_of(F.col("text")).alias("words"),
         F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "").alias("lines"),
     )
-    # Windows are sorted with their places, so that equal ones meet: n log n in the words of a document.
+    # Windows are sorted by hash with their places, so that equal ones meet: n log n in the words of a document.
+    at = lambda i: F.get("words", i)
     windows = lines.select(
         "doc_id", *keep, "words",
         (F.length("text") - F.length(F.translate("text", SPACE_CHARS, ""))).alias("n_spaces"),
@@ -52,31 +53,22 @@ def features(docs: DataFrame, *keep: str) -> DataFrame:
         F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.size("words").alias("n_words"),
-        F.when(F.size("words") > 3, F.array_sort(F.arrays_zip(
-            F.slice("words", F.lit(1), F.size("words") - 2).alias("a"),
-            F.slice("words", F.lit(2), F.size("words") - 2).alias("b"),
-            F.slice("words", F.lit(3), F.size("words") - 2).alias("c"),
-            F.sequence(F.lit(0), F.size("words") - 3).alias("at"),
+        F.when(F.size("words") > 3, F.sort_array(F.transform(
+            F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.struct(F.xxhash64(at(i), at(i + 1), at(i + 2)).alias("h"), i.alias("at"))
         ))).alias("sorted"),
     )
-    near = windows.select(
-        *[c for c in windows.columns if c not in ("words", "sorted")],
-        F.arrays_zip(
-            F.col("sorted").alias("x"),
-            F.slice("sorted", F.lit(2), F.size("sorted")).alias("next"),
-            F.concat(F.array(F.lit(None).cast(windows.schema["sorted"].dataType.elementType)), F.col("sorted")).alias("last"),
-        ).alias("near"),
-    )
 
     def equal(p: Column, q: Column) -> Column:
-        return (p["c"] == q["c"]) & (p["b"] == q["b"]) & (p["a"] == q["a"])
+        """Equal hashes first, then the words themselves."""
+        return (p["h"] == q["h"]) & (at(p["at"]) == at(q["at"])) & (at(p["at"] + 1) == at(q["at"] + 1)) & (at(p["at"] + 2) == at(q["at"] + 2))
 
-    def met(t: Column) -> Column:
-        return t["x"].isNotNull() & (F.coalesce(equal(t["x"], t["next"]), F.lit(False)) | F.coalesce(equal(t["x"], t["last"]), F.lit(False)))
+    def met(x: Column, i: Column) -> Column:
+        near = lambda j: F.coalesce(equal(x, F.get("sorted", j)), F.lit(False))
+        return near(i + 1) | near(i - 1)
 
-    places = near.select(
-        *[c for c in near.columns if c != "near"],
-        F.array_sort(F.transform(F.filter("near", met), lambda t: t["x"]["at"])).alias("places"),
+    places = windows.select(
+        *[c for c in windows.columns if c not in ("words", "sorted")],
+        F.sort_array(F.transform(F.filter("sorted", met), lambda t: t["at"])).alias("places"),
     )
     covered = F.aggregate(
         "places", F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
