@@ -6,8 +6,8 @@ places, pairs to one half and the rest to the other. Each counts once, pairs wit
 nothing. FTRL-proximal keeps a learning rate for each coordinate, and its L1 term leaves few weights that are not zero:
 these are all that is broadcast, at most 2^20. Features of fewer than three training documents are left out.
 
-The model is fitted on a bounded sample, ``most`` labelled documents in the order of a hash of doc_id, in one task
-whose input that parameter bounds; every document is scored over its whole text. Rows with crc32(doc_id) mod 5 = 0
+The model is fitted on a bounded sample, ``most`` labelled documents in the order of a hash of doc_id and ``most_places``
+of their features, in one task whose memory these parameters bound; every document is scored over its whole text. Rows with crc32(doc_id) mod 5 = 0
 are held out of training. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined results: a null or empty text gets the score of no features; a null doc_id counts as held out; labels that are
@@ -85,30 +85,49 @@ def ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = 4, alpha: float = 0.3
     return w[:-1], float(w[-1])
 
 
-def _fitted(table: pa.Table) -> pa.Table:
-    table = table.sort_by("k").combine_chunks()
-    if len(set(table["y"].to_pylist())) < 2:
-        return pa.table({"at": pa.array([-1]), "w": pa.array([UNLEARNED])})
-    at, ends = table["at"].combine_chunks().values.to_numpy(), table["at"].combine_chunks().offsets.to_numpy()
-    docs = np.bincount(at, minlength=1 << BITS)
-    rows = [at[a:b][docs[at[a:b]] >= LEAST_DOCS].astype(np.int64) for a, b in zip(ends, ends[1:], strict=False)]
-    w, b = ftrl(list(zip(table["y"].to_pylist(), rows, strict=True)))
-    at = np.flatnonzero(w)
-    return pa.table({"at": pa.array(np.append(at, -1)), "w": pa.array(np.append(w[at], b))})
+def _fitted(most: int):
+    """Reads labelled rows in order, as far as ``most`` places go, and gives the weights that are not zero, and the intercept at place -1."""
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, rows, left = [], [], most
+        for b in batches:
+            ends = b.column("at").offsets.to_numpy()
+            at = b.column("at").values.to_numpy()
+            for y, lo, hi in zip(b.column("y").to_pylist(), ends.tolist(), ends[1:].tolist(), strict=False):
+                if (left := left - (hi - lo)) < 0:
+                    break
+                labels.append(y)
+                rows.append(at[lo:hi].copy())
+            if left < 0:
+                break
+        for _ in batches:  # what the bound leaves out is read, so that Spark can end the task
+            continue
+        if len(set(labels)) < 2:
+            found = [-1], [UNLEARNED]
+        else:
+            docs = np.zeros(1 << BITS, np.int64)
+            for r in rows:
+                docs[r] += 1  # places are distinct
+            w, b = ftrl([(y, r[docs[r] >= LEAST_DOCS].astype(np.int64)) for y, r in zip(labels, rows, strict=True)])
+            at = np.flatnonzero(w)
+            found = np.append(at, -1), np.append(w[at], b)
+        yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.float64())], names=["at", "w"])
+
+    return fitted
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 12_000) -> tuple[np.ndarray, np.ndarray, float]:
-    """(places, weights, intercept) from at most ``most`` labelled rows that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame, most: int = 12_000, most_places: int = 1 << 26) -> tuple[np.ndarray, np.ndarray, float]:
+    """(places, weights, intercept) from at most ``most`` labelled rows that are not held out, and as many of them as ``most_places`` features (4 bytes each) go."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("y"))
     chosen = known.filter(~held_out(F.col("_id"))).select("_id", "y", F.xxhash64("_id").alias("k")).orderBy("k", "_id").limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("k", F.col("y").cast("int").alias("y"), "text")
-    featured = rows.mapInArrow(_featured, "k long, y int, at array<int>").groupBy(F.lit(0).alias("one"))
+    featured = rows.mapInArrow(_featured, "k long, y int, at array<int>").repartition(1).sortWithinPartitions("k", "y")
     with small_batches(docs.sparkSession):
-        found = featured.applyInArrow(_fitted, "at long, w double").toArrow()  # 2^20 rows at most
+        found = featured.mapInArrow(_fitted(most_places), "at long, w double").toArrow()  # 2^20 rows at most
     at, w = found["at"].to_numpy(), found["w"].to_numpy()
     return at[at >= 0], w[at >= 0], float(w[at < 0][0]) if len(at) else UNLEARNED
 
