@@ -73,9 +73,9 @@ def decoded(content: bytes | None, filename: str, pdf: Callable[[bytes], list[st
 def from_files(spark: SparkSession, path: str, source: str = "filesystem", pdf: Callable[[bytes], list[str]] | None = None) -> DataFrame:
     """Files below ``path`` (any file system Spark reads, s3a:// included) with a known extension and some text.
 
-    Names are filtered before contents are read. A missing path raises; a file that cannot be decoded is skipped.
+    Names are filtered before contents are read. A missing path raises; a file that vanishes, or cannot be read or decoded, is skipped.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(path)
     name = _basename(F.col("path"))
     chosen = files.filter(_extension(F.col("path")).isin(*EXTENSIONS) & ~name.isin(*EXCLUDED)).select("path", name.alias("filename"), "length", "modificationTime", "content")
 

@@ -480,3 +480,32 @@ def test_texts_that_contain_queries(spark):
     queries = spark.createDataFrame([(1, "a b c d e"), (2, "b c"), (3, "c"), (4, "b\nc d e"), (5, "a b c d e f g"), (6, None), (7, "b c d")], "query_id long, query string")
     want = {(d.id, q.query_id) for d in docs.collect() for q in queries.collect() if d.text is not None and q.query is not None and q.query in d.text}
     assert {(r.id, r.query_id) for r in containing(docs, queries).collect()} == want
+
+
+def test_search_without_its_sparse_index(spark, tmp_path):
+    """An index whose files are gone: the vectors decide alone."""
+    from siltwork.plans.search import Search, retrieve
+
+    points = spark.createDataFrame([(i, [float(i), 1.0], f"word{i} shared") for i in range(20)], "id long, embedding array<double>, text string")
+    asked = spark.createDataFrame([(1, "word3", [3.0, 1.0])], "query_id long, query string, embedding array<double>")
+    bm25.save(bm25.index(points), str(tmp_path / "ix"))
+    kept = bm25.load(spark, str(tmp_path / "ix"))
+    whole = retrieve(asked, points, Search(4), kept).collect()
+    import shutil
+
+    shutil.rmtree(tmp_path / "ix")
+    alone = retrieve(asked, points, Search(4), kept).collect()
+    assert {r.id for r in alone} == {r.id for r in dense.top_k(points, asked, 4).collect()} and {r.id for r in whole} == {3, 4}
+    assert [r.id for r in sorted(whole, key=lambda r: r.rank)][0] == 3
+
+
+def test_answers_are_cached_and_dropped(spark, tmp_path):
+    from siltwork.operators import caches
+
+    cache, at = caches.AnswerCache(spark, str(tmp_path)), F.lit(NOW).cast("timestamp_ntz")
+    probes = spark.createDataFrame([(7, "kb", "s", [1.0, 0.0]), (8, "kb", "t", [1.0, 0.0])], "query_id long, collection string, settings string, embedding array<double>")
+    assert cache.get(probes, at).count() == 0
+    cache.put(spark.createDataFrame([(1, "kb", "s", [1.0, 0.01], "yes", ["a"])], "entry_id long, collection string, settings string, embedding array<double>, answer string, results array<string>"), at)
+    assert [(r.query_id, r.answer, r.results) for r in cache.get(probes, at).collect()] == [(7, "yes", ["a"])]
+    assert cache.get(probes, at + F.expr("interval 301 seconds")).count() == 0
+    assert cache.invalidate("kb") and cache.get(probes, at).count() == 0
