@@ -163,9 +163,9 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float =
     found = blocks.select("source", "source_size", "target", F.explode(F.arrays_zip("docs", "more")).alias("d")).select(
         F.col(f"d.docs.{key}").alias(key), "source", F.col("d.docs.size").alias("size"), "source_size", "target", F.col("d.docs.rate").alias("rate"), F.col("d.docs.n").alias("n"), F.col("d.more").alias("more"))
     # Records become rows again, a thousand at a time.
-    found = found.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(1000).cast("long"))))
-    found = found.withColumn("at", F.explode(F.sequence("at", F.least(F.col("at") + 999, F.col("n") - 1))))
-    copies = (F.floor("rate") + (F.col("at") < F.col("more")).cast("long")).cast("int")
+    found = found.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(1000).cast("long"))))
+    found = found.withColumn("_nth", F.explode(F.sequence("_from", F.least(F.col("_from") + 999, F.col("n") - 1))))
+    copies = (F.floor("rate") + (F.col("_nth") < F.col("more")).cast("long")).cast("int")
     return found.withColumn("copies", copies).select(key, "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 

@@ -51,4 +51,5 @@ def test_stages_keep_rows_without_id(spark, folder):
     docs = spark.read.parquet(f"{folder}/full/documents.parquet")
     for step in (0, 1, 2):
         out = corpus_pipeline.STAGES[step][1](spark, docs, f"{folder}/full")
-        assert out.filter("doc_id is null").count() >= 2
+        # The two rows without an id are copies of each other: of a group one row stays, so near_dedup keeps one.
+        assert out.filter("doc_id is null").count() == (1 if step == 1 else 2)

@@ -268,10 +268,24 @@ def test_mix_of_rows_that_agree(spark):
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= 9
 
 
-def test_mix_stage_numbers_repeated_rows(spark, docs):
-    twice = docs.union(docs).withColumn("_n", docs.doc_id)
+def test_mix_stage_takes_what_the_mix_takes(spark, docs, rows):
+    """Every row as often as its own copies, also where rows repeat and columns are named like the operator's own."""
+    from pyspark.sql import functions as F
+
+    twice = docs.union(docs).withColumns({"_n": F.col("doc_id"), "_nth": F.lit(3), "copies": F.lit("x"), "at": F.lit(1)})
     out = mixing.mixing_stage(spark, twice, "")
-    assert out.columns == twice.columns and {r.doc_id for r in out.collect()} <= {r.doc_id for r in docs.collect()}
+    count = Counter(r.doc_id for r in out.collect())
+    assert out.columns == twice.columns and max(count.values()) <= 4 and all(count[r[0]] == 2 for r in rows if not WORD.findall(r[1] or ""))
+    size = {r[0]: len(WORD.findall(r[1] or "")) for r in rows}
+    numbered = docs.union(docs).select("source", "text", F.monotonically_increasing_id().alias("at"))
+    taken, target = Counter(), {}
+    for r in mixing.mixed(numbered.cache(), key="at").collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    got = Counter()
+    for r in out.collect():
+        got[r.source] += size[r.doc_id]
+    assert all(abs(got[s] - target[s]) <= max([size[r[0]] for r in rows if r[3] == s and size[r[0]] < 30000], default=0) + (30000 if s == "a" else 0) for s in target)
 
 
 def test_many_matches_in_one_text(spark):

@@ -72,13 +72,12 @@ def test_run_is_the_stages(spark, steps):
 def test_stages_clear_up_and_spare_what_is_read(spark):
     from siltwork import store
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    lazy = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF)
-    before = {p for _, p in store._made}
-    dict(corpus_pipeline.STAGES)["mixing"](spark, lazy, SF).count()
-    assert before <= {p for _, p in store._made} and lazy.count() > 0  # its tables are still read
+    stages, docs = dict(corpus_pipeline.STAGES), spark.read.parquet(f"{SF}/documents.parquet")
+    lazy = stages["near_dedup"](spark, docs, SF)
+    n = lazy.count()
+    assert stages["mixing"](spark, lazy, SF).count() > n and lazy.count() == n  # what it reads is still there
     written = stage(lazy, "written")
-    dict(corpus_pipeline.STAGES)["near_dedup"](spark, written, SF)
-    made = [p for _, p in store._made]
-    dict(corpus_pipeline.STAGES)["sharding"](spark, written, SF)
-    assert len(set(made) & {p for _, p in store._made}) < len(made)
+    stages["near_dedup"](spark, written, SF)
+    made = {p for _, p in store._made}
+    stages["sharding"](spark, written, SF)
+    assert len(made & {p for _, p in store._made}) < len(made) and written.count() == n
