@@ -45,7 +45,7 @@ from siltwork.llm._text import grams, mix, pieces, tokenised
 WINDOW, SLACK = 13, 4
 FIRST_BITS, SECOND_BITS, LONG_PREFIX = 10, 6, 6
 #: Suffixes of a group, about; and the least number of groups.
-GROUP, LEAST_GROUPS = 1_500_000, 64
+GROUP, LEAST_GROUPS = 500_000, 64
 #: Bits of an anchor that travel; anchors that agree in them by chance cost a suffix's words, no more.
 ANCHOR_BITS = 48
 _LAST = np.iinfo(np.int64).max
