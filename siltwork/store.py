@@ -39,14 +39,14 @@ def shared(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again; removed when the process ends."""
+def stage(df: DataFrame, name: str, **options) -> DataFrame:
+    """``df`` written as Parquet (with these writer's options) to the shared folder and read again; removed when the process ends."""
     spark = df.sparkSession
     if not _made:
         atexit.register(_forget)
     path = f"{shared(spark)}/{name}-{uuid.uuid4().hex}"
     _made.append((spark, path))
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
