@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("near_dedup", "sharding", "secrets", "rollup", "quality", "substrings", "decontam", "url_filter", "toxicity", "mixing", "alignment", "ranked")
+MODULES = ("near_dedup", "sharding", "secrets", "rollup", "quality", "substrings", "decontam", "url_filter", "toxicity", "mixing", "alignment", "licenses", "ranked")
 
 
 def queries() -> dict:
