@@ -1,14 +1,17 @@
 """A corpus in five stages: each function takes (spark, docs, sf_dir) and returns a DataFrame.
 
 Each stage's result is written as Parquet and read again as the next one's documents. All but the last return the
-columns of documents; the last adds each row's shard and slot. The tables that a stage staged for itself are removed
-when the next one begins, unless its documents still read them.
+columns of documents; the last adds each row's shard and slot. A result carries the number of its stage's call in its
+first column's metadata, which Parquet keeps; so the next stage knows whose written result it reads, and removes the
+tables that this call had staged, but no other call's. The tables that the last stage's result reads stay until the
+process ends, so results of several runs can be read side by side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,18 +23,20 @@ from siltwork.llm.toxicity import toxicity_stage
 from siltwork.store import stage, tracked
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: Removes what the last stage staged.
-_last: list[Callable[[DataFrame], None]] = []
+#: By the number of a stage's call: removes the tables that it staged.
+_held: dict[str, Callable[[DataFrame], None]] = {}
+_MARK = "staged_by"
 
 
 def _tidy(function: Stage) -> Stage:
     @wraps(function)
     def tidied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _last:
-            _last.pop()(docs)
+        if (release := _held.get(docs.schema.fields[0].metadata.get(_MARK), None)) is not None:
+            release(docs)
         out, release = tracked(function, spark, docs, sf_dir)
-        _last.append(release)
-        return out
+        _held[call := uuid4().hex] = release
+        first = out.schema.fields[0]
+        return out.withMetadata(first.name, first.metadata | {_MARK: call})
 
     return tidied
 

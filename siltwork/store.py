@@ -58,9 +58,10 @@ def tracked(function: Callable[..., DataFrame], *args) -> tuple[DataFrame, Calla
 
     def release(reader: DataFrame) -> None:
         files = reader.inputFiles()
-        for spark, path in made:
-            if not any(path in f for f in files):
-                _removed(spark, path)
-                _made.remove((spark, path))
+        for one in list(made):
+            if not any(one[1] in f for f in files):
+                _removed(*one)
+                made.remove(one)
+                _made.remove(one)
 
     return out, release
