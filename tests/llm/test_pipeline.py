@@ -77,7 +77,18 @@ def test_stages_clear_up_and_spare_what_is_read(spark):
     n = lazy.count()
     assert stages["mixing"](spark, lazy, SF).count() > n and lazy.count() == n  # what it reads is still there
     written = stage(lazy, "written")
-    stages["near_dedup"](spark, written, SF)
     made = {p for _, p in store._made}
     stages["sharding"](spark, written, SF)
     assert len(made & {p for _, p in store._made}) < len(made) and written.count() == n
+
+
+def test_runs_in_one_process_stand_side_by_side(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    one, lazy = corpus_pipeline.run(spark, SF), stages["near_dedup"](spark, docs, SF)
+    other = corpus_pipeline.run(spark, SF)
+    n = other.count()
+    assert one.count() == n > 0 and lazy.count() > 0
+    written = stage(lazy, "written")
+    stages["decontamination"](spark, stage(stages["near_dedup"](spark, docs, SF), "own"), SF)  # another call's tables go, not these
+    assert one.count() == n == other.count() and lazy.count() == written.count()
