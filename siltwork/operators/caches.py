@@ -62,24 +62,43 @@ class SearchCache:
 
 
 class AnswerCache:
-    """Answers by collection, settings and embedding of the question; a failed write is the caller's to ignore."""
+    """Answers by collection, settings and embedding of the question; a failed write is the caller's to ignore.
+
+    Entries lie in folders by collection and by slot of time, so a lookup lists the slots that can hold live entries and
+    nothing older; ``expire`` removes the others.
+    """
 
     def __init__(self, spark: SparkSession, path: str, ttl: int = answer_cache.TTL_SECONDS):
         self.spark, self.path, self.ttl, self.folder = spark, path.rstrip("/"), ttl, Folder(spark, path)
 
+    def _slot(self, at: Column) -> Column:
+        return F.floor(F.unix_timestamp(at.cast("timestamp")) / max(60, self.ttl)).cast("long")
+
     def put(self, answers: DataFrame, now: Column) -> None:
         """answers: entry_id, collection, settings, embedding, answer, results."""
         rows = answers.withColumn("embedding", F.col("embedding").cast("array<double>")).withColumn("cached_at", now)
-        rows.select(*[c.split(" ")[0] for c in ANSWER.split(", ")]).write.mode("append").partitionBy("collection").parquet(f"{self.path}/entries")
+        rows = rows.select(*[c.split(" ")[0] for c in ANSWER.split(", ")]).withColumn("slot", self._slot(F.col("cached_at")))
+        rows.write.mode("append").partitionBy("collection", "slot").parquet(f"{self.path}/entries")
 
-    def entries(self) -> DataFrame:
-        return self.spark.read.schema(ANSWER).parquet(f"{self.path}/entries") if self.folder.names() else self.spark.createDataFrame([], ANSWER)
+    def entries(self, now: Column | None = None) -> DataFrame:
+        """All entries; with ``now``, those of slots that can hold live ones."""
+        if "entries" not in self.folder.names():
+            return self.spark.createDataFrame([], ANSWER)
+        rows = self.spark.read.schema(f"{ANSWER}, slot long").parquet(f"{self.path}/entries")
+        return (rows if now is None else rows.filter(F.col("slot") >= self._slot(now) - 1)).drop("slot")
 
     def get(self, probes: DataFrame, now: Column, threshold: float = answer_cache.THRESHOLD) -> DataFrame:
         """(query_id, entry_id, similarity, answer, results) of the probes that an entry answers."""
-        entries = self.entries()
-        hits = answer_cache.lookup(probes, entries, now, threshold, self.ttl)
-        return hits.join(entries.select("entry_id", "answer", "results"), "entry_id")
+        return answer_cache.answered(probes, self.entries(now), now, threshold, self.ttl)
 
     def invalidate(self, collection: str) -> bool:
         return self.folder.drop(f"entries/collection={collection}")
+
+    def expire(self, now: Column) -> int:
+        """Removes the slots that hold no live entry; how many there were."""
+        least, gone = self.spark.range(1).select(self._slot(now) - 1).first()[0], 0
+        for part in Folder(self.spark, f"{self.path}/entries").names():
+            for slot in Folder(self.spark, f"{self.path}/entries/{part}").names() if part.startswith("collection=") else ():
+                if slot.startswith("slot=") and int(slot[5:]) < least:
+                    gone += self.folder.drop(f"entries/{part}/{slot}")
+        return gone

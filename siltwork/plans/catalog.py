@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("corpus", "index")
+MODULES = ("corpus", "index", "stores")
 
 
 def queries() -> dict:

@@ -298,7 +298,7 @@ def search_cache(spark, d):
 def search_answers(spark, d):
     """All benchmark queries asked twice: the second time the cache answers. An answer is a digest of its context."""
     vectors = read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    points = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").join(vectors, "id")
+    points = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").join(vectors, "id", "left")
     asked = queries_of(spark, d).join(vectors.select(F.col("id").alias("query_id"), "embedding"), "query_id")
     cache, index = caches.AnswerCache(spark, _scratch(spark)), bm25.index(points)
     answer = lambda query, context: F.sha2(context, 256)
@@ -421,7 +421,7 @@ ORACLES = {
     "vector_topk_euclid": f"WITH {_nearest('-list_distance(a.e, b.e)')} {_TOP}",
 }
 ORACLES["cost_report"] = f"SELECT data_points, outliers_count, time_gaps, trend, total_cost FROM ({ORACLES['cost_diagnostics']})"
-#: The fused search over documents that have a vector.
-_POINTS = corpus._hybrid(10).replace("FROM documents)", "FROM documents JOIN embeddings ON vec_id = doc_id)").replace("ON item_id = a.vec_id, embeddings b)", "ON item_id = a.vec_id, (SELECT vec_id, embedding FROM embeddings JOIN documents ON doc_id = vec_id) b)")
+#: The fused search over all documents, of which some have a vector.
+_POINTS = corpus._hybrid(10).replace("ON item_id = a.vec_id, embeddings b)", "ON item_id = a.vec_id, (SELECT vec_id, embedding FROM embeddings JOIN documents ON doc_id = vec_id) b)")
 ORACLES["search_answers"] = f"""WITH {_POINTS}, t AS (SELECT hy.query_id, string_agg(x.text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS c FROM hy JOIN documents x ON x.doc_id = hy.id WHERE rank <= 5 GROUP BY hy.query_id)
     SELECT b.item_id AS query_id, sha256(coalesce(c, '')) AS answer, true AS from_cache FROM benchmark b JOIN embeddings e ON e.vec_id = b.item_id LEFT JOIN t ON t.query_id = b.item_id"""

@@ -509,3 +509,34 @@ def test_answers_are_cached_and_dropped(spark, tmp_path):
     assert [(r.query_id, r.answer, r.results) for r in cache.get(probes, at).collect()] == [(7, "yes", ["a"])]
     assert cache.get(probes, at + F.expr("interval 301 seconds")).count() == 0
     assert cache.invalidate("kb") and cache.get(probes, at).count() == 0
+
+
+def test_only_the_live_entry_of_the_own_collection_and_settings_answers(spark, tmp_path):
+    from siltwork.operators import caches
+
+    cache, at = caches.AnswerCache(spark, str(tmp_path)), F.lit(NOW).cast("timestamp_ntz")
+    schema = "entry_id long, collection string, settings string, embedding array<double>, answer string, results array<string>"
+    put = lambda answer, when, collection="kb", settings="s": cache.put(spark.createDataFrame([(1, collection, settings, [1.0, 0.0], answer, [answer])], schema), when)
+    put("old", at - F.expr("interval 1 hour"))
+    put("earlier", at - F.expr("interval 200 seconds"))
+    put("new", at)
+    put("other settings", at, settings="t")
+    put("other collection", at, collection="kc")
+    probe = spark.createDataFrame([(7, "kb", "s", [1.0, 0.0]), (8, "none", "s", [1.0, 0.0]), (9, None, "s", [1.0, 0.0])], "query_id long, collection string, settings string, embedding array<double>")
+    assert [(r.query_id, r.answer, r.results) for r in cache.get(probe, at).collect()] == [(7, "new", ["new"])]
+    assert [r.answer for r in cache.get(probe, at - F.expr("interval 3400 seconds")).filter("query_id = 7").collect()]  # then only the old one lived, or those put since
+    assert cache.expire(at) == 1 and cache.expire(at) == 0
+    assert [r.answer for r in cache.get(probe, at).collect()] == ["new"]
+    assert cache.get(probe, at + F.expr("interval 301 seconds")).count() == 0
+
+
+def test_asked_again_later_a_query_gets_its_own_answer(spark, tmp_path):
+    from siltwork.operators import caches
+    from siltwork.plans.search import Search, search_and_answer
+
+    cache, at = caches.AnswerCache(spark, str(tmp_path)), F.lit(NOW).cast("timestamp_ntz")
+    points = spark.createDataFrame([(1, "red apples", [1.0, 0.0]), (2, "green pears", [0.0, 1.0]), (3, "no vector apples", None)], "id long, text string, embedding array<double>")
+    asked = spark.createDataFrame([(5, "apples", [1.0, 0.1])], "query_id long, query string, embedding array<double>")
+    for minutes, search, mark in ((0, Search(2), "a"), (1, Search(2), "b"), (1, Search(3), "c"), (10, Search(2), "d"), (11, Search(2), "e"), (11, Search(2, collection="kc"), "f")):
+        got = search_and_answer(asked, points, cache, search, at + F.expr(f"interval {minutes} minutes"), lambda q, c, mark=mark: F.concat(F.lit(mark), q)).collect()
+        assert [(r.answer[0], r.from_cache) for r in got] == [{"a": ("a", False), "b": ("a", True), "c": ("c", False), "d": ("d", False), "e": ("d", True), "f": ("f", False)}[mark]]
