@@ -51,8 +51,8 @@ Encoder = Callable[[list[str]], list[list[int]]]
 Tokenizer = Callable[[], tuple[Encoder, list[bytes]]]
 
 
-def _blank(c: str) -> bool:
-    return c.isspace() or c in "\u180e\u200b\ufeff"
+#: What no word that is encoded with others may begin or end with: white space, characters that some readings count as such, and nothing.
+BLANK = frozenset(["", "\u180e", "\u200b", "\ufeff", *[chr(c) for c in range(0x3001) if chr(c).isspace()]])
 
 
 def byte_level(path: str) -> Tokenizer:
@@ -81,15 +81,18 @@ def byte_level(path: str) -> Tokenizer:
 
         def encode(words: list[str]) -> list[list[int]]:
             """Words without white space at their ends are encoded as one text and told apart by the bytes of their tokens."""
-            plain = [w for w in words if w and not _blank(w[0]) and not _blank(w[-1])]
+            plain = [w for w in words if w[:1] not in BLANK and w[-1:] not in BLANK]
             every = ids(" " + " ".join(plain)) if plain else []
             ends, wanted = np.cumsum(width[every]) if every else np.empty(0, np.int64), np.cumsum([1 + len(w.encode()) for w in plain])
             at = np.searchsorted(ends, wanted) if len(ends) else np.empty(0, np.int64)
             if len(plain) and len(ends) and at[-1] == len(ends) - 1 and (ends[at] == wanted).all():
                 cut = [0, *(at + 1).tolist()]
-                known = dict(zip(plain, (every[a:b] for a, b in zip(cut, cut[1:], strict=False)), strict=True))
+                found = [every[a:b] for a, b in zip(cut, cut[1:], strict=False)]
             else:
-                known = {}
+                found = [ids(" " + w) for w in plain]
+            if len(plain) == len(words):
+                return found
+            known = dict(zip(plain, found, strict=True))
             return [known[w] if w in known else ids(" " + w) for w in words]
 
         return encode, spelled
@@ -125,8 +128,8 @@ def words_of(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
     flat = list(chain.from_iterable(split))
     coded = pa.array(flat, pa.string()).dictionary_encode()
     code, distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
-    begins = np.array([not w or _blank(w[0]) for w in distinct])
-    finishes = np.array([not w or _blank(w[-1]) for w in distinct])
+    begins = np.array([w[:1] in BLANK for w in distinct], bool)
+    finishes = np.array([w[-1:] in BLANK for w in distinct], bool)
     joined = begins[code]
     joined[1:] |= finishes[code[:-1]]
     joined[(np.cumsum(counts) - counts)] = False
@@ -157,11 +160,14 @@ class Side:
 
     def learn(self, words: list[str]) -> None:
         found = self.encode(words)
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32)])
-        self.many = np.concatenate([self.many, np.fromiter(map(len, found), np.int64, len(found))])
-        spelled = self.spelled
-        sound = [b"".join([spelled[i] for i in ids]) == b" " + w.encode() for ids, w in zip(found, words, strict=True)]
-        self.sound = np.concatenate([self.sound, np.array(sound, bool)])
+        new = np.fromiter(chain.from_iterable(found), np.int32)
+        many = np.fromiter(map(len, found), np.int64, len(found))
+        wanted = [b" " + w.encode() for w in words]
+        ends = np.append(0, np.cumsum(self.width[new]))[np.cumsum(many)]
+        # Tokens that spell all words on end, each word in as many bytes as it has, spell each of them.
+        whole = (ends == np.cumsum(np.fromiter(map(len, wanted), np.int64, len(wanted)))).all() and b"".join(map(self.spelled.__getitem__, new.tolist())) == b"".join(wanted)
+        sound = [whole or b"".join([self.spelled[i] for i in ids]) == w for ids, w in zip(found, wanted, strict=True)]
+        self.ids, self.many, self.sound = np.concatenate([self.ids, new]), np.concatenate([self.many, many]), np.concatenate([self.sound, np.array(sound, bool)])
         self.starts = np.cumsum(self.many) - self.many
 
     def tokens(self, known: np.ndarray) -> np.ndarray:
