@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from siltwork.operators import caches
+from siltwork.operators import ann, caches, dense
+from siltwork.plans import index
 from siltwork.plans.tables import now, read
 from siltwork.store import shared
 
@@ -27,10 +28,37 @@ def answer_cache_layers(spark, d):
     return cache.get(probes, at).select("query_id", "entry_id", "similarity", "answer")
 
 
-NAMES = "answer_cache_layers".split()
+def _vectors(spark, d):
+    rows = read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return rows, rows.filter("id % 50 = 0").withColumnRenamed("id", "query_id")
+
+
+def ann_topk(spark, d):
+    """Every vector indexed in two additions, with some taken out and put back in; searched in all lists, so that the result is the exact one."""
+    vectors, probes = _vectors(spark, d)
+    kept = ann.Inverted(spark, _scratch(spark)).build(vectors.filter("id % 3 > 0"))
+    kept.add(vectors.filter("id % 3 < 2"))
+    kept.remove(vectors.filter("id % 7 = 0"))
+    kept.add(vectors.filter("id % 7 = 0"))
+    return kept.search(probes, 10, ann.MOST_LISTS).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+def ann_recall(spark, d):
+    """Recall of the ten nearest by calibrated probes, over all queries: whether it reaches 0.9."""
+    vectors, probes = _vectors(spark, d)
+    kept = ann.Inverted(spark, _scratch(spark)).build(vectors)
+    kept.calibrate()
+    exact = dense.top_k(vectors, probes, 10)
+    each = ann.recall(kept.search(probes, 10), exact)
+    return each.agg(F.count(F.lit(1)).alias("n_queries"), (F.avg("recall") >= 0.9).alias("enough"))
+
+
+NAMES = "answer_cache_layers ann_topk ann_recall".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLES = {
     "answer_cache_layers": """SELECT query_id, entry_id, similarity, 'new-' || entry_id AS answer FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, entry_id) AS n FROM (
         SELECT a.vec_id AS query_id, b.vec_id AS entry_id, round(list_cosine_similarity(list_transform(a.embedding, lambda x: x::DOUBLE + 0.02), b.embedding::DOUBLE[]), 6) AS similarity
         FROM embeddings a JOIN embeddings b ON a.label = b.label WHERE a.vec_id % 50 < 2 AND b.vec_id % 2 = 0)) WHERE n = 1 AND similarity >= 0.95""",
+    "ann_topk": index.ORACLES["vector_topk"],
+    "ann_recall": "SELECT count(*) AS n_queries, true AS enough FROM embeddings WHERE vec_id % 50 = 0",
 }
