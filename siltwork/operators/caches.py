@@ -30,7 +30,14 @@ class Folder:
             return value
         if not self._fs.exists(at):
             return None
-        return json.loads("\n".join(r.value for r in self.spark.read.text(f"{self.path}/{name}.json").collect()))
+        stream = self._fs.open(at)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def at(self, name: str):
+        return self._fs.makeQualified(self._p(f"{self.path}/{name}"))
 
     def drop(self, name: str) -> bool:
         return self._fs.delete(self._p(f"{self.path}/{name}"), True)

@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from siltwork.operators import ann, caches, dense
-from siltwork.plans import index
-from siltwork.plans.tables import now, read
+from siltwork.operators import ann, caches, dense, manifest, segments
+from siltwork.plans import corpus, index
+from siltwork.plans.tables import now, queries_of, read
 from siltwork.store import shared
 
 
@@ -53,12 +53,86 @@ def ann_recall(spark, d):
     return each.agg(F.count(F.lit(1)).alias("n_queries"), (F.avg("recall") >= 0.9).alias("enough"))
 
 
-NAMES = "answer_cache_layers ann_topk ann_recall".split()
+def _grown(spark, d):
+    """An index grown in three additions: the first two thirds of the documents with every fifth text cut short, then those whole, then the rest; strays come and go."""
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    kept = segments.Segments(spark, _scratch(spark))
+    fifth = F.col("id") % 5 == 0
+    state = kept.added([], docs.filter("id % 3 < 2").withColumn("text", F.when(fifth, F.substring("text", 1, 40)).otherwise(F.col("text"))))
+    state = kept.added(state, docs.filter(fifth).unionByName(docs.filter("id % 10 = 0").withColumn("id", F.col("id") + 10_000_000)))
+    return kept, kept.added(state, docs.filter("id % 3 = 2").filter(~fifth), docs.filter("id % 10 = 0").select((F.col("id") + 10_000_000).alias("id")))
+
+
+def segments_topk(spark, d):
+    kept, state = _grown(spark, d)
+    return kept.top(state, queries_of(spark, d), 10).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+def segments_stats(spark, d):
+    """Counts that the segments' signed changes add up to."""
+    kept, state = _grown(spark, d)
+    merged = kept.merged(state)
+    ix, one = kept.index(state), kept.index(merged)
+    n = lambda i, name: i.terms.agg(F.count(F.lit(1)).alias(f"{name}_terms"), F.sum("df").alias(f"{name}_df"))
+    sizes = ix.stats.select("n", F.round("avgdl", 6).alias("avgdl"))
+    return sizes.join(n(ix, "grown")).join(n(one, "merged")).join(one.postings.agg(F.count(F.lit(1)).alias("n_postings")))
+
+
+def _versioned(spark, d):
+    docs = read(spark, d, "documents").select(F.concat("source", F.lit("/"), "doc_id").alias("source_uri"), "doc_id", F.lit(1).alias("version"), F.length("text").alias("n"))
+    kept = manifest.Manifests(spark, _scratch(spark))
+    kept.stage("first", docs)
+    kept.promote("first")
+    return kept, docs
+
+
+def versions_race(spark, d):
+    """Two writers stage on one version: changes of other buckets are joined, changes of the same fail and are staged again; a version that is dropped leaves no trace."""
+    kept, docs = _versioned(spark, d)
+    bucket = kept.bucket()
+    kept.stage("dropped", docs.filter(bucket < 9).withColumn("version", F.lit(9)))
+    kept.stage("left", docs.filter(bucket < 3).withColumn("version", F.lit(2)))
+    kept.stage("right", docs.filter((bucket >= 3) & (bucket < 6)).withColumn("version", F.lit(3)))
+    kept.stage("late", docs.filter(bucket == 4).withColumn("version", F.lit(4)))
+    kept.promote("left")
+    kept.promote("right")
+    try:
+        kept.promote("late")
+    except manifest.Conflict:
+        kept.stage("late", docs.filter((bucket == 4) & (F.col("doc_id") % 2 == 0)).withColumn("version", F.lit(5)))
+        kept.promote("late")
+    kept.discard("dropped")
+    rows = kept.read().select("doc_id", "version", kept.bucket().alias("bucket"))
+    right = F.when(F.col("bucket") < 3, 2).when((F.col("bucket") == 4) & (F.col("doc_id") % 2 == 0), 5).when(F.col("bucket") < 6, 3).otherwise(1)
+    return rows.select("doc_id", (F.col("version") == right).alias("as_expected"))
+
+
+def versions_carry_over(spark, d):
+    """A change of one document writes one bucket anew and names the files of the others again; what expired goes; going back takes effect at once."""
+    kept, docs = _versioned(spark, d)
+    before = kept._now()[1]["files"]
+    kept.stage("second", docs.filter("doc_id = 7").withColumn("version", F.lit(2)), dead=F.lit(False))
+    kept.promote("second")
+    after = kept._now()[1]["files"]
+    same = sum(after.get(b) == f for b, f in before.items())
+    kept.stage("third", docs.filter("doc_id = 8").withColumn("version", F.lit(3)), dead=F.col("n") < 400)
+    kept.promote("third")
+    third = kept.read().agg(F.count(F.lit(1)).alias("n_third"))
+    kept.back_to(2)
+    return third.crossJoin(kept.read().agg(F.count(F.lit(1)).alias("n_points"), F.count_if(F.col("version") == 2).alias("n_new"))).withColumn("one_bucket_written", F.lit(same == len(before) - 1))
+
+
+NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLES = {
     "answer_cache_layers": """SELECT query_id, entry_id, similarity, 'new-' || entry_id AS answer FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, entry_id) AS n FROM (
         SELECT a.vec_id AS query_id, b.vec_id AS entry_id, round(list_cosine_similarity(list_transform(a.embedding, lambda x: x::DOUBLE + 0.02), b.embedding::DOUBLE[]), 6) AS similarity
         FROM embeddings a JOIN embeddings b ON a.label = b.label WHERE a.vec_id % 50 < 2 AND b.vec_id % 2 = 0)) WHERE n = 1 AND similarity >= 0.95""",
     "ann_topk": index.ORACLES["vector_topk"],
+    "segments_topk": corpus.ORACLES["bm25_topk"],
+    "segments_stats": f"""WITH t AS (SELECT doc_id, {corpus.TOK.format("text")} AS t FROM documents), p AS (SELECT DISTINCT doc_id, unnest(t) AS term FROM t)
+        SELECT (SELECT count(*) FROM t) AS n, (SELECT round(avg(len(t)), 6) FROM t) AS avgdl, count(DISTINCT term) AS grown_terms, count(*) AS grown_df, count(DISTINCT term) AS merged_terms, count(*) AS merged_df, count(*) AS n_postings FROM p""",
+    "versions_race": "SELECT doc_id, true AS as_expected FROM documents",
+    "versions_carry_over": "SELECT (SELECT count(*) FROM documents WHERE length(text) >= 400 OR doc_id = 8) AS n_third, count(*) AS n_points, 1 AS n_new, true AS one_bucket_written FROM documents",
     "ann_recall": "SELECT count(*) AS n_queries, true AS enough FROM embeddings WHERE vec_id % 50 = 0",
 }
