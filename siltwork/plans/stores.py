@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from siltwork.operators import ann, caches, dense, manifest, segments
+from siltwork.operators import ann, caches, dedup, dense, hash_store, manifest, segments
 from siltwork.plans import corpus, index
 from siltwork.plans.tables import now, queries_of, read
 from siltwork.store import shared
@@ -122,9 +122,47 @@ def versions_carry_over(spark, d):
     return third.crossJoin(kept.read().agg(F.count(F.lit(1)).alias("n_points"), F.count_if(F.col("version") == 2).alias("n_new"))).withColumn("one_bucket_written", F.lit(same == len(before) - 1))
 
 
-NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over".split()
+def _confirmed(spark, d):
+    """The labelled documents, confirmed on five days."""
+    rows, store = hash_store_rows(spark, d), hash_store.HashStore(spark, _scratch(spark), 16, 4)
+    for day in (0, 10, 20, 30, 40):
+        at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(day))
+        store.confirm(rows.filter(F.expr(f"floor(doc_id % 50 / 10) = {day // 10}")), at)
+    return store
+
+
+def hash_store_rows(spark, d):
+    return dedup.hashed(read(spark, d, "documents").select("doc_id", F.col("text").alias("content"))).join(read(spark, d, "labels").select("doc_id"), "doc_id", "left_semi")
+
+
+def hash_store_dedup(spark, d):
+    """Documents that the store has not confirmed within 30 days: only buckets that the filters name are read."""
+    docs = dedup.hashed(read(spark, d, "documents").select("doc_id", F.col("text").alias("content")))
+    return _confirmed(spark, d).new_documents(docs, now()).select("doc_id", "content_hash")
+
+
+def hash_store_live(spark, d):
+    """What is left after some documents were forgotten and confirmed again, and the buckets were compacted."""
+    store, rows = _confirmed(spark, d), hash_store_rows(spark, d)
+    store.forget(rows.filter("doc_id % 4 = 0"))
+    store.confirm(rows.filter("doc_id % 8 = 0"), now() - F.expr("interval 1 day"))
+    store.compact(now())
+    store.vacuum()
+    return store.live(now())
+
+
+NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live".split()
 QUERIES = {n: globals()[n] for n in NAMES}
+_HASHES = """h AS (SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE length(text) > 0),
+l AS (SELECT h.*, doc_id % 50 // 10 * 10 AS n FROM h SEMI JOIN labels USING (doc_id)),
+-- the first confirmation stands for 30 days, then the next one counts
+f AS (SELECT content_hash, min(n) AS n FROM l GROUP BY 1),
+g AS (SELECT content_hash, min(l.n) AS n FROM l JOIN f USING (content_hash) WHERE l.n >= f.n + 30 GROUP BY 1),
+c AS (SELECT content_hash, TIMESTAMP '2024-01-01' + n::INTEGER * INTERVAL 1 DAY AS t FROM (SELECT * FROM f UNION ALL SELECT * FROM g) WHERE n + 30 > 45)"""
 ORACLES = {
+    "hash_store_dedup": f"WITH {_HASHES} SELECT doc_id, content_hash FROM h ANTI JOIN c USING (content_hash)",
+    "hash_store_live": f"""WITH {_HASHES}, x AS (SELECT * FROM c WHERE content_hash NOT IN (SELECT content_hash FROM l WHERE doc_id % 4 = 0)
+        UNION ALL SELECT content_hash, TIMESTAMP '2024-02-14' FROM l WHERE doc_id % 8 = 0) SELECT content_hash, min(t) AS confirmed_at FROM x GROUP BY 1""",
     "answer_cache_layers": """SELECT query_id, entry_id, similarity, 'new-' || entry_id AS answer FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, entry_id) AS n FROM (
         SELECT a.vec_id AS query_id, b.vec_id AS entry_id, round(list_cosine_similarity(list_transform(a.embedding, lambda x: x::DOUBLE + 0.02), b.embedding::DOUBLE[]), 6) AS similarity
         FROM embeddings a JOIN embeddings b ON a.label = b.label WHERE a.vec_id % 50 < 2 AND b.vec_id % 2 = 0)) WHERE n = 1 AND similarity >= 0.95""",
