@@ -11,8 +11,13 @@ def expires_at(now: Column, days: int) -> Column:
     return now + F.make_dt_interval(F.lit(days)) if days > 0 else F.lit(None).cast("timestamp_ntz")
 
 
+def lives(now: Column) -> Column:
+    """Whether a point (expires_at) has not expired."""
+    return F.coalesce(F.col("expires_at") >= now, F.lit(True))
+
+
 def unexpired(points: DataFrame, now: Column) -> DataFrame:
-    return points.filter(F.col("expires_at").isNull() | (F.col("expires_at") >= now))
+    return points.filter(lives(now))
 
 
 def upserted(documents: DataFrame, new: DataFrame) -> DataFrame:

@@ -125,11 +125,12 @@ class Segments:
 
     def index(self, state: list[str], queries: DataFrame | None = None) -> bm25.Bm25:
         """The index that a state is, for bm25.scores (of these queries)."""
-        size = self._read(state, "stats", STATS).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("length")).select("n", F.try_divide("length", "n").alias("avgdl"))
-        raw = self.terms(state).join(F.broadcast(size.select("n"))).withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).drop("n")
-        mean = raw.agg(F.avg("raw").alias("avg_idf"))
-        known = raw.join(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, bm25.EPSILON * F.col("avg_idf")).otherwise(F.col("raw")).alias("idf"))
-        return bm25.Bm25(self.postings(state, queries).select("id", "dl", "term", "tf"), known, size.join(F.broadcast(mean)))
+        size = self._read(state, "stats", STATS).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("length").alias("length")).first()
+        raw = stage(self.terms(state).withColumn("raw", F.log(F.lit(size.n) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)), "terms")
+        mean = raw.agg(F.avg("raw").alias("x")).first().x
+        known = raw.select("term", "df", F.when(F.col("raw") < 0, bm25.EPSILON * F.lit(mean)).otherwise(F.col("raw")).alias("idf"))
+        stats = self.spark.createDataFrame([(size.n, size.length / size.n if size.n else None, mean)], "n long, avgdl double, avg_idf double")
+        return bm25.Bm25(self.postings(state, queries).select("id", "dl", "term", "tf"), known, stats)
 
     def top(self, state: list[str], queries: DataFrame, k: int, digits: int = 6) -> DataFrame:
         """(query_id, id, score, rank): the best ``k`` of each query (query_id, query) by BM25, reading the blocks that can matter."""

@@ -6,18 +6,16 @@ import time
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions.text import point_id
-from siltwork.operators import audit, bm25, caches, chunking, cost, dedup, embed, evaluate, lifecycle, metrics, upsert
+from siltwork.operators import audit, bm25, caches, chunking, cost, dedup, embed, evaluate, hash_store, lifecycle, manifest, metrics, segments, upsert
 from siltwork.plans import steps
 from siltwork.plans.search import Search, retrieve
 from siltwork.plans.steps import Step
 from siltwork.store import stage
 
-HASHES = "content_hash string, confirmed_at timestamp_ntz"
-
 
 @dataclass
 class Settings:
@@ -31,6 +29,7 @@ class Settings:
     batch_size: int = 100
     budget: float = 50.0
     dollars_per_million: float = 0.0
+    keep: int = 3
 
 
 @dataclass
@@ -58,19 +57,20 @@ class Run:
     tell: Callable[[str], None] | None = None
 
     def __post_init__(self):
-        self.versions = lifecycle.Versions(self.spark, f"{self.path}/index")
+        self.versions = manifest.Manifests(self.spark, f"{self.path}/index")
+        self.sparse = segments.Segments(self.spark, f"{self.path}/sparse")
+        self.hashes = hash_store.HashStore(self.spark, f"{self.path}/hashes")
         self.audit = audit.Audit(self.spark, f"{self.path}/audit")
-        self.searches = caches.SearchCache(self.spark, f"{self.path}/searches")
         self.answers = caches.AnswerCache(self.spark, f"{self.path}/answers")
 
-    # The steps, by what they make.
+    # The steps, by what they make. Counts are observed while a table is written, not counted afterwards.
 
     def dedup(self, docs: DataFrame):
-        self.spark.createDataFrame([], HASHES).write.mode("append").parquet(f"{self.path}/hashes")
-        store = self.spark.read.schema(HASHES).parquet(f"{self.path}/hashes")
-        hashed = dedup.hashed(docs)
-        new = stage(dedup.new_documents(hashed, dedup.live(store, self.now)), "new")
-        return store, new, docs.count(), new.count()
+        seen, fresh = Observation(), Observation()
+        hashed = dedup.hashed(docs.observe(seen, F.count(F.lit(1)).alias("n")))
+        hashed = stage(hashed, "hashed")
+        new = stage(self.hashes.new_documents(hashed, self.now).observe(fresh, F.count(F.lit(1)).alias("n")), "new")
+        return new, seen.get["n"], fresh.get["n"]
 
     def chunk(self, new: DataFrame):
         s = self.settings
@@ -79,35 +79,35 @@ class Run:
         return rows.drop("metadata", "doc_id")
 
     def embed(self, chunks: DataFrame):
-        points = stage(embed.embedded(chunks), "points")
-        return points, cost.embedding_cost(points, "chunk_text", self.settings.dollars_per_million).first().cost or 0.0
+        seen = Observation()
+        points = stage(embed.embedded(chunks).observe(seen, F.count(F.lit(1)).alias("n"), F.sum("token_count").alias("words")), "points")
+        return points, seen.get["n"], (seen.get["words"] or 0) * cost.TOKENS_A_WORD / 1e6 * self.settings.dollars_per_million
 
     def write(self, points: DataFrame):
         """Sends batches to the outside store, if there is one, and stages what landed with what production keeps."""
-        sent = None
+        landed, whole, lost = points, points.select("content_hash").distinct(), 0
         if self.send is not None:
-            result = stage(upsert.sent(upsert.batched(points, self.settings.batch_size), self.send), "sent")
-            sent = result.filter("ok").select("content_hash", "chunk_index")
-            landed = points.join(sent.dropDuplicates(), ["content_hash", "chunk_index"], "left_semi")
-        else:
-            landed = points
-        whole = dedup.landed_hashes(points, landed)
-        production, expired = None, 0
-        if self.versions.current():
-            held = self.versions.read()
-            production = lifecycle.unexpired(held, self.now)
-            expired = held.count() - production.count()
-        staged = self.versions.stage(self.run_id, lifecycle.promoted(production, landed) if production is not None else landed)
-        return staged, stage(whole, "landed"), points.count(), points.count() - landed.count(), expired
-
-    def prepare(self, staged: DataFrame):
-        """The sparse index that searches of the new version start from."""
-        index = bm25.index(numbered(staged))
-        self.searches.put("kb", self.run_id, index, time.time())
-        return self.searches.get("kb", self.run_id, time.time()) or index
-
-    def evaluate(self, staged: DataFrame, index: bm25.Bm25, benchmark: DataFrame):
-        return evaluation(numbered(staged), benchmark, self.settings, index)
+            seen = Observation()
+            result = upsert.sent(upsert.batched(points, self.settings.batch_size), self.send)
+            result = stage(result.observe(seen, F.count_if(~F.col("ok")).alias("lost")), "sent")
+            if lost := seen.get["lost"]:
+                sent = result.filter("ok").select("content_hash", "chunk_index")
+                landed = points.join(sent.dropDuplicates(), ["content_hash", "chunk_index"], "left_semi")
+                whole = dedup.landed_hashes(points, landed)
+        staged = self.versions.stage(self.run_id, landed, dead=~lifecycle.lives(self.now))
+        return staged, landed, whole, lost, self.versions.staged(self.run_id)["dropped"]
+
+    def prepare(self, staged: DataFrame, landed: DataFrame):
+        """The sparse index of the new version: a segment for what landed, beside the segments that production has."""
+        state, removed = self.versions.notes().get("sparse", []), None
+        if state:
+            gone = self.versions.read().join(landed.select("source_uri").distinct(), "source_uri", "left_semi").unionByName(self.versions.read().filter(~lifecycle.lives(self.now)))
+            removed = numbered(gone).select("id")
+        self.versions.note(self.run_id, "sparse", state := self.sparse.added(state, numbered(landed), removed))
+        return state
+
+    def evaluate(self, staged: DataFrame, state: list[str], benchmark: DataFrame):
+        return evaluation(numbered(staged), benchmark, self.settings, self.sparse.index(state, benchmark))
 
     def decide(self, quality: dict, n_new: int):
         if not n_new:
@@ -120,36 +120,40 @@ class Run:
             samples = self.spark.createDataFrame([], "ts double, cost double")
         return cost.task(samples, F.unix_timestamp(self.now.cast("timestamp")).cast("double"), dollars, self.settings.budget, f"{self.path}/cost")
 
-    def promote(self, store: DataFrame, landed: DataFrame, decision: str):
+    def promote(self, whole: DataFrame, decision: str):
+        """One entry of the log makes points and sparse index those of production together."""
         self.versions.promote(self.run_id)
-        dedup.confirm(store, landed, self.now).write.mode("append").parquet(f"{self.path}/hashes")
+        self.hashes.confirm(whole, self.now)
         self.answers.invalidate("kb")
+        self.sparse.drop(self.versions.outlived("sparse", self.settings.keep))
+        self.versions.vacuum(self.settings.keep)
         return "promoted"
 
     def discard(self):
-        """The staged version, its search index and answers go; its documents were never confirmed, so the next run sees them again."""
+        """The staged version and its segment go; production keeps its own, and the documents were never confirmed, so the next run sees them again."""
+        own = set(self.versions.notes(self.run_id).get("sparse", [])) - set(self.versions.notes().get("sparse", []))
         self.versions.discard(self.run_id)
-        self.searches.invalidate("kb")
+        self.sparse.drop(sorted(own))
         self.answers.invalidate("kb")
         return "discarded"
 
     def steps(self) -> list[Step]:
         return [
-            Step("dedup", self.dedup, ("docs",), ("store", "new", "n_documents", "n_new")),
+            Step("dedup", self.dedup, ("docs",), ("new", "n_documents", "n_new")),
             Step("chunk", self.chunk, ("new",), ("chunks",), given="n_new"),
-            Step("embed", self.embed, ("chunks",), ("points", "dollars"), given="n_new"),
-            Step("write", self.write, ("points",), ("staged", "landed", "n_chunks", "n_lost", "n_expired"), given="n_new"),
-            Step("prepare", self.prepare, ("staged",), ("index",), given="n_new"),
-            Step("evaluate", self.evaluate, ("staged", "index", "benchmark"), ("quality",), given="n_new"),
+            Step("embed", self.embed, ("chunks",), ("points", "n_chunks", "dollars"), given="n_new"),
+            Step("write", self.write, ("points",), ("staged", "landed", "whole", "n_lost", "n_expired"), given="n_new"),
+            Step("prepare", self.prepare, ("staged", "landed"), ("state",), given="n_new"),
+            Step("evaluate", self.evaluate, ("staged", "state", "benchmark"), ("quality",), given="n_new"),
             Step("decide", self.decide, ("quality", "n_new"), ("decision",)),
             Step("forecast", self.forecast, ("samples", "dollars"), ("costs",)),
-            Step("promote", self.promote, ("store", "landed", "decision"), ("outcome",), "promote"),
+            Step("promote", self.promote, ("whole", "decision"), ("outcome",), "promote"),
             Step("discard", lambda decision: self.discard(), ("decision",), ("outcome",), "rollback"),
             Step("leave", lambda decision: "left", ("decision",), ("outcome",), "no_change"),
-            Step("record", self.record, ("docs", "new", "chunks", "quality", "costs", "outcome", "n_documents", "n_new", "n_chunks", "n_lost", "n_expired", "dollars", "decision"), ("report",)),
+            Step("record", self.record, ("new", "points", "quality", "costs", "outcome", "n_documents", "n_new", "n_chunks", "n_lost", "n_expired", "dollars", "decision"), ("report",)),
         ]
 
-    def record(self, docs, new, chunks, quality, costs, outcome, n_documents, n_new, n_chunks, n_lost, n_expired, dollars, decision):
+    def record(self, new, points, quality, costs, outcome, n_documents, n_new, n_chunks, n_lost, n_expired, dollars, decision):
         s, at = self.settings, self.now
         if decision == "no_change":  # nothing was chunked, written or measured
             n_chunks = n_lost = n_expired = 0
@@ -157,7 +161,7 @@ class Run:
         report = Report(self.run_id, decision, n_documents, n_new, n_chunks, n_lost, quality["recall_at_5"], quality["mrr"])
         if decision == "promote":
             self.audit.put_documents(audit.document_rows(new, at))
-            self.audit.append("chunks", audit.chunk_rows(chunks.withColumn("embedding_model", F.lit("hashed-features-384")), self.audit.documents(), at))
+            self.audit.append("chunks", audit.chunk_rows(points, self.audit.documents(), at))
         self.audit.append("eval_results", audit.eval_rows(self.spark.createDataFrame([(self.run_id, "kb", quality["total_queries"], quality["recall_at_1"], quality["recall_at_5"], quality["recall_at_10"], quality["mrr"], quality["milliseconds"])],
                           "run_id string, collection_name string, total_queries long, recall_at_1 double, recall_at_5 double, recall_at_10 double, mrr double, avg_query_latency_ms double"), s.threshold, at))
         self._end("rolled_back" if decision == "rollback" else "success", None, n_documents, n_new, n_chunks, n_chunks, n_chunks - n_lost)

@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from siltwork.operators import dedup, lifecycle
-from siltwork.plans import catalog, refresh
+from siltwork.operators import bm25, dedup, manifest, segments
+from siltwork.plans import catalog, refresh, steps
 from siltwork.sources import documents as S
 from siltwork.streaming import ingest
 
@@ -95,11 +95,43 @@ def test_refresh_promotes_carries_over_and_rolls_back(spark, tmp_path):
     assert refresh.run(spark, "r2", made(first), bench, path, now).decision == "no_change"
     r = refresh.run(spark, "r3", made([*first, ("b.txt", "remote work policy changed")]), bench, path, now)
     assert (r.decision, r.n_new) == ("promote", 1)
-    store = lifecycle.Versions(spark, f"{path}/index")
+    store = manifest.Manifests(spark, f"{path}/index")
     assert store.current() == "r3" and sorted((x.filename, x.chunk_text[-7:]) for x in store.read().collect()) == [("a.txt", " a year"), ("b.txt", "changed"), ("c.txt", " family")]
     hard = spark.createDataFrame([(1, "unrelated", ["z.txt"])], bench.schema)
     assert refresh.run(spark, "r4", made([("d.txt", "new words")]), hard, path, now).decision == "rollback"
-    assert store.current() == "r3" and refresh.run(spark, "r5", made([("d.txt", "new words")]), bench, path, now).decision == "promote"
+    sparse = segments.Segments(spark, f"{path}/sparse")
+    words = lambda: {r.term for r in sparse.terms(store.notes()["sparse"]).collect()}
+    assert store.current() == "r3" and "words" not in words() and "changed" in words()  # production keeps its own index
+    assert refresh.run(spark, "r5", made([("d.txt", "new words")]), bench, path, now).decision == "promote"
+    assert "words" in words() and len(store.notes()["sparse"]) == 3
+    whole = bm25.index(refresh.numbered(store.read()))
+    asked = spark.createDataFrame([(1, "remote work changed days")], "query_id long, query string")
+    rows = lambda ix: sorted((r.id, round(r.score, 9)) for r in bm25.scores(ix, asked).collect())
+    assert rows(sparse.index(store.notes()["sparse"])) == rows(whole) != []
+    # What expired goes with the next run, from points and sparse index alike.
+    later = F.lit("2025-03-01").cast("timestamp_ntz")
+    assert refresh.run(spark, "r6", made([("e.txt", "only this")]), bench, path, later, refresh.Settings(threshold=0.0)).decision == "promote"
+    assert [r.filename for r in store.read().collect()] == ["e.txt"] and words() == {"only", "this"}
+
+
+def test_a_run_that_meets_another_fails_and_confirms_nothing(spark, tmp_path):
+    made = lambda rows: spark.createDataFrame([(t, "s", f"s://{n}", n) for n, t in rows], "content string, source string, source_uri string, filename string")
+    now, path = F.lit("2024-02-15").cast("timestamp_ntz"), str(tmp_path / "kb")
+    bench = spark.createDataFrame([(1, "x", ["a.txt"])], "query_id long, query string, expected_docs array<string>")
+    free = refresh.Settings(threshold=0.0)
+    refresh.run(spark, "r1", made([("a.txt", "x y")]), bench, path, now, free)
+    run = refresh.Run(spark, "r2", path, now, free)
+    real = run.versions.promote
+
+    def slow(version):
+        refresh.run(spark, "r3", made([("a.txt", "x other")]), bench, path, now, free)
+        return real(version)
+
+    run.versions.promote = slow
+    with pytest.raises(steps.StepFailed):
+        run.go(made([("a.txt", "x late")]), bench)
+    assert run.versions.current() == "r3" and [r.chunk_text for r in run.versions.read().collect()] == ["x other"]
+    assert refresh.run(spark, "r4", made([("a.txt", "x late")]), bench, path, now, free).n_new == 1
 
 
 def test_entry(spark):
