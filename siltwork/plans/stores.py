@@ -10,6 +10,7 @@ from siltwork.operators import ann, caches, dedup, dense, hash_store, manifest,
 from siltwork.plans import corpus, index
 from siltwork.plans.tables import now, queries_of, read
 from siltwork.store import shared
+from siltwork.streaming import ingest
 
 
 def _scratch(spark) -> str:
@@ -151,7 +152,21 @@ def hash_store_live(spark, d):
     return store.live(now())
 
 
-NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live".split()
+def streaming_phases(spark, d):
+    """Documents come four times: handed out, a third of them landed at noon, again a day later, and again after the confirmations expired; each a file, read one a batch."""
+    path = _scratch(spark)
+    docs = dedup.hashed(read(spark, d, "documents").select("doc_id", F.col("text").alias("content"))).select("doc_id", "content_hash")
+    came = lambda day: F.expr(f"timestamp'{day} 00:00:00' + make_dt_interval(0, 0, 0, doc_id)")
+    for day, landed in (("2024-01-01", False), ("2024-01-01", True), ("2024-01-02", False), ("2024-02-15", False)):
+        rows = docs.filter("doc_id % 3 = 0").withColumn("at", F.expr("timestamp'2024-01-01 12:00:00'")) if landed else docs.withColumn("at", came(day))
+        rows.select("content_hash", "at", F.lit(landed).alias("landed")).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema("content_hash string, at timestamp, landed boolean").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    with ingest.rocksdb(spark):
+        ingest.phases(stream, 6 * 3600).writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(ingest.EVENTS).parquet(f"{path}/out").select("content_hash", "event", F.col("at").cast("timestamp_ntz").alias("at"))
+
+
+NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 _HASHES = """h AS (SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE length(text) > 0),
 l AS (SELECT h.*, doc_id % 50 // 10 * 10 AS n FROM h SEMI JOIN labels USING (doc_id)),
@@ -160,6 +175,9 @@ f AS (SELECT content_hash, min(n) AS n FROM l GROUP BY 1),
 g AS (SELECT content_hash, min(l.n) AS n FROM l JOIN f USING (content_hash) WHERE l.n >= f.n + 30 GROUP BY 1),
 c AS (SELECT content_hash, TIMESTAMP '2024-01-01' + n::INTEGER * INTERVAL 1 DAY AS t FROM (SELECT * FROM f UNION ALL SELECT * FROM g) WHERE n + 30 > 45)"""
 ORACLES = {
+    "streaming_phases": """WITH h AS (SELECT sha256(text) AS content_hash, min(doc_id) AS first, bool_or(doc_id % 3 = 0) AS landed FROM documents WHERE length(text) > 0 GROUP BY 1)
+        SELECT content_hash, 'new' AS event, TIMESTAMP '2024-01-01' + first::INTEGER * INTERVAL 1 SECOND AS at FROM h UNION ALL SELECT content_hash, 'confirmed', TIMESTAMP '2024-01-01 12:00:00' FROM h WHERE landed
+        UNION ALL SELECT content_hash, 'new', TIMESTAMP '2024-01-02' + first::INTEGER * INTERVAL 1 SECOND FROM h WHERE NOT landed UNION ALL SELECT content_hash, 'new', TIMESTAMP '2024-02-15' + first::INTEGER * INTERVAL 1 SECOND FROM h""",
     "hash_store_dedup": f"WITH {_HASHES} SELECT doc_id, content_hash FROM h ANTI JOIN c USING (content_hash)",
     "hash_store_live": f"""WITH {_HASHES}, x AS (SELECT * FROM c WHERE content_hash NOT IN (SELECT content_hash FROM l WHERE doc_id % 4 = 0)
         UNION ALL SELECT content_hash, TIMESTAMP '2024-02-14' FROM l WHERE doc_id % 8 = 0) SELECT content_hash, min(t) AS confirmed_at FROM x GROUP BY 1""",

@@ -164,3 +164,26 @@ def test_query_against_sql(spark, sf, name):
 def test_the_rest_does_not_import_llm():
     root = Path(__spark_entry__.__file__).parent / "siltwork"
     assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and "siltwork.llm" in p.read_text()]
+
+
+def test_phases_expire_and_survive_a_restart(spark, tmp_path):
+    schema = "content_hash string, at timestamp, landed boolean"
+    made = lambda *rows: spark.createDataFrame([(h, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s), x) for h, s, x in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run(state, files=1):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(str(tmp_path / "in"))
+        with ingest.rocksdb(spark):
+            ingest.phases(stream, 100, 1).writeStream.format("parquet").option("path", str(tmp_path / f"out-{state}")).option("checkpointLocation", str(tmp_path / state)).trigger(availableNow=True).start().awaitTermination()
+        out = spark.read.schema(ingest.EVENTS).parquet(str(tmp_path / f"out-{state}")).collect()
+        return sorted((r.content_hash, r.event, (r.at - datetime.datetime(2024, 1, 1)).total_seconds()) for r in out)
+
+    made(("a", 0, False), ("a", 10, False), ("b", 0, None), (None, 0, False), ("", 0, False), ("c", 5, True))
+    first = run("kept")
+    assert first == [("a", "new", 0), ("b", "new", 0), ("c", "confirmed", 5)]
+    made(("a", 50, True), ("b", 60, False), ("c", 60, False), ("a", 70, True))
+    made(("a", 200, False), ("b", 200, False), ("b", 210, True), ("c", 86_404, False))
+    day = 86_400
+    made(("a", day + 49, False), ("b", day + 300, False), ("a", day + 300, False), ("c", day + 301, False))
+    want = sorted([*first, ("a", "confirmed", 50), ("b", "new", 200), ("b", "confirmed", 210), ("a", "new", day + 300), ("b", "new", day + 300), ("c", "new", day + 301)])
+    assert run("kept") == want == run("kept")  # the second start finds nothing to do
+    assert run("anew") == want
