@@ -28,8 +28,10 @@ from siltwork.store import stage
 
 #: Postings of a block; segments before they are merged; blocks of each term that give a query its first scores.
 BLOCK, MOST, FIRST = 128, 8, 2
+#: Texts that a task counts at a time.
+ROWS = bm25.ROWS
 BLOCKS = "term string, ids array<long>, tfs array<long>, dls array<long>, most long, least long"
-DOCS = "id long, dl long, terms array<string>"
+DOCS = "id long, dl long, terms array<string>, tfs array<long>"
 TERMS = "term string, df long"
 STATS = "n long, length long"
 GONE = "segment string, id long"
@@ -50,6 +52,25 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("term").take(pa.array(start)), *lists, pa.array(np.maximum.reduceat(tf, start)), pa.array(np.minimum.reduceat(dl, start))], names=["term", "ids", "tfs", "dls", "most", "least"])
 
 
+def _forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """DOCS of rows (id, t): the distinct tokens of each text with their occurrences, a few hundred texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            b = batch.slice(at, ROWS)
+            words = [t.split() for t in b.column("t").cast(pa.binary()).to_pylist()]
+            n = np.array([len(w) for w in words], np.int64)
+            coded = pa.array([x for w in words for x in w], pa.binary()).dictionary_encode()
+            size = max(1, len(coded.dictionary))
+            pairs, tf = np.unique(np.repeat(np.arange(len(n)), n) * size + coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), return_counts=True)
+            ends = pa.array(np.append(0, np.cumsum(np.bincount(pairs // size, minlength=len(n)))), pa.int32())
+            terms = coded.dictionary.take(pa.array(pairs % size)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n), pa.ListArray.from_arrays(ends, terms), pa.ListArray.from_arrays(ends, pa.array(tf, pa.int64()))], names=["id", "dl", "terms", "tfs"])
+
+
+def _exploded(docs: DataFrame) -> DataFrame:
+    return docs.select("id", "dl", F.explode(F.arrays_zip("terms", "tfs")).alias("x")).select(F.col("x.terms").alias("term"), "id", F.col("x.tfs").alias("tf"), "dl")
+
+
 class Segments:
     """Segments below a path."""
 
@@ -73,10 +94,8 @@ class Segments:
         """The state with these documents (id, text), in place of those of the same ids, and without the ids of ``removed``."""
         name = f"segment-{uuid.uuid4().hex}"
         at = f"{self.path}/{name}"
-        docs = stage(docs.select("id", "text"), "adding")
-        postings = stage(bm25.postings_of(docs).select("term", "id", "tf", "dl"), "postings")
-        terms = postings.groupBy("id").agg(F.max("dl").alias("dl"), F.collect_list("term").alias("terms"))
-        docs.select(F.col("id").alias("_id")).join(terms, F.col("_id") == F.col("id"), "left").select(F.col("_id").alias("id"), F.coalesce("dl", F.lit(0)).alias("dl"), F.coalesce("terms", F.array().cast("array<string>")).alias("terms")).write.parquet(f"{at}/docs")
+        rows = docs.select(F.col("id").cast("long").alias("id"), F.lower(F.coalesce("text", F.lit(""))).alias("t"))
+        rows.mapInArrow(_forward, DOCS).write.parquet(f"{at}/docs")
         mine = self.spark.read.schema(DOCS).parquet(f"{at}/docs")
         change = mine.select("dl", "terms", F.lit(1).alias("sign"))
         ids = mine.select("id") if removed is None else mine.select("id").unionByName(removed.select("id"))
@@ -86,7 +105,7 @@ class Segments:
             change = change.unionByName(old.select("dl", "terms", F.lit(-1).alias("sign")))
         change.select(F.explode("terms").alias("term"), "sign").groupBy("term").agg(F.sum("sign").alias("df")).filter("df <> 0").write.parquet(f"{at}/terms")
         change.agg(F.coalesce(F.sum("sign"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("sign") * F.col("dl")), F.lit(0)).alias("length")).write.parquet(f"{at}/stats")
-        self._write_blocks(postings, at)
+        self._write_blocks(_exploded(mine), at)
         state = [*state, name]
         return self.merged(state) if len(state) > MOST else state
 
@@ -98,10 +117,10 @@ class Segments:
         """One segment with what is live in all; texts are not read again."""
         name = f"segment-{uuid.uuid4().hex}"
         at = f"{self.path}/{name}"
-        self._live(self._read(state, "docs", DOCS), state).select("id", "dl", "terms").write.parquet(f"{at}/docs")
+        self._live(self._read(state, "docs", DOCS), state).select("id", "dl", "terms", "tfs").write.parquet(f"{at}/docs")
         self.terms(state).write.parquet(f"{at}/terms")
         self._read(state, "stats", STATS).agg(F.sum("n").alias("n"), F.sum("length").alias("length")).write.parquet(f"{at}/stats")
-        self._write_blocks(self.postings(state).select("term", "id", "tf", "dl"), at)
+        self._write_blocks(_exploded(self.spark.read.schema(DOCS).parquet(f"{at}/docs")), at)
         return [name]
 
     def drop(self, names: list[str]) -> None:

@@ -6,10 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from siltwork.operators import ann, caches, dedup, dense, hash_store, manifest, segments
+from siltwork.operators import ann, caches, dedup, dense, evaluate, fitted, hash_store, learned, manifest, segments
 from siltwork.plans import corpus, index
-from siltwork.plans.tables import now, queries_of, read
-from siltwork.store import shared
+from siltwork.plans.tables import now, queries_of, read, truth
+from siltwork.store import shared, stage
 from siltwork.streaming import ingest
 
 
@@ -166,7 +166,52 @@ def streaming_phases(spark, d):
     return spark.read.schema(ingest.EVENTS).parquet(f"{path}/out").select("content_hash", "event", F.col("at").cast("timestamp_ntz").alias("at"))
 
 
-NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases".split()
+def _fitted(spark, d):
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    own, asked = fitted.fitted(docs, queries_of(spark, d))
+    return dense.top_k(own, asked, 10)
+
+
+def fitted_topk(spark, d):
+    """The ten nearest documents of every benchmark query, by vectors fitted to the documents."""
+    return _fitted(spark, d).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+def fitted_eval(spark, d):
+    """Quality of dense retrieval by fitted vectors, over all queries."""
+    ranked = _fitted(spark, d).select("query_id", F.concat(F.lit("doc_"), "id").alias("name"), "rank")
+    return evaluate.summary(evaluate.judged(ranked, truth(spark, d), queries_of(spark, d)))
+
+
+def _learned(spark, d):
+    """Candidates with features; queries of even id teach, the others are held out."""
+    docs, queries = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), queries_of(spark, d)
+    own, asked = fitted.fitted(docs, queries)
+    rows = learned.candidates(queries, docs, own, asked)
+    right = truth(spark, d).select("query_id", F.expr("cast(substring(name, 5) as long)").alias("id"), F.lit(True).alias("right"))
+    return stage(rows.join(right, ["query_id", "id"], "left").withColumn("right", F.coalesce("right", F.lit(False))), "candidates")
+
+
+def learned_rerank(spark, d):
+    """Held-out quality of the learned order beside that of shared words, over all held-out queries: whether it is better, or as good where that leaves nothing to gain."""
+    rows, held = _learned(spark, d), queries_of(spark, d).filter("query_id % 2 = 1")
+    weights = learned.fit(rows.filter("query_id % 2 = 0"))
+    test = learned.scored(rows.filter("query_id % 2 = 1"), weights)
+    expected = test.filter("right").select("query_id", F.col("id").cast("string").alias("name"))
+    quality = {by: evaluate.summary(evaluate.judged(learned.ranked(test, by).withColumn("name", F.col("id").cast("string")), expected, held)).first() for by in ("learned", "lexical")}
+    least = test.filter("right").select("query_id").distinct().count() / max(1, held.count())  # what a perfect order reaches
+    better = quality["learned"].mrr > quality["lexical"].mrr or quality["lexical"].mrr >= round(least, 4)
+    return held.agg(F.count(F.lit(1)).alias("n_held_out")).withColumn("better", F.lit(better))
+
+
+def phrase_features(spark, d):
+    """Shared runs of three words of every query and the ten documents that score best for it by words."""
+    queries, docs = queries_of(spark, d), read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    best = corpus.bm25_topk(spark, d).select("query_id", "id")
+    return best.join(queries, "query_id").join(docs, "id").select("query_id", "id", F.round(learned.phrase_score(F.col("query"), F.col("text")), 6).alias("phrase"))
+
+
+NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases fitted_topk fitted_eval learned_rerank phrase_features".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 _HASHES = """h AS (SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE length(text) > 0),
 l AS (SELECT h.*, doc_id % 50 // 10 * 10 AS n FROM h SEMI JOIN labels USING (doc_id)),
@@ -174,7 +219,25 @@ l AS (SELECT h.*, doc_id % 50 // 10 * 10 AS n FROM h SEMI JOIN labels USING (doc
 f AS (SELECT content_hash, min(n) AS n FROM l GROUP BY 1),
 g AS (SELECT content_hash, min(l.n) AS n FROM l JOIN f USING (content_hash) WHERE l.n >= f.n + 30 GROUP BY 1),
 c AS (SELECT content_hash, TIMESTAMP '2024-01-01' + n::INTEGER * INTERVAL 1 DAY AS t FROM (SELECT * FROM f UNION ALL SELECT * FROM g) WHERE n + 30 > 45)"""
+#: Cosines of the projected TF-IDF vectors, four signs for each of the 64 hexadecimal digits of a term.
+_SIGNS = ", ".join(f"sum(tf * idf * (1 - 2 * ((x >> {b}) & 1))) AS s{b}" for b in range(4))
+_FITTED = f"""d AS (SELECT doc_id AS id, {corpus.TOK.format("text")} AS t FROM documents), q AS (SELECT item_id AS id, {corpus.TOK.format("text")} AS t FROM benchmark),
+p AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(t) AS term FROM d) GROUP BY ALL), pq AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(t) AS term FROM q) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM documents), w AS (SELECT term, ln((n + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf FROM p, n GROUP BY term, n),
+b AS (SELECT term, j, instr('0123456789abcdef', substr(sha256(term), j, 1)) - 1 AS x FROM (SELECT DISTINCT term FROM p UNION SELECT DISTINCT term FROM pq), unnest(range(1, 65)) AS r(j)),
+v AS (SELECT id, j, {_SIGNS} FROM p JOIN w USING (term) JOIN b USING (term) GROUP BY id, j),
+vq AS (SELECT id, j, {_SIGNS} FROM (SELECT pq.id, pq.term, tf, coalesce(idf, ln(n + 1.0::DOUBLE) + 1) AS idf FROM pq LEFT JOIN w USING (term), n) JOIN b USING (term) GROUP BY id, j),
+nv AS (SELECT id, sqrt(sum(s0 * s0 + s1 * s1 + s2 * s2 + s3 * s3)) AS l FROM v GROUP BY id), nq AS (SELECT id, sqrt(sum(s0 * s0 + s1 * s1 + s2 * s2 + s3 * s3)) AS l FROM vq GROUP BY id),
+c AS (SELECT vq.id AS query_id, v.id, sum(vq.s0 * v.s0 + vq.s1 * v.s1 + vq.s2 * v.s2 + vq.s3 * v.s3) AS dot FROM vq JOIN v USING (j) GROUP BY ALL),
+de AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM (SELECT query_id, c.id, dot / (nq.l * nv.l) AS score FROM c JOIN nq ON nq.id = query_id JOIN nv ON nv.id = c.id)) WHERE rank <= 10)"""
 ORACLES = {
+    "learned_rerank": "SELECT count(*) AS n_held_out, true AS better FROM benchmark WHERE item_id % 2 = 1",
+    "phrase_features": f"""WITH {corpus._SCORES}, b AS (SELECT query_id, id FROM rk WHERE rank <= 10),
+        rq AS (SELECT item_id, list_distinct([t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] FOR i IN range(1, len(t) - 1)]) AS r FROM (SELECT item_id, {corpus.TOK.format("text")} AS t FROM benchmark)),
+        rd AS (SELECT id, [t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] FOR i IN range(1, len(t) - 1)] AS r FROM d)
+        SELECT query_id, b.id, round(coalesce(len(list_intersect(rq.r, rd.r)) / nullif(len(rq.r), 0), 0), 6) AS phrase FROM b JOIN rq ON item_id = query_id JOIN rd ON rd.id = b.id""",
+    "fitted_topk": f"WITH {_FITTED} SELECT query_id, id, round(score, 6) AS score, rank::INTEGER AS rank FROM de",
+    "fitted_eval": f"WITH {corpus._judge(_FITTED, 'de')} SELECT {corpus._MEANS}",
     "streaming_phases": """WITH h AS (SELECT sha256(text) AS content_hash, min(doc_id) AS first, bool_or(doc_id % 3 = 0) AS landed FROM documents WHERE length(text) > 0 GROUP BY 1)
         SELECT content_hash, 'new' AS event, TIMESTAMP '2024-01-01' + first::INTEGER * INTERVAL 1 SECOND AS at FROM h UNION ALL SELECT content_hash, 'confirmed', TIMESTAMP '2024-01-01 12:00:00' FROM h WHERE landed
         UNION ALL SELECT content_hash, 'new', TIMESTAMP '2024-01-02' + first::INTEGER * INTERVAL 1 SECOND FROM h WHERE NOT landed UNION ALL SELECT content_hash, 'new', TIMESTAMP '2024-02-15' + first::INTEGER * INTERVAL 1 SECOND FROM h""",
