@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltwork.functions.text import point_id
 from siltwork.operators import lifecycle
+from siltwork.operators.caches import Folder
 from siltwork.schemas import CHUNKS, DOCUMENTS, EVAL_RESULTS, INGESTION_LOG, fields
 
 TABLES = {"documents": DOCUMENTS, "chunks": CHUNKS, "eval_results": EVAL_RESULTS, "ingestion_log": f"{INGESTION_LOG}, event_at timestamp_ntz"}
@@ -75,13 +76,14 @@ class Audit:
     """The audit tables below a path."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.spark, self.path, self.folder = spark, path.rstrip("/"), Folder(spark, path)
 
     def append(self, table: str, rows: DataFrame) -> None:
         typed(rows, TABLES[table]).write.mode("append").parquet(f"{self.path}/{table}")
 
     def read(self, table: str) -> DataFrame:
-        self.spark.createDataFrame([], TABLES[table]).coalesce(1).write.mode("append").parquet(f"{self.path}/{table}")
+        if table not in self.folder.names():
+            return self.spark.createDataFrame([], TABLES[table])
         return self.spark.read.schema(TABLES[table]).parquet(f"{self.path}/{table}")
 
     def put_documents(self, new: DataFrame) -> None:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltwork.operators import answer_cache, bm25
 
@@ -68,6 +70,39 @@ class SearchCache:
         return self.folder.drop(collection)
 
 
+class ChunkCache:
+    """The chunks of a collection as a search loads them, one table for each version, found while it is young."""
+
+    def __init__(self, spark: SparkSession, path: str, ttl: float = 300):
+        self.spark, self.folder, self.ttl = spark, Folder(spark, path), ttl
+
+    def put(self, collection: str, version: str, chunks: DataFrame, now: float) -> None:
+        """The note comes last, so a table that was not written whole is not found."""
+        chunks.write.mode("overwrite").parquet(f"{self.folder.path}/{collection}/{version}")
+        self.folder.note(f"{collection}/{version}", {"saved_at": now, "schema": chunks.schema.json()})
+
+    def get(self, collection: str, version: str, now: float) -> DataFrame | None:
+        note = self.folder.note(f"{collection}/{version}")
+        if note is None or now - note["saved_at"] > self.ttl:
+            return None
+        return self.spark.read.schema(StructType.fromJson(json.loads(note["schema"]))).parquet(f"{self.folder.path}/{collection}/{version}")
+
+    def load(self, collection: str, version: str, now: float, make: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
+        """The chunks, and whether the cache had them; otherwise they are made and kept, and older versions go."""
+        if (held := self.get(collection, version, now)) is not None:
+            return held, True
+        for name in self.folder.names():
+            if name == collection:
+                for old in Folder(self.spark, f"{self.folder.path}/{collection}").names():
+                    if old.removesuffix(".json") != version:
+                        self.folder.drop(f"{collection}/{old}")
+        self.put(collection, version, make(), now)
+        return self.get(collection, version, now), False
+
+    def invalidate(self, collection: str) -> bool:
+        return self.folder.drop(collection)
+
+
 class AnswerCache:
     """Answers by collection, settings and embedding of the question; a failed write is the caller's to ignore.
 

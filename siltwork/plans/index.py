@@ -414,7 +414,7 @@ ORACLES = {
         SELECT 1.25::DOUBLE AS last_run_cost, round(coalesce(round(m, 4), 1.25), 4) AS month_to_date, round(daily * 30, 2) AS monthly_forecast, round(daily, 4) AS daily_avg, CASE WHEN sl > 0 THEN 'increasing' WHEN sl < 0 THEN 'decreasing' ELSE 'stable' END AS trend,
           CASE WHEN round(r2, 6) > 0.8 THEN 'high' WHEN round(r2, 6) > 0.5 THEN 'medium' ELSE 'low' END AS confidence, 50.0::DOUBLE AS budget_limit, CASE WHEN daily * 30 / 50 * 100 >= 100 THEN 'critical' WHEN daily * 30 / 50 * 100 > 80 AND daily * 30 / 50 * 100 < 90 THEN 'warning' ELSE 'ok' END AS budget_severity,
           '2024-02-15 00:00' AS updated_at, n AS historical_points FROM g""",
-    "cost_without_history": "SELECT 0.0::DOUBLE AS monthly_estimate, 0.0::DOUBLE AS daily_avg, 'unknown' AS trend, 'low' AS confidence, 0.0::DOUBLE AS r2_score, 'Insufficient historical data' AS forecast_note",
+    "cost_without_history": "SELECT 0.0::DOUBLE AS monthly_estimate, 0.0::DOUBLE AS daily_avg, 'unknown' AS trend, 'low' AS confidence, 0.0::DOUBLE AS r2_score, 'Insufficient: a line takes three points' AS forecast_note",
     "fit_bands": "SELECT c_custkey, CASE WHEN r2 >= 0.75 THEN 'good' WHEN r2 >= 0.7 THEN 'acceptable' WHEN r2 >= 0.5 THEN 'weak' ELSE 'rejected' END AS band FROM (SELECT c_custkey, (c_custkey % 100) / 100 AS r2 FROM customer)",
     "search_cache": rf"""WITH t AS (SELECT count(DISTINCT term) AS n FROM (SELECT unnest(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '')) AS term FROM documents))
         SELECT 'same' AS state, n AS n_terms FROM t UNION ALL SELECT unnest(['old', 'other version', 'other collection', 'invalidated']), 0""",

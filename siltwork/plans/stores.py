@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from siltwork.operators import ann, caches, dedup, dense, evaluate, fitted, hash_store, learned, manifest, segments
+from siltwork.operators import ann, caches, chunking, cost, dedup, dense, evaluate, fitted, hash_store, learned, manifest, segments, series
 from siltwork.plans import corpus, index
-from siltwork.plans.tables import now, queries_of, read, truth
+from siltwork.plans.tables import containing, now, queries_of, read, truth
 from siltwork.store import shared, stage
 from siltwork.streaming import ingest
 
@@ -211,7 +211,52 @@ def phrase_features(spark, d):
     return best.join(queries, "query_id").join(docs, "id").select("query_id", "id", F.round(learned.phrase_score(F.col("query"), F.col("text")), 6).alias("phrase"))
 
 
-NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases fitted_topk fitted_eval learned_rerank phrase_features".split()
+def series_places(spark, d):
+    """All lines in the order of their date, with the date before."""
+    rows = read(spark, d, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber")
+    return series.placed(rows, "l_shipdate", "l_orderkey", "l_linenumber", before="before").select("l_orderkey", "l_linenumber", "place", "before")
+
+
+def series_quantiles(spark, d):
+    shares = (0.0, 0.01, 0.5, 0.99, 1.0)
+    found = series.quantiles(read(spark, d, "orders"), "o_totalprice", shares)
+    return spark.createDataFrame([(s, round(v, 4)) for s, v in zip(shares, found, strict=True)], "share double, value double")
+
+
+def forecast_defaults(spark, d):
+    """Forecasts of customers, of which some lack some columns' values, with what stands in for them."""
+    n = F.col("c_custkey")
+    some = read(spark, d, "customer").select("c_custkey", F.when(n % 3 > 0, F.col("c_acctbal").cast("double")).alias("predicted_cost"), F.when(n % 2 == 0, (n * 2).cast("double")).alias("monthly_estimate"), F.when(n % 5 > 0, "increasing").alias("trend"), F.when(n % 7 > 0, 0.5).alias("r2_score"))
+    return cost.normalised(some).select("c_custkey", *cost.DEFAULTS)
+
+
+def messages_of_budget(spark, d):
+    """The sentence for every customer's forecast, by its parts."""
+    rows = read(spark, d, "customer").select("c_custkey", F.abs(F.col("c_acctbal").cast("double")).alias("p"))
+    said = cost.budget_message(F.col("p"), F.lit(5000.0))
+    return rows.select("c_custkey", said.contains("more than").alias("over"), said.contains("spoken for").alias("near"), said.contains("$5000.00 allowed").alias("names_limit"), F.regexp_extract(said, r"forecast at \$([0-9.]+)", 1).cast("double").alias("forecast"))
+
+
+def chunk_cache(spark, d):
+    """All chunks, made for a first search, found by a second, made anew when they are old or of another version, and gone once dropped; with how many each got."""
+    docs = dedup.hashed(read(spark, d, "documents").select("doc_id", F.col("text").alias("content")))
+    kept, made = caches.ChunkCache(spark, _scratch(spark)), lambda: chunking.chunked(docs, "content").select("doc_id", "chunk_index", "chunk_text")
+    rows = []
+    for case, version, at in (("first", "v1", 0.0), ("second", "v1", 200.0), ("old", "v1", 400.0), ("other version", "v2", 410.0), ("version before", "v1", 420.0)):
+        found, had = kept.load("kb", version, at, made)
+        rows.append((case, had, found.count()))
+    kept.invalidate("kb")
+    return spark.createDataFrame([*rows, ("dropped", kept.get("kb", "v1", 421.0) is not None, 0)], "state string, had boolean, n_chunks long")
+
+
+def truth_of_words(spark, d):
+    """Documents that contain the first two words of a benchmark passage, and those that contain its first: queries too short for an anchor."""
+    words = F.split("query", " ")
+    asked = queries_of(spark, d).select(F.explode(F.array(F.struct((F.col("query_id") * 2).alias("query_id"), F.element_at(words, 1).alias("query")), F.struct((F.col("query_id") * 2 + 1).alias("query_id"), F.array_join(F.slice(words, 1, 2), " ").alias("query")))).alias("x")).select("x.*")
+    return containing(read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), asked).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases fitted_topk fitted_eval learned_rerank phrase_features series_places series_quantiles forecast_defaults messages_of_budget chunk_cache truth_of_words".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 _HASHES = """h AS (SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE length(text) > 0),
 l AS (SELECT h.*, doc_id % 50 // 10 * 10 AS n FROM h SEMI JOIN labels USING (doc_id)),
@@ -231,6 +276,15 @@ nv AS (SELECT id, sqrt(sum(s0 * s0 + s1 * s1 + s2 * s2 + s3 * s3)) AS l FROM v G
 c AS (SELECT vq.id AS query_id, v.id, sum(vq.s0 * v.s0 + vq.s1 * v.s1 + vq.s2 * v.s2 + vq.s3 * v.s3) AS dot FROM vq JOIN v USING (j) GROUP BY ALL),
 de AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM (SELECT query_id, c.id, dot / (nq.l * nv.l) AS score FROM c JOIN nq ON nq.id = query_id JOIN nv ON nv.id = c.id)) WHERE rank <= 10)"""
 ORACLES = {
+    "chunk_cache": rf"""WITH n AS (SELECT sum(ceil(len(t) / 462.0))::BIGINT AS n FROM (SELECT list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS t FROM documents))
+        SELECT s AS state, s = 'second' AS had, CASE WHEN s = 'dropped' THEN 0 ELSE n END AS n_chunks FROM n, unnest(['first', 'second', 'old', 'other version', 'version before', 'dropped']) AS u(s)""",
+    "truth_of_words": """WITH q AS (SELECT item_id, string_split(text, ' ') AS w FROM benchmark), a AS (SELECT item_id * 2 AS query_id, w[1] AS query FROM q UNION ALL SELECT item_id * 2 + 1, array_to_string(w[1:2], ' ') FROM q)
+        SELECT query_id, count(*) AS n_documents FROM a JOIN documents ON contains(text, query) GROUP BY query_id""",
+    "series_places": "SELECT l_orderkey, l_linenumber, row_number() OVER o - 1 AS place, lag(l_shipdate) OVER o AS before FROM lineitem WINDOW o AS (ORDER BY l_shipdate, l_orderkey, l_linenumber)",
+    "series_quantiles": "SELECT s AS share, round(v, 4) AS value FROM (SELECT unnest([0.0, 0.01, 0.5, 0.99, 1.0])::DOUBLE AS s, unnest(quantile_cont(o_totalprice::DOUBLE, [0.0, 0.01, 0.5, 0.99, 1.0])) AS v FROM orders)",
+    "forecast_defaults": """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 2.0::DOUBLE WHEN c_custkey % 3 > 0 THEN c_acctbal::DOUBLE ELSE 0 END AS monthly_estimate, 0.0::DOUBLE AS daily_avg, CASE WHEN c_custkey % 5 > 0 THEN 'increasing' ELSE 'unknown' END AS trend,
+        'low' AS confidence, CASE WHEN c_custkey % 7 > 0 THEN 0.5::DOUBLE ELSE 0 END AS r2_score, '' AS forecast_note FROM customer""",
+    "messages_of_budget": """SELECT c_custkey, p >= 5000 AS over, p / 5000 * 100 > 80 AND p / 5000 * 100 < 90 AS near, true AS names_limit, round(p, 2) AS forecast FROM (SELECT c_custkey, abs(c_acctbal::DOUBLE) AS p FROM customer)""",
     "learned_rerank": "SELECT count(*) AS n_held_out, true AS better FROM benchmark WHERE item_id % 2 = 1",
     "phrase_features": f"""WITH {corpus._SCORES}, b AS (SELECT query_id, id FROM rk WHERE rank <= 10),
         rq AS (SELECT item_id, list_distinct([t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] FOR i IN range(1, len(t) - 1)]) AS r FROM (SELECT item_id, {corpus.TOK.format("text")} AS t FROM benchmark)),
