@@ -4,18 +4,24 @@ Benchmark texts are cut into passages of about 48 words (lower-cased in A-Z, pun
 Their TF-IDF matrix, with document frequencies counted over all documents, is factored by a randomised SVD: power
 iterations multiply by the partitioned matrix in Spark, and only vocabulary-by-rank factors meet on the driver. Windows
 of 64 words at every 16th word of every document are folded into the latent space. A window is a candidate for a
-passage if it holds half of the passage's latent weight (the length of its projection on the passage, over the
-passage's) at a cosine of 0.1 or more. The latent space keeps the leading directions only, so a second, exact way adds
-what its projections lose: every passage of whose words a stretch of four windows holds as many as a hit cannot lack
-(found from the rarest of them). So all passages that meet the checks that follow are found, whatever the rank, the
-block and its other items. A candidate is a hit if the longest common subsequence of the passage and the words in and
-around the window covers 0.6 of the passage, and the answer is there: the words of the benchmark's column ``answer`` or,
-without one, half of the rarer half of the passage's words. Passages of fewer than five words must stand word for word.
+passage if it holds a share of the passage's latent weight (the length of its projection on the passage, over the
+passage's: half, or 0.3 for passages of 16 different words or more) at a cosine of 0.1 or more. The rank is that of the
+passages of a block, up to 256, so the space holds them whole; a block has 200 items.
+
+A candidate is a hit if the longest common subsequence of the passage and the words in and around the window covers 0.6
+of the passage, and the answer is there: the words of the benchmark's column ``answer`` or, without one, half of the
+rarer half of the passage's words. A passage of 16 different words or more that was reworded or moved about is a hit too
+if 0.3 of it stands in order, 0.35 of its rarer half is there (or the answer), and the words there carry 0.4 of its
+squared weight; the latent search alone finds these. Passages of fewer than five words must stand word for word.
+
+Beside the latent candidates, every passage is checked of whose words a stretch of four windows holds as many as a hit
+of the first kind cannot lack (found from the rarest of them), so that none of these depends on the projection. The
+column ``found_by`` says which way led to a hit: ``latent``, or ``words`` where only the second did.
 
 The benchmark is worked off in blocks of at most ``block`` items and about ``block_bytes`` of text, so that what is
 broadcast (vocabulary by rank) has a bound; ``at_once`` blocks share one reading of the documents. Words in more than a
-tenth of the documents carry no weight, unless they are in the rarer half of some passage: so each passage has weight,
-also one that stands in most documents.
+fiftieth of the documents carry no weight there, unless they are in the rarer half of some passage: so each passage has
+weight, also one that stands in most documents.
 
 Defined results: null and empty texts have no hits; items that are null or without words are skipped; repeated rows are
 judged each; an empty table of either kind gives no hits; extra columns are ignored (the pipeline stage returns them).
@@ -23,6 +29,7 @@ judged each; an empty table of either kind gives no hits; extra columns are igno
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -38,8 +45,10 @@ from siltwork.llm._text import hashes, pieces, small_batches
 
 PUNCTUATION = b".,;:!?\"'()[]{}"
 PASSAGE, SHORTEST, STRIDE, SPAN = 48, 5, 16, 4
-RANK, OVERSAMPLE, POWER = 128, 16, 2
-COSINE, WEIGHT, SUBSEQUENCE, COMMON = 0.1, 0.5, 0.6, 0.1
+RANK, OVERSAMPLE, POWER = 256, 16, 2
+COSINE, WEIGHT, SUBSEQUENCE, COMMON = 0.1, 0.5, 0.6, 0.02
+#: Of passages of LONG different words or more: latent weight of a candidate; and share in order, of the answer's words, and of squared weight of a hit that was reworded.
+LONG, FAINT, ORDER, ANSWERED, MASS = 16, 0.3, 0.3, 0.35, 0.4
 #: Passages whose projection keeps less of their length are left to the exact way; their latent weight is noise.
 HELD = 0.9
 
@@ -146,6 +155,8 @@ class Index:
     words: list[np.ndarray] = field(default_factory=list)
     answers: list[np.ndarray] = field(default_factory=list)
     needed: list[int] = field(default_factory=list)
+    fewest: list[int] = field(default_factory=list)
+    mass: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     probes: dict = None
     vocabulary: np.ndarray = None
     idf: np.ndarray = None
@@ -269,6 +280,9 @@ def _fit(index: Index, found: list, bench: DataFrame, every: np.ndarray, df: np.
         u, v = np.unique(p), index.places(np.unique(p))[1]
         index.answers.append(np.unique(hashes(a)) if a else u[np.argsort(-every[v], kind="stable")[: -(-len(u) // 2)]])
         index.needed.append(len(index.answers[-1]) if a else -(-len(index.answers[-1]) // 2))
+        index.fewest.append(len(index.answers[-1]) if a else math.ceil(ANSWERED * len(index.answers[-1]) - 1e-9))
+        square = every[v] ** 2
+        index.mass.append((u, square / square.sum()))
     index.probes = vars(_probes(index, [bool(a) for a in found], every))  # plain, as what is broadcast
     # Frequent words leave the vocabulary, but never those of a passage's rarer half: it keeps its weight however many documents hold it.
     kept = df <= max(COMMON * rows, 1)
@@ -299,8 +313,8 @@ def fit(docs: DataFrame, parts: list[DataFrame], rank: int = RANK) -> list[Index
     return out
 
 
-def hits(h: np.ndarray, n: np.ndarray, index: Index) -> list[tuple[int, object, float, float, int]]:
-    """(row, item_id, cosine, share of the passage in order, first word of the window), the best of each row and item, of texts as hashes of words and numbers of words."""
+def hits(h: np.ndarray, n: np.ndarray, index: Index) -> list[tuple[int, object, float, float, int, str]]:
+    """(row, item_id, cosine, share of the passage in order, first word of the window, way), the best of each row and item, of texts as hashes of words and numbers of words."""
     if not len(h):
         return []
     at, v = index.places(h)
@@ -316,36 +330,44 @@ def hits(h: np.ndarray, n: np.ndarray, index: Index) -> list[tuple[int, object,
     window = sum(dense[i : len(dense) - SPAN + 1 + i] for i in range(SPAN))
     size, own = np.linalg.norm(window, axis=1), np.linalg.norm(index.latent, axis=1)
     latent, long = index.latent[index.held], own[index.held]
-    live = np.flatnonzero(size > WEIGHT * long.min() if len(long) else size > np.inf)
-    best: dict[tuple[int, object], tuple[float, float, int]] = {}
+    wide = np.array([len(u) >= LONG for u, _ in index.mass], bool)
+    gate = np.where(wide, FAINT, WEIGHT)[index.held]
+    live = np.flatnonzero(size > (gate * long).min() if len(long) else size > np.inf)
+    best: dict[tuple[int, object], tuple[float, float, int, str]] = {}
 
-    def judge(d: int, p: int, start: int, cosine: float) -> None:
+    def judge(d: int, p: int, start: int, cosine: float, way: str) -> None:
         passage, margin = index.words[p], len(index.words[p]) // 2
         near = h[starts[d] + max(0, start - margin) : starts[d] + min(n[d], start + SPAN * STRIDE + margin)]
-        if np.isin(index.answers[p], near).sum() < index.needed[p]:
+        there = np.isin(index.answers[p], near).sum()
+        reworded = way == "latent" and wide[p]
+        if there < (index.fewest if reworded else index.needed)[p]:
             return
         share = float(verbatim(passage, near)) if len(passage) < SHORTEST else subsequence(passage, near) / len(passage)
+        if share < SUBSEQUENCE or there < index.needed[p]:
+            u, square = index.mass[p]
+            if not reworded or share < ORDER or square[np.isin(u, near)].sum() < MASS:
+                return
         key = (d, index.items[p])
-        if share >= SUBSEQUENCE and (key not in best or (share, cosine) > best[key][1::-1]):
-            best[key] = (cosine, share, start)
+        if key not in best or (share, cosine) > best[key][1::-1]:
+            best[key] = (cosine, share, start, best[key][3] if key in best else way)
 
     for part in np.array_split(live, -(-len(live) // 4096)) if len(live) else []:
         dot = window[part] @ latent.T
         cosine = dot / np.maximum(size[part][:, None] * long[None, :], 1e-9)
         weight = dot / np.maximum(long[None, :] ** 2, 1e-9)
-        w, p = np.nonzero((weight >= WEIGHT) & (cosine >= COSINE))
+        w, p = np.nonzero((weight >= gate) & (cosine >= COSINE))
         for w_, p_ in zip(w.tolist(), p.tolist(), strict=True):
             d = int(np.searchsorted(base, part[w_], side="right")) - 1
-            judge(d, int(index.held[p_]), int(part[w_] - base[d]) * STRIDE, float(cosine[w_, p_]))
+            judge(d, int(index.held[p_]), int(part[w_] - base[d]) * STRIDE, float(cosine[w_, p_]), "latent")
     # The exact way: whatever the projections lose, no hit lacks its probes.
     for d, w, p in zip(*(x.tolist() for x in Probes(**index.probes).met(h, n)), strict=True):
         for k in range(w, min(w + SPAN, -(-int(n[d]) // STRIDE))):
             dot = float(window[base[d] + k] @ index.latent[p])
-            judge(d, p, k * STRIDE, dot / max(float(size[base[d] + k] * own[p]), 1e-9))
+            judge(d, p, k * STRIDE, dot / max(float(size[base[d] + k] * own[p]), 1e-9), "words")
     return [(d, item, *x) for (d, item), x in best.items()]
 
 
-def blocks_of(docs: DataFrame, bench: DataFrame, block: int = 1000, block_bytes: int = 256_000, at_once: int = 8) -> Iterator[list[Index]]:
+def blocks_of(docs: DataFrame, bench: DataFrame, block: int = 200, block_bytes: int = 256_000, at_once: int = 8) -> Iterator[list[Index]]:
     """The indexes of the benchmark's blocks, ``at_once`` together."""
     bench = bench.filter("text is not null and item_id is not null")
     r = bench.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
@@ -356,16 +378,16 @@ def blocks_of(docs: DataFrame, bench: DataFrame, block: int = 1000, block_bytes:
             yield indexes
 
 
-def _met(texts: list[str | None], indexes: list[Index]) -> list[tuple[int, object, float, float, int]]:
+def _met(texts: list[str | None], indexes: list[Index]) -> list[tuple[int, object, float, float, int, str]]:
     h, n = _word_hashes(texts)
     return [x for index in indexes for x in hits(h, n, index)]
 
 
-def contaminated(docs: DataFrame, bench: DataFrame, block: int = 1000, block_bytes: int = 256_000) -> DataFrame:
-    """(doc_id, item_id, cosine, in_order, first_word) of every document and item that meet."""
+def contaminated(docs: DataFrame, bench: DataFrame, block: int = 200, block_bytes: int = 256_000) -> DataFrame:
+    """(doc_id, item_id, cosine, in_order, first_word, found_by) of every document and item that meet."""
     docs, spark = docs.select("doc_id", "text"), docs.sparkSession
     kind = bench.schema["item_id"].dataType.simpleString()
-    schema, found = f"doc_id long, item_id {kind}, cosine double, in_order double, first_word long", []
+    schema, found = f"doc_id long, item_id {kind}, cosine double, in_order double, first_word long, found_by string", []
     for indexes in blocks_of(docs, bench, block, block_bytes):
         shared = spark.sparkContext.broadcast([vars(ix) for ix in indexes])
 
@@ -375,7 +397,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, block: int = 1000, block_byt
                 got = _met(b.column("text").to_pylist(), own)
                 at = pa.array([x[0] for x in got], pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), pa.array([x[1] for x in got], pa.int64() if kind == "bigint" else None), pa.array([x[2] for x in got], pa.float64()),
-                                                  pa.array([x[3] for x in got], pa.float64()), pa.array([x[4] for x in got], pa.int64())], names=["doc_id", "item_id", "cosine", "in_order", "first_word"])
+                                                  pa.array([x[3] for x in got], pa.float64()), pa.array([x[4] for x in got], pa.int64()), pa.array([x[5] for x in got], pa.string())], names=["doc_id", "item_id", "cosine", "in_order", "first_word", "found_by"])
 
         with small_batches(spark):
             found.append(stage(docs.mapInArrow(search, schema), "hits"))

@@ -410,7 +410,7 @@ def test_decontamination_of_hot_and_frequent_items(spark):
 
 @pytest.mark.parametrize("answer", [False, True])
 def test_decontamination_finds_all_of_a_large_benchmark(spark, answer):
-    """More passages than the rank, among texts full of benchmark words: equal to the checks in every window."""
+    """More passages than the rank, among texts full of benchmark words: all that the checks find in some window, and beyond that only what stands there reworded."""
     rng = random.Random(9)
     words = ["".join(rng.choice("aeioubcdfglmnprst") for _ in range(6)) for _ in range(900)]
     items = [[rng.choice(words) for _ in range(rng.randint(8, 24))] for _ in range(400)]
@@ -420,22 +420,28 @@ def test_decontamination_finds_all_of_a_large_benchmark(spark, answer):
     asked = [x[len(x) // 2] for x in items]
     df = Counter(x for t in texts for x in set(t))
     hashed = {w: int(decontam.hashes([w.encode()])[0]) for w in words}
-    want = set()
+    want, reworded = set(), set()
     for k, item in enumerate(items):
         rare = sorted(set(item), key=lambda w: (df[w], hashed[w]))
         rare, margin = set(rare[: -(-len(rare) // 2)]), len(item) // 2
+        square = {w: (np.log((len(texts) + 1) / (df[w] + 1)) + 1) ** 2 for w in item}
         for i, t in enumerate(texts):
             for start in range(0, len(t), 16):
                 near = t[max(0, start - margin) : start + 64 + margin]
-                if (asked[k] in near) if answer else len(rare & set(near)) >= -(-len(rare) // 2):
-                    if decontam.subsequence(np.array([hashed[w] for w in item], np.uint64), np.array([hashed[w] for w in near], np.uint64)) >= 0.6 * len(item):
-                        want.add((i, k))
-                        break
+                met, there = len(rare & set(near)), set(near)
+                if asked[k] not in near if answer else met < 0.35 * len(rare):
+                    continue
+                order = decontam.subsequence(np.array([hashed[w] for w in item], np.uint64), np.array([hashed[w] for w in near], np.uint64)) / len(item)
+                if order >= 0.6 and (answer or met >= -(-len(rare) // 2)):
+                    want.add((i, k))
+                elif len(square) >= 16 and order >= 0.3 and sum(x for w, x in square.items() if w in there) >= 0.4 * sum(square.values()) - 1e-9:
+                    reworded.add((i, k))
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     bench = spark.createDataFrame([(k, " ".join(x), a) for k, (x, a) in enumerate(zip(items, asked))], "item_id long, text string, answer string")
     bench = bench if answer else bench.drop("answer")
     for block in (1000, 150):
-        assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, block=block).collect()} == want and len(want) >= 400
+        got = {(r.doc_id, r.item_id): r.found_by for r in decontam.contaminated(docs, bench, block=block).collect()}
+        assert want <= set(got) <= want | reworded and len(want) >= 400 and all(got[x] == "latent" for x in set(got) - want)
 
 
 def test_decontamination_of_short_and_long_items(spark):
@@ -462,6 +468,11 @@ def paraphrased(words, kind, rng, word):
             out += [w, word()] if i % 4 == 1 else [w]
         else:
             out.append(w)
+    if kind == "nearly half replaced":
+        at = set(rng.sample(range(len(words)), round(0.45 * len(words))))
+        return [word() if i in at else w for i, w in enumerate(words)]
+    if kind == "halves swapped":
+        return words[len(words) // 2 :] + words[: len(words) // 2]
     if kind == "swapped":
         for i in range(1, len(out) - 1, 5):
             out[i], out[i + 1] = out[i + 1], out[i]
@@ -473,7 +484,7 @@ def paraphrased(words, kind, rng, word):
     return out
 
 
-@pytest.mark.parametrize("kind", ["replaced", "left out", "put in", "swapped", "mixed"])
+@pytest.mark.parametrize("kind", ["replaced", "left out", "put in", "swapped", "mixed", "nearly half replaced", "halves swapped"])
 def test_paraphrases_are_found(spark, kind):
     """Benchmark items of the tables, paraphrased, each planted in a document: 0.9 of them at least, and no other document than those that held the item."""
     rng = random.Random(kind)
@@ -487,7 +498,8 @@ def test_paraphrases_are_found(spark, kind):
         words[at:at] = paraphrased(item.text.split(), kind, rng, word)
         made.append((doc.doc_id, " ".join(words)))
     docs = spark.createDataFrame(made, "doc_id long, text string")
-    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")).collect()}
+    found = decontam.contaminated(docs, spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")).collect()
+    got = {(r.doc_id, r.item_id) for r in found if r.found_by == "latent"}  # the latent search alone
     want = {(doc.doc_id, item.item_id) for item, doc in zip(items, plain)}
     print(f"paraphrases {kind}: {len(got & want)} of {len(want)} found, {len(got - want)} other pairs")
     assert len(got & want) >= 0.9 * len(want)
