@@ -420,6 +420,7 @@ ORACLES = {
         SELECT 'same' AS state, n AS n_terms FROM t UNION ALL SELECT unnest(['old', 'other version', 'other collection', 'invalidated']), 0""",
     "vector_topk_euclid": f"WITH {_nearest('-list_distance(a.e, b.e)')} {_TOP}",
 }
+ORACLES["streaming_dedup"] = "SELECT DISTINCT sha256(text) AS content_hash FROM documents WHERE length(text) > 0"
 ORACLES["cost_report"] = f"SELECT data_points, outliers_count, time_gaps, trend, total_cost FROM ({ORACLES['cost_diagnostics']})"
 #: The fused search over all documents, of which some have a vector.
 _POINTS = corpus._hybrid(10).replace("ON item_id = a.vec_id, embeddings b)", "ON item_id = a.vec_id, (SELECT vec_id, embedding FROM embeddings JOIN documents ON doc_id = vec_id) b)")

@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from siltwork.operators import ann, caches, chunking, cost, dedup, dense, evaluate, fitted, hash_store, learned, manifest, segments, series
-from siltwork.plans import corpus, index
+from siltwork.plans import corpus, index, refresh
 from siltwork.plans.tables import containing, now, queries_of, read, truth
+from siltwork.sources import documents as sources
 from siltwork.store import shared, stage
 from siltwork.streaming import ingest
 
@@ -256,7 +257,20 @@ def truth_of_words(spark, d):
     return containing(read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), asked).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
-NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases fitted_topk fitted_eval learned_rerank phrase_features series_places series_quantiles forecast_defaults messages_of_budget chunk_cache truth_of_words".split()
+def refresh_points(spark, d):
+    """What production holds after two runs, English documents first and then all: the chunks of each document, and how many of them the sparse index knows."""
+    every, path = sources.from_table(read(spark, d, "documents")), _scratch(spark)
+    bench = queries_of(spark, d).withColumn("expected_docs", F.array().cast("array<string>"))
+    for name, rows in (("one", every.filter(F.col("metadata")["lang"] == "en")), ("two", every)):
+        refresh.run(spark, name, rows.select("doc_id", "content", "source", "source_uri", "filename"), bench, path, now(), refresh.Settings(threshold=0.0))
+    run = refresh.Run(spark, "look", path, now())
+    points = run.versions.read()
+    known = run.sparse.postings(run.versions.notes()["sparse"]).select(F.col("id").alias("_id")).distinct()
+    rows = points.withColumn("_n", F.xxhash64("id")).join(known, F.col("_n") == F.col("_id"), "left")
+    return rows.groupBy(F.expr("cast(regexp_extract(filename, '([0-9]+)', 1) as long)").alias("doc_id")).agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("token_count").alias("n_tokens"), F.count("_id").alias("n_known"))
+
+
+NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases fitted_topk fitted_eval learned_rerank phrase_features series_places series_quantiles forecast_defaults messages_of_budget chunk_cache truth_of_words refresh_points".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 _HASHES = """h AS (SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE length(text) > 0),
 l AS (SELECT h.*, doc_id % 50 // 10 * 10 AS n FROM h SEMI JOIN labels USING (doc_id)),
@@ -276,6 +290,9 @@ nv AS (SELECT id, sqrt(sum(s0 * s0 + s1 * s1 + s2 * s2 + s3 * s3)) AS l FROM v G
 c AS (SELECT vq.id AS query_id, v.id, sum(vq.s0 * v.s0 + vq.s1 * v.s1 + vq.s2 * v.s2 + vq.s3 * v.s3) AS dot FROM vq JOIN v USING (j) GROUP BY ALL),
 de AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM (SELECT query_id, c.id, dot / (nq.l * nv.l) AS score FROM c JOIN nq ON nq.id = query_id JOIN nv ON nv.id = c.id)) WHERE rank <= 10)"""
 ORACLES = {
+    "refresh_points": rf"""WITH w AS (SELECT doc_id, lang, sha256(text) AS h, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS t FROM documents),
+        k AS (SELECT doc_id, t, unnest(range(0, ceil(len(t) / 462.0)::BIGINT)) AS i FROM w WHERE lang = 'en' OR h NOT IN (SELECT h FROM w WHERE lang = 'en'))
+        SELECT doc_id, count(*) AS n_chunks, sum(least(512, len(t) - i * 462))::BIGINT AS n_tokens, count(*) AS n_known FROM k GROUP BY doc_id""",
     "chunk_cache": rf"""WITH n AS (SELECT sum(ceil(len(t) / 462.0))::BIGINT AS n FROM (SELECT list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS t FROM documents))
         SELECT s AS state, s = 'second' AS had, CASE WHEN s = 'dropped' THEN 0 ELSE n END AS n_chunks FROM n, unnest(['first', 'second', 'old', 'other version', 'version before', 'dropped']) AS u(s)""",
     "truth_of_words": """WITH q AS (SELECT item_id, string_split(text, ' ') AS w FROM benchmark), a AS (SELECT item_id * 2 AS query_id, w[1] AS query FROM q UNION ALL SELECT item_id * 2 + 1, array_to_string(w[1:2], ' ') FROM q)
