@@ -90,7 +90,9 @@ def balanced(docs: DataFrame, goals: DataFrame, n: int, most: float = 2.0, steps
     """((source, scale), multipliers of the moments, Newton steps taken); docs: source, size, q and x, an array of ``n`` moments.
 
     A document's rate is least(most, q * scale * exp(multipliers . x)). Documents of a source that agree in q and x are
-    summed first; a source has a bounded number of such cells, as many as combinations of the moments and of q.
+    summed first; a source has as many such cells as there are combinations of the moments and of q, and they meet in
+    one row. With the bands of length and q from a fixed grid that is a bounded number; a continuous q has to be rounded
+    to one before it is passed.
     """
     per = docs.groupBy("source", "q", "x").agg(F.sum("size").cast("double").alias("size")).filter("size > 0")
     cells = per.groupBy("source").agg(F.collect_list(F.struct("q", "x", "size")).alias("cells"), F.sum("size").alias("own"), *[F.sum(F.col("size") * F.col("x")[i]).alias(f"s{i}") for i in range(n)])
