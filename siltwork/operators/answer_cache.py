@@ -51,14 +51,15 @@ def lookup(probes: DataFrame, entries: DataFrame, now: Column, threshold: float
 
 
 def answered(probes: DataFrame, entries: DataFrame, now: Column, threshold: float = THRESHOLD, ttl: int = TTL_SECONDS, digits: int = 6) -> DataFrame:
-    """(query_id, entry_id, similarity, answer, results): what ``lookup`` finds with what that very entry holds.
+    """(query_id, entry_id, similarity, and answer and results if entries have them): what ``lookup`` finds with what that very entry holds.
 
     An entry is named by its collection, its settings and its entry_id: the one that a probe met is that of the probe's
     own collection and settings, and live.
     """
     held = live(entries, now, ttl)
     hits = _nearest(probes, held, threshold, digits).join(probes.select("query_id", "collection", "settings"), "query_id")
-    return hits.join(held.select(*KEY, "answer", "results"), list(KEY)).select("query_id", "entry_id", "similarity", "answer", "results")
+    more = [c for c in ("answer", "results") if c in held.columns]
+    return hits.join(held.select(*KEY, *more), list(KEY)).select("query_id", "entry_id", "similarity", *more)
 
 
 def misses(probes: DataFrame, hits: DataFrame) -> DataFrame:

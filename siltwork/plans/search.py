@@ -56,10 +56,10 @@ def retrieve(queries: DataFrame, points: DataFrame, search: Search, index: bm25.
     return rows.withColumn("candidate_text", F.coalesce("payload_text", F.lit("")))
 
 
-def answered(queries: DataFrame, cache: caches.AnswerCache, search: Search, now: Column) -> tuple[DataFrame, DataFrame]:
-    """(hits, misses): queries with what the cache answers, and those to search for."""
+def answered(queries: DataFrame, entries: DataFrame, search: Search, now: Column, ttl: int = answer_cache.TTL_SECONDS) -> tuple[DataFrame, DataFrame]:
+    """(hits, misses): queries with what a live entry answers, and those to search for."""
     probes = queries.withColumns({"collection": F.lit(search.collection), "settings": F.lit(search.settings)})
-    hits = cache.get(probes, now)
+    hits = answer_cache.answered(probes, entries, now, ttl=ttl)
     return hits, answer_cache.misses(queries, hits)
 
 
@@ -69,7 +69,7 @@ def search_and_answer(queries: DataFrame, points: DataFrame, cache: caches.Answe
     ``answer`` makes an answer of a query and its context, the texts of the best five results. A query without results
     has the context ''. An entry is named by the query's id, beside its collection and settings.
     """
-    hits, left = answered(queries, cache, search, now)
+    hits, left = answered(queries, cache.entries(now), search, now, cache.ttl)
     known = hits.select("query_id", "answer", F.lit(True).alias("from_cache"))
     known, left = stage(known, "known"), stage(left, "left")
     ranked = stage(retrieve(left, points, search, index), "ranked")
