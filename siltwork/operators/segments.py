@@ -1,7 +1,7 @@
 """A sparse index in segments: what is added is indexed alone, and the counts of all segments add up.
 
-A segment holds the postings of the documents of one addition in blocks of at most ``BLOCK`` postings of a term, each
-with bounds (most occurrences, shortest document), the documents with their terms, and signed changes of the terms'
+A segment holds the postings of the documents of one addition in blocks of at most ``BLOCK`` postings of a term (and of a
+few thousand documents, so that postings travel together), each with bounds (most occurrences, shortest document), the documents with their terms, and signed changes of the terms'
 document counts: an addition that replaces or removes documents takes their terms back and names them as gone from the
 segments that hold them. A state is the list of its segments' names; files are never changed, so earlier states stay
 readable, and two states that grew from one are joined by joining their lists. ``merged`` makes one segment of many.
@@ -18,6 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,28 +29,34 @@ from siltwork.store import stage
 
 #: Postings of a block; segments before they are merged; blocks of each term that give a query its first scores.
 BLOCK, MOST, FIRST = 128, 8, 2
-#: Texts that a task counts at a time.
-ROWS = bm25.ROWS
-BLOCKS = "term string, ids array<long>, tfs array<long>, dls array<long>, most long, least long"
-DOCS = "id long, dl long, terms array<string>, tfs array<long>"
+#: Texts that a task counts at a time, and documents whose postings it blocks at a time.
+ROWS, DOCUMENTS = bm25.ROWS, 4096
+BLOCKS = "term string, ids array<long>, tfs array<int>, dls array<int>, most int, least int"
+DOCS = "id long, dl long, terms array<string>, tfs array<int>"
 TERMS = "term string, df long"
 STATS = "n long, length long"
 GONE = "segment string, id long"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of rows (term, id, tf, dl) that come in the order of term."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        code = b.column("term").dictionary_encode().indices.to_numpy()
-        run = np.flatnonzero(np.diff(code, prepend=-1))
-        place = np.arange(len(code)) - np.repeat(run, np.diff(np.append(run, len(code))))
-        start = np.flatnonzero(place % BLOCK == 0)
-        ends = pa.array(np.append(start, len(code)).astype(np.int32))
-        tf, dl = b.column("tf").to_numpy(), b.column("dl").to_numpy()
-        lists = [pa.ListArray.from_arrays(ends, b.column(c)) for c in ("id", "tf", "dl")]
-        yield pa.RecordBatch.from_arrays([b.column("term").take(pa.array(start)), *lists, pa.array(np.maximum.reduceat(tf, start)), pa.array(np.minimum.reduceat(dl, start))], names=["term", "ids", "tfs", "dls", "most", "least"])
+    """Blocks of the postings of rows (id, dl, terms, tfs): of each batch of documents, the postings of a term together."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, DOCUMENTS):
+            b = batch.slice(at, DOCUMENTS)
+            terms = b.column("terms")
+            many = pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.int64)
+            if not many.sum():
+                continue
+            coded = terms.flatten().dictionary_encode()
+            code, doc = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(b.num_rows), many)
+            order = np.argsort(code, kind="stable")
+            code, doc, tf = code[order], doc[order], b.column("tfs").flatten().to_numpy(zero_copy_only=False)[order]
+            run = np.flatnonzero(np.diff(code, prepend=-1))
+            place = np.arange(len(code)) - np.repeat(run, np.diff(np.append(run, len(code))))
+            start = np.flatnonzero(place % BLOCK == 0)
+            ends, dl = pa.array(np.append(start, len(code)).astype(np.int32)), b.column("dl").to_numpy()[doc]
+            lists = [pa.ListArray.from_arrays(ends, x) for x in (b.column("id").take(pa.array(doc)), pa.array(tf, pa.int32()), pa.array(dl, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(code[start])), *lists, pa.array(np.maximum.reduceat(tf, start), pa.int32()), pa.array(np.minimum.reduceat(dl, start), pa.int32())], names=["term", "ids", "tfs", "dls", "most", "least"])
 
 
 def _forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,11 +71,7 @@ def _forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs, tf = np.unique(np.repeat(np.arange(len(n)), n) * size + coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), return_counts=True)
             ends = pa.array(np.append(0, np.cumsum(np.bincount(pairs // size, minlength=len(n)))), pa.int32())
             terms = coded.dictionary.take(pa.array(pairs % size)).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n), pa.ListArray.from_arrays(ends, terms), pa.ListArray.from_arrays(ends, pa.array(tf, pa.int64()))], names=["id", "dl", "terms", "tfs"])
-
-
-def _exploded(docs: DataFrame) -> DataFrame:
-    return docs.select("id", "dl", F.explode(F.arrays_zip("terms", "tfs")).alias("x")).select(F.col("x.terms").alias("term"), "id", F.col("x.tfs").alias("tf"), "dl")
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n), pa.ListArray.from_arrays(ends, terms), pa.ListArray.from_arrays(ends, pa.array(tf, pa.int32()))], names=["id", "dl", "terms", "tfs"])
 
 
 class Segments:
@@ -105,13 +108,14 @@ class Segments:
             change = change.unionByName(old.select("dl", "terms", F.lit(-1).alias("sign")))
         change.select(F.explode("terms").alias("term"), "sign").groupBy("term").agg(F.sum("sign").alias("df")).filter("df <> 0").write.parquet(f"{at}/terms")
         change.agg(F.coalesce(F.sum("sign"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("sign") * F.col("dl")), F.lit(0)).alias("length")).write.parquet(f"{at}/stats")
-        self._write_blocks(_exploded(mine), at)
+        self._write_blocks(mine, at)
         state = [*state, name]
         return self.merged(state) if len(state) > MOST else state
 
-    def _write_blocks(self, postings: DataFrame, at: str) -> None:
-        """A term of many documents is split by ranges of id."""
-        postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id").mapInArrow(_blocks, BLOCKS).write.parquet(f"{at}/blocks")
+    def _write_blocks(self, docs: DataFrame, at: str) -> None:
+        """Blocks in the order of term; a term of many documents is split by ranges of id."""
+        blocks = docs.select("id", "dl", "terms", "tfs").mapInArrow(_blocks, BLOCKS).withColumn("_first", F.get("ids", F.lit(0)))
+        blocks.repartitionByRange("term", "_first").sortWithinPartitions("term", "_first").drop("_first").write.parquet(f"{at}/blocks")
 
     def merged(self, state: list[str]) -> list[str]:
         """One segment with what is live in all; texts are not read again."""
@@ -120,7 +124,7 @@ class Segments:
         self._live(self._read(state, "docs", DOCS), state).select("id", "dl", "terms", "tfs").write.parquet(f"{at}/docs")
         self.terms(state).write.parquet(f"{at}/terms")
         self._read(state, "stats", STATS).agg(F.sum("n").alias("n"), F.sum("length").alias("length")).write.parquet(f"{at}/stats")
-        self._write_blocks(_exploded(self.spark.read.schema(DOCS).parquet(f"{at}/docs")), at)
+        self._write_blocks(self.spark.read.schema(DOCS).parquet(f"{at}/docs"), at)
         return [name]
 
     def drop(self, names: list[str]) -> None:
