@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from siltwork.functions import maps
 from siltwork.operators import ann, caches, chunking, cost, dedup, dense, evaluate, fitted, hash_store, learned, manifest, segments, series
 from siltwork.plans import corpus, index, refresh
 from siltwork.plans.tables import containing, now, queries_of, read, truth
@@ -270,7 +271,17 @@ def refresh_points(spark, d):
     return rows.groupBy(F.expr("cast(regexp_extract(filename, '([0-9]+)', 1) as long)").alias("doc_id")).agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("token_count").alias("n_tokens"), F.count("_id").alias("n_known"))
 
 
-NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases fitted_topk fitted_eval learned_rerank phrase_features series_places series_quantiles forecast_defaults messages_of_budget chunk_cache truth_of_words refresh_points".split()
+def metadata_merged(spark, d):
+    """Metadata of every document, with what a loader adds and what a labeller says last."""
+    docs = read(spark, d, "documents").join(read(spark, d, "labels"), "doc_id", "left")
+    text = lambda c: F.col(c).cast("string")
+    own = F.create_map(F.lit("lang"), text("lang"), F.lit("state"), F.lit("raw"))
+    loaded = F.when(F.col("doc_id") % 3 > 0, F.create_map(F.lit("state"), F.lit("loaded"), F.lit("source"), text("source")))
+    said = F.when(F.col("quality").isNotNull(), F.create_map(F.lit("quality"), text("quality"), F.lit("state"), F.lit("labelled")))
+    return docs.select("doc_id", maps.shown(maps.merged(own, loaded, said)).alias("metadata"))
+
+
+NAMES = "answer_cache_layers ann_topk ann_recall segments_topk segments_stats versions_race versions_carry_over hash_store_dedup hash_store_live streaming_phases fitted_topk fitted_eval learned_rerank phrase_features series_places series_quantiles forecast_defaults messages_of_budget chunk_cache truth_of_words refresh_points metadata_merged".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 _HASHES = """h AS (SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE length(text) > 0),
 l AS (SELECT h.*, doc_id % 50 // 10 * 10 AS n FROM h SEMI JOIN labels USING (doc_id)),
@@ -290,6 +301,8 @@ nv AS (SELECT id, sqrt(sum(s0 * s0 + s1 * s1 + s2 * s2 + s3 * s3)) AS l FROM v G
 c AS (SELECT vq.id AS query_id, v.id, sum(vq.s0 * v.s0 + vq.s1 * v.s1 + vq.s2 * v.s2 + vq.s3 * v.s3) AS dot FROM vq JOIN v USING (j) GROUP BY ALL),
 de AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM (SELECT query_id, c.id, dot / (nq.l * nv.l) AS score FROM c JOIN nq ON nq.id = query_id JOIN nv ON nv.id = c.id)) WHERE rank <= 10)"""
 ORACLES = {
+    "metadata_merged": """SELECT doc_id, 'lang=' || lang || CASE WHEN quality IS NOT NULL THEN ',quality=' || quality ELSE '' END || CASE WHEN doc_id % 3 > 0 THEN ',source=' || source ELSE '' END
+        || ',state=' || CASE WHEN quality IS NOT NULL THEN 'labelled' WHEN doc_id % 3 > 0 THEN 'loaded' ELSE 'raw' END AS metadata FROM documents LEFT JOIN labels USING (doc_id)""",
     "refresh_points": rf"""WITH w AS (SELECT doc_id, lang, sha256(text) AS h, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS t FROM documents),
         k AS (SELECT doc_id, t, unnest(range(0, ceil(len(t) / 462.0)::BIGINT)) AS i FROM w WHERE lang = 'en' OR h NOT IN (SELECT h FROM w WHERE lang = 'en'))
         SELECT doc_id, count(*) AS n_chunks, sum(least(512, len(t) - i * 462))::BIGINT AS n_tokens, count(*) AS n_known FROM k GROUP BY doc_id""",

@@ -139,7 +139,7 @@ def documents(objects: DataFrame, uri: str, source: str, extensions: tuple[str,
     name = F.element_at(F.split("key", "/"), -1)
     return objects.filter(F.col("error").isNull() & known).select(
         text("content", name).alias("content"), F.lit(source).alias("source"), F.concat(F.lit(uri), "key").alias("source_uri"), name.alias("filename"),
-        F.map_concat(F.create_map(F.lit("size"), F.col("size").cast("string")), F.create_map(F.lit("modified"), F.date_format("modified", "yyyy-MM-dd HH:mm:ss"))).alias("metadata"))
+        F.create_map(F.lit("size"), F.col("size").cast("string"), F.lit("modified"), F.date_format("modified", "yyyy-MM-dd HH:mm:ss")).alias("metadata"))
 
 
 def failures(objects: DataFrame) -> DataFrame:
