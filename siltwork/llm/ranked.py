@@ -49,7 +49,7 @@ TOP = 20
 #: Shards up to which the list of those that are open is broadcast.
 FEW = 100_000
 #: Cells (documents by items) that a task holds at a time.
-CELLS = 1 << 21
+CELLS = 1 << 20
 FIXED = "shard long, docs long, terms long, doc_id array<long>, n array<int>, term array<string>, df array<int>"
 PAIR = "item int, shard long, upper long, whole boolean, found array<struct<doc_id:long,score:long>>"
 
@@ -96,7 +96,7 @@ def _shard(number: int, ids: pa.Array, texts: list[str | None], tiers: tuple[flo
     return out
 
 
-def build(docs: DataFrame, tiers: tuple[float, ...] = TIERS, shard: int = 4_000_000) -> DataFrame:
+def build(docs: DataFrame, tiers: tuple[float, ...] = TIERS, shard: int = 2_000_000) -> DataFrame:
     """The index of all rows of ``docs``, written: a row for each shard of about ``shard`` bytes of text."""
     last = len(tiers)
     schema = FIXED + "".join(f", {c} array<int>" for k in range(last + 1) for c in _columns(k, last))
@@ -117,7 +117,7 @@ def build(docs: DataFrame, tiers: tuple[float, ...] = TIERS, shard: int = 4_000_
             yield pa.RecordBatch.from_arrays([column(row[c]) for c in names], names=names)
 
     with small_batches(docs.sparkSession):
-        return stage(docs.select("doc_id", "text").mapInArrow(made, schema), "tiers", maxRecordsPerFile=16)
+        return stage(docs.select("doc_id", "text").mapInArrow(made, schema), "tiers", maxRecordsPerFile=8)
 
 
 @dataclass
