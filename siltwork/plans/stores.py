@@ -120,9 +120,10 @@ def versions_carry_over(spark, d):
     same = sum(after.get(b) == f for b, f in before.items())
     kept.stage("third", docs.filter("doc_id = 8").withColumn("version", F.lit(3)), dead=F.col("n") < 400)
     kept.promote("third")
-    third = kept.read().agg(F.count(F.lit(1)).alias("n_third"))
+    third = stage(kept.read().select("doc_id", F.lit(True).alias("in_third")), "third")
     kept.back_to(2)
-    return third.crossJoin(kept.read().agg(F.count(F.lit(1)).alias("n_points"), F.count_if(F.col("version") == 2).alias("n_new"))).withColumn("one_bucket_written", F.lit(same == len(before) - 1))
+    rows = kept.read().select("doc_id", "version").join(third, "doc_id", "left")
+    return rows.select("doc_id", "version", F.coalesce("in_third", F.lit(False)).alias("in_third"), F.lit(same == len(before) - 1).alias("one_bucket_written"))
 
 
 def _confirmed(spark, d):
@@ -336,6 +337,6 @@ ORACLES = {
     "segments_stats": f"""WITH t AS (SELECT doc_id, {corpus.TOK.format("text")} AS t FROM documents), p AS (SELECT DISTINCT doc_id, unnest(t) AS term FROM t)
         SELECT (SELECT count(*) FROM t) AS n, (SELECT round(avg(len(t)), 6) FROM t) AS avgdl, count(DISTINCT term) AS grown_terms, count(*) AS grown_df, count(DISTINCT term) AS merged_terms, count(*) AS merged_df, count(*) AS n_postings FROM p""",
     "versions_race": "SELECT doc_id, true AS as_expected FROM documents",
-    "versions_carry_over": "SELECT (SELECT count(*) FROM documents WHERE length(text) >= 400 OR doc_id = 8) AS n_third, count(*) AS n_points, 1 AS n_new, true AS one_bucket_written FROM documents",
+    "versions_carry_over": "SELECT doc_id, CASE WHEN doc_id = 7 THEN 2 ELSE 1 END AS version, length(text) >= 400 OR doc_id = 8 AS in_third, true AS one_bucket_written FROM documents",
     "ann_recall": "SELECT count(*) AS n_queries, true AS enough FROM embeddings WHERE vec_id % 50 = 0",
 }
