@@ -78,9 +78,12 @@ class TwoPhase(StatefulProcessor):
         pass
 
 
-def phases(stream: DataFrame, pending_seconds: int = 3600, days: int = dedup.TTL_DAYS) -> DataFrame:
-    """Events (content_hash, event, at) of a stream of sightings (content_hash, at, landed): ``new`` documents to hand out, and hashes that are ``confirmed`` as they landed."""
-    keyed = stream.filter(F.length("content_hash") > 0).select("content_hash", "at", F.coalesce("landed", F.lit(False)).alias("landed")).withWatermark("at", "0 seconds").groupBy("content_hash")
+def phases(stream: DataFrame, pending_seconds: int = 3600, days: int = dedup.TTL_DAYS, late_seconds: int = 0) -> DataFrame:
+    """Events (content_hash, event, at) of a stream of sightings (content_hash, at, landed): ``new`` documents to hand out, and hashes that are ``confirmed`` as they landed.
+
+    A row that comes more than ``late_seconds`` after the latest time of the batches before is dropped; state is kept so much longer.
+    """
+    keyed = stream.filter(F.length("content_hash") > 0).select("content_hash", "at", F.coalesce("landed", F.lit(False)).alias("landed")).withWatermark("at", f"{late_seconds} seconds").groupBy("content_hash")
     return keyed.transformWithState(TwoPhase(pending_seconds * 1000, days * 86_400_000), EVENTS, "Append", "EventTime")
 
 
