@@ -20,6 +20,8 @@ from siltwork.operators import bm25
 from siltwork.store import stage
 
 DIMENSION = 256
+#: Weights that a task spreads over signs at a time.
+ROWS = 1024
 
 
 def signs(terms: list[str]) -> np.ndarray:
@@ -36,9 +38,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = pa.array(np.concatenate(rows) if rows else np.empty(0))
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * DIMENSION, pa.int32()), flat)], names=["id", "embedding"])
 
-    for b in batches:
-        if not b.num_rows:
-            continue
+    for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
         coded = b.column("term").dictionary_encode()
         x = signs(coded.dictionary.to_pylist())[coded.indices.to_numpy()] * b.column("weight").to_numpy()[:, None]
         ids = b.column("id").to_numpy()

@@ -34,9 +34,9 @@ def phrase_score(query: Column, text: Column) -> Column:
 
 def candidates(queries: DataFrame, docs: DataFrame, vectors: DataFrame, asked: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, id, FEATURES) of the best ``k`` by words and the best ``k`` by vectors; queries (query_id, query), docs (id, text), vectors (id, embedding), asked (query_id, embedding)."""
-    sparse = stage(bm25.normalised(bm25.scores(bm25.index(docs), queries)), "norm")
     near = stage(dense.top_k(vectors, asked, k), "near")
-    found = bm25.top(sparse, k).select("query_id", "id").unionByName(near.select("query_id", "id")).distinct()
+    sparse = bm25.nearest(bm25.index(docs), queries, k, near)
+    found = sparse.select("query_id", "id").unionByName(near.select("query_id", "id")).distinct()
     found = found.join(sparse.select("query_id", "id", F.col("norm").alias("sparse")), ["query_id", "id"], "left").join(near.select("query_id", "id", F.col("score").alias("dense")), ["query_id", "id"], "left")
     rows = found.join(queries, "query_id").join(docs, "id")
     made = {"lexical": hybrid.lexical_score(F.col("query"), F.col("text")), "phrase": phrase_score(F.col("query"), F.col("text")), "length": F.log1p(F.size(tokens(F.col("text"))).cast("double"))}

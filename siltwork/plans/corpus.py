@@ -78,8 +78,12 @@ def _scores(spark, d):
     return bm25.scores(_index(spark, d), queries_of(spark, d))
 
 
+def _best(spark, d, k):
+    return bm25.nearest(_index(spark, d), queries_of(spark, d), k)
+
+
 def bm25_topk(spark, d):
-    return bm25.top(_scores(spark, d), 10).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+    return _best(spark, d, 10).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
 
 
 def bm25_normalised(spark, d):
@@ -91,9 +95,9 @@ def _fused(spark, d, top_k=10):
     vectors = read(spark, d, "embeddings")
     probes = vectors.join(asked.select("query_id"), F.col("vec_id") == F.col("query_id")).select("query_id", "embedding")
     k_dense, k_sparse = hybrid.shares(top_k)
-    norm = stage(bm25.normalised(bm25.scores(_index(spark, d), asked)), "norm")
-    sparse = bm25.top(norm, k_sparse).select("query_id", "id", "score")
-    return hybrid.fused(dense.top_k(vectors.select(F.col("vec_id").alias("id"), "embedding"), probes, k_dense, least=0.0), sparse, norm, 0.3, top_k)
+    near = stage(dense.top_k(vectors.select(F.col("vec_id").alias("id"), "embedding"), probes, k_dense, least=0.0), "near")
+    norm = bm25.nearest(_index(spark, d), asked, k_sparse, near)
+    return hybrid.fused(near, norm.filter(F.col("rank") <= k_sparse), norm, 0.3, top_k)
 
 
 def hybrid_topk(spark, d):
@@ -125,7 +129,7 @@ def rerank_histogram(spark, d):
 
 
 def answer_context(spark, d):
-    found = bm25.top(_scores(spark, d), 5).join(read(spark, d, DOCS).select(F.col("doc_id").alias("id"), "text"), "id")
+    found = _best(spark, d, 5).join(read(spark, d, DOCS).select(F.col("doc_id").alias("id"), "text"), "id")
     return hybrid.context(found, 5, "text").select("query_id", content_hash(F.col("context")).alias("context_hash"))
 
 
@@ -135,7 +139,7 @@ def _names(found):
 
 def _judged(spark, d):
     """All queries over the sparse results, also those of which no document is expected."""
-    return evaluate.judged(_names(bm25.top(_scores(spark, d), 10)), truth(spark, d), queries_of(spark, d))
+    return evaluate.judged(_names(_best(spark, d, 10)), truth(spark, d), queries_of(spark, d))
 
 
 def recall_at_k(spark, d):
@@ -151,15 +155,15 @@ def _modes(spark, d):
     asked, vectors = queries_of(spark, d), read(spark, d, "embeddings")
     probes = vectors.join(asked.select("query_id"), F.col("vec_id") == F.col("query_id")).select("query_id", "embedding")
     points = vectors.select(F.col("vec_id").alias("id"), "embedding")
-    norm = stage(bm25.normalised(bm25.scores(_index(spark, d), asked)), "norm")
     nearest = stage(dense.top_k(points, probes, 10, least=0.0), "nearest")
+    norm = bm25.nearest(_index(spark, d), asked, 10, nearest)
 
     def mixed(k):
         k_dense, k_sparse = hybrid.shares(k)
-        return hybrid.fused(nearest.filter(F.col("rank") <= k_dense), bm25.top(norm, k_sparse).select("query_id", "id", "score"), norm, 0.3, k)
+        return hybrid.fused(nearest.filter(F.col("rank") <= k_dense), norm.filter(F.col("rank") <= k_sparse), norm, 0.3, k)
 
     fetched = mixed(20).join(read(spark, d, DOCS).select(F.col("doc_id").alias("id"), F.col("text").alias("payload_text")), "id", "left").join(asked, "query_id").withColumn("text", F.lit(""))
-    return {"sparse": bm25.top(norm, 10), "dense": nearest, "hybrid": mixed(10), "rerank": hybrid.reranked(fetched, hybrid.lexical_score(F.col("query"), F.col("candidate_text")), 10)}
+    return {"sparse": norm.filter("rank <= 10"), "dense": nearest, "hybrid": mixed(10), "rerank": hybrid.reranked(fetched, hybrid.lexical_score(F.col("query"), F.col("candidate_text")), 10)}
 
 
 def eval_summary(spark, d):
