@@ -104,10 +104,17 @@ def hybrid_topk(spark, d):
     return _fused(spark, d).select("query_id", "id", *[F.round(c, 6).alias(c) for c in ("vector_score", "bm25_score", "combined_score")], "rank")
 
 
+def _fetched(spark, d, found, asked):
+    """Results, written, with their queries and their documents' texts; texts stay where they are read but for those of results."""
+    found = stage(found, "fetched")
+    texts = read(spark, d, DOCS).select(F.col("doc_id").alias("id"), F.col("text").alias("payload_text"))
+    texts = texts.join(found.select("id").distinct(), "id", "left_semi")
+    return stage(found.join(texts, "id", "left").join(asked, "query_id"), "texts").withColumn("text", F.lit(""))
+
+
 def _reranked(spark, d):
     """Twice the results are fetched, and their documents' texts scored again."""
-    fetched = _fused(spark, d, 20).join(read(spark, d, DOCS).select(F.col("doc_id").alias("id"), F.col("text").alias("payload_text")), "id", "left")
-    rows = fetched.join(queries_of(spark, d), "query_id").withColumn("text", F.lit(""))
+    rows = _fetched(spark, d, _fused(spark, d, 20), queries_of(spark, d))
     return rows, hybrid.reranked(rows, hybrid.lexical_score(F.col("query"), F.col("candidate_text")), 10)
 
 
@@ -162,7 +169,7 @@ def _modes(spark, d):
         k_dense, k_sparse = hybrid.shares(k)
         return hybrid.fused(nearest.filter(F.col("rank") <= k_dense), norm.filter(F.col("rank") <= k_sparse), norm, 0.3, k)
 
-    fetched = mixed(20).join(read(spark, d, DOCS).select(F.col("doc_id").alias("id"), F.col("text").alias("payload_text")), "id", "left").join(asked, "query_id").withColumn("text", F.lit(""))
+    fetched = _fetched(spark, d, mixed(20), asked)
     return {"sparse": norm.filter("rank <= 10"), "dense": nearest, "hybrid": mixed(10), "rerank": hybrid.reranked(fetched, hybrid.lexical_score(F.col("query"), F.col("candidate_text")), 10)}
 
 
