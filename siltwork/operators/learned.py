@@ -38,7 +38,9 @@ def candidates(queries: DataFrame, docs: DataFrame, vectors: DataFrame, asked: D
     sparse = bm25.nearest(bm25.index(docs), queries, k, near)
     found = sparse.select("query_id", "id").unionByName(near.select("query_id", "id")).distinct()
     found = found.join(sparse.select("query_id", "id", F.col("norm").alias("sparse")), ["query_id", "id"], "left").join(near.select("query_id", "id", F.col("score").alias("dense")), ["query_id", "id"], "left")
-    rows = found.join(queries, "query_id").join(docs, "id")
+    found = stage(found, "found")
+    texts = docs.join(found.select("id").distinct(), "id", "left_semi")  # few, so that the others need no shuffle
+    rows = found.join(queries, "query_id").join(texts, "id")
     made = {"lexical": hybrid.lexical_score(F.col("query"), F.col("text")), "phrase": phrase_score(F.col("query"), F.col("text")), "length": F.log1p(F.size(tokens(F.col("text"))).cast("double"))}
     return rows.withColumns(made).select("query_id", "id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in FEATURES])
 
